@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
@@ -18,9 +18,8 @@ def all_of(conditions: Sequence[Column]) -> Column:
     return reduce(lambda left, right: left & right, conditions)
 
 
-def same_key(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    """Null-safe equality on every key, for joins in which a null key is a key like any other."""
-    return all_of([left[k].eqNullSafe(right[k]) for k in keys])
+def any_of(conditions: Sequence[Column]) -> Column:
+    return reduce(lambda left, right: left | right, conditions)
 
 
 def surrogate_key(*natural_key: str) -> Column:

@@ -36,27 +36,22 @@ def _carry(summary: DataFrame, keys: Sequence[str], forward: bool) -> DataFrame:
     return summary.withColumn("_to", target).where("_to is not null").drop("_slice").withColumnRenamed("_to", "_slice")
 
 
-def changed_rows(
-    log: DataFrame, keys: Sequence[str], ts: str, attributes: Sequence[str], tie_breakers: Sequence[str] = (),
-    slice_by: Slice = "day",
+def _changes(
+    log: DataFrame, keys: Sequence[str], order: Sequence[str], attributes: Sequence[str], slice_by: Slice
 ) -> DataFrame:
-    """The rows of ``log`` that differ from their key's previous row in some attribute.
-
-    Adds ``_slice``. Order within a key is (ts, tie_breakers), which must be total.
-    """
-    order = [ts, *tie_breakers]
+    """The rows whose attributes (``_state``) differ from those of their key's previous row."""
     # wrapped in a struct, an all-null state still differs from "no previous row"
-    rows = log.withColumns(
-        {"_slice": _slice_number(ts, slice_by), "_state": F.struct(*attributes), "_marker": F.lit(False)}
-    )
+    state = F.struct(*[F.col(a).alias(a) for a in attributes])
+    rows = log.select(*keys, *order, _slice_number(order[0], slice_by).alias("_slice"), state.alias("_state"))
     last_states = rows.groupBy(*keys, "_slice").agg(F.max_by("_state", F.struct(*order)).alias("_state"))
     markers = _carry(last_states, keys, forward=True).withColumn("_marker", F.lit(True))
     in_slice = Window.partitionBy(*keys, "_slice").orderBy(F.col("_marker").desc(), *order)
     return (
-        rows.unionByName(markers, allowMissingColumns=True)
+        rows.withColumn("_marker", F.lit(False))
+        .unionByName(markers, allowMissingColumns=True)
         .withColumn("_previous", F.lag("_state").over(in_slice))
         .where(~F.col("_marker") & ~F.col("_state").eqNullSafe(F.col("_previous")))
-        .drop("_state", "_marker", "_previous")
+        .drop("_previous")
     )
 
 
@@ -67,13 +62,12 @@ def scd2_history(
     """Versions of each key: keys, attributes, ``valid_from``, ``valid_to``, ``is_current``.
 
     A version starts at a row that changes an attribute and ends where the next one
-    starts (``valid_to`` exclusive, null for the current one). Pick ``slice_by`` so that
-    one key's rows within a slice fit a task; a wider slice means fewer marker rows.
+    starts (``valid_to`` exclusive, null for the current one). Order within a key is
+    (ts, tie_breakers), which must be total. Pick ``slice_by`` so that one key's rows
+    within a slice fit a task; a wider slice means fewer marker rows.
     """
     order = [ts, *tie_breakers]
-    changes = changed_rows(log, keys, ts, attributes, tie_breakers, slice_by).select(
-        *keys, *attributes, *order, "_slice", F.lit(False).alias("_marker")
-    )
+    changes = _changes(log, keys, order, attributes, slice_by)
     starts = changes.groupBy(*keys, "_slice").agg(F.min(ts).alias(ts))
     markers = _carry(starts, keys, forward=False).withColumn("_marker", F.lit(True))
     in_slice = Window.partitionBy(*keys, "_slice").orderBy("_marker", *order)
@@ -83,7 +77,7 @@ def scd2_history(
         .where(~F.col("_marker"))
         .select(
             *keys,
-            *attributes,
+            *[F.col("_state").getField(a).alias(a) for a in attributes],
             F.col(ts).alias("valid_from"),
             "valid_to",
             F.col("valid_to").isNull().alias("is_current"),

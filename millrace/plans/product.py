@@ -19,7 +19,14 @@ from millrace.operators.products import (
     valid_rows,
 )
 from millrace.operators.standardize import standardize_schema
-from millrace.sinks.layers import append_quarantine, read_table, write_bronze, write_gold, write_validated
+from millrace.sinks.layers import (
+    append_quarantine,
+    read_table,
+    read_validated,
+    write_bronze,
+    write_gold,
+    write_validated,
+)
 from millrace.sinks.storage import table_path
 
 
@@ -59,7 +66,7 @@ def load_products(
 
     silver_path = table_path(root, "silver", "products")
     write_validated(flag_products(bronze, as_of), silver_path)
-    silver = spark.read.parquet(silver_path)
+    silver = read_validated(spark, silver_path)
     append_quarantine(quarantine_rows(silver), quarantine or f"{root}/quarantine/products", batch_id)
 
     results = quality.check(valid_rows(silver), quality.product_suite(categories))

@@ -37,9 +37,12 @@ BATCH_ID = "20241231120000"
 PART_TYPES = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL")  # STANDARD is left out, so the check has misses
 
 
-def query(fn: Query) -> Query:
-    QUERIES[fn.__name__] = fn
-    return fn
+def query(name: str) -> Callable[[Query], Query]:
+    def register(fn: Query) -> Query:
+        QUERIES[name] = fn
+        return fn
+
+    return register
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -83,20 +86,20 @@ def text_products(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- names, types, contracts -------------------------------------------------------------
 
 
-@query
+@query("standardize_names")
 def standardize_names(spark, sf_dir):
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_retailprice")
     return snake_case_columns(part.toDF("Product ID", "Product-Name", "BrandName", "Retail Price-USD"))
 
 
-@query
+@query("standardize_types")
 def standardize_types(spark, sf_dir):
     typed = cast_columns(text_products(spark, sf_dir))
     # zone-free for comparison; the operator itself yields a timestamp
     return typed.withColumn("created_date", F.col("created_date").cast("timestamp_ntz"))
 
 
-@query
+@query("schema_enforce")
 def schema_enforce(spark, sf_dir):
     contract = T.StructType.fromDDL(
         "product_id string, product_name string, description string, price decimal(10,2), created_date date"
@@ -107,59 +110,59 @@ def schema_enforce(spark, sf_dir):
 # --- products ----------------------------------------------------------------------------
 
 
-@query
+@query("clean_text")
 def clean_text(spark, sf_dir):
     return clean_products(spark, sf_dir).select("product_id", "product_name", "category")
 
 
-@query
+@query("median_price")
 def median_price(spark, sf_dir):
     return products.median_price(product_rows(spark, sf_dir)).withColumnRenamed("price", "median_price")
 
 
-@query
+@query("impute_products")
 def impute_products(spark, sf_dir):
     imputed = products.impute_products(clean_products(spark, sf_dir))
     return imputed.select("product_id", "category", "price", "_has_imputed_values")
 
 
-@query
+@query("impute_flag_value_match")
 def impute_flag_value_match(spark, sf_dir):
     imputed = products.impute_products(clean_products(spark, sf_dir), flag_mode="value_match")
     return imputed.select("product_id", "category", "price", "_has_imputed_values")
 
 
-@query
+@query("price_tier")
 def price_tiers(spark, sf_dir):
     rows = product_rows(spark, sf_dir)
     return rows.select("product_id", "price", price_tier(F.col("price")).alias("price_tier"))
 
 
-@query
+@query("product_age")
 def product_age(spark, sf_dir):
     rows = product_rows(spark, sf_dir)
     return rows.select("product_id", age_days(F.col("created_date"), AS_OF).alias("product_age_days"))
 
 
-@query
+@query("season")
 def product_season(spark, sf_dir):
     rows = product_rows(spark, sf_dir)
     return rows.select("product_id", season(F.col("created_date")).alias("season"))
 
 
-@query
+@query("price_stats")
 def price_stats(spark, sf_dir):
     stats = products.price_stats(product_rows(spark, sf_dir))
     return stats.select(F.round("mean_price", 6).alias("mean_price"), F.round("std_price", 6).alias("std_price"))
 
 
-@query
+@query("price_score")
 def price_score(spark, sf_dir):
     scored = products.price_score(product_rows(spark, sf_dir))
     return scored.select("product_id", "price", "price_competitiveness_score")
 
 
-@query
+@query("embedding_column")
 def embedding_column(spark, sf_dir):
     vectors = table(spark, sf_dir, "embeddings").withColumnRenamed("vec_id", "p_partkey")
     joined = products.add_embedding(table(spark, sf_dir, "part"), vectors, "p_partkey")
@@ -168,17 +171,17 @@ def embedding_column(spark, sf_dir):
     return joined.select("p_partkey", F.array_join(elements, ",").alias("product_embedding"))
 
 
-@query
+@query("validate_flag")
 def validate_flag(spark, sf_dir):
     return products.flag_valid(clean_products(spark, sf_dir)).select("product_id", "_is_valid")
 
 
-@query
+@query("valid_products")
 def valid_products(spark, sf_dir):
     return products.valid_rows(flagged_products(spark, sf_dir)).select("product_id", "product_name", "price", "_is_valid")
 
 
-@query
+@query("quarantine_rows")
 def quarantine_rows(spark, sf_dir):
     """Quarantine as it is stored: appended by batch, then read back."""
     path = scratch_dir(spark, "quarantine")
@@ -188,7 +191,7 @@ def quarantine_rows(spark, sf_dir):
     return stored.select("product_id", "product_name", "price", "_is_valid", "_reject_reason")
 
 
-@query
+@query("product_transform")
 def product_transform(spark, sf_dir):
     """All product steps, raw headers to validated rows."""
     out = transform_products(raw_products(spark, sf_dir), AS_OF)
@@ -206,22 +209,22 @@ def _checked(spark: SparkSession, sf_dir: str, expectations: list[quality.Expect
     return quality.check(clean_products(spark, sf_dir), expectations)
 
 
-@query
+@query("dq_not_null")
 def dq_not_null(spark, sf_dir):
     return _checked(spark, sf_dir, [quality.not_null("product_id"), quality.not_null("product_name")])
 
 
-@query
+@query("dq_between")
 def dq_between(spark, sf_dir):
     return _checked(spark, sf_dir, [quality.between("price", 0, 600)])
 
 
-@query
+@query("dq_in_set")
 def dq_in_set(spark, sf_dir):
     return _checked(spark, sf_dir, [quality.in_set("category", PART_TYPES)])
 
 
-@query
+@query("dq_regex")
 def dq_regex(spark, sf_dir):
     return _checked(
         spark, sf_dir,
@@ -229,7 +232,7 @@ def dq_regex(spark, sf_dir):
     )
 
 
-@query
+@query("dq_row_count")
 def dq_row_count(spark, sf_dir):
     return quality.check(table(spark, sf_dir, "lineitem"), [quality.row_count_between(*quality.ROW_RANGE)])
 
@@ -238,17 +241,17 @@ def _suite(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _checked(spark, sf_dir, quality.product_suite([*PART_TYPES, "UNCATEGORIZED"]))
 
 
-@query
+@query("dq_suite")
 def dq_suite(spark, sf_dir):
     return _suite(spark, sf_dir)
 
 
-@query
+@query("dq_report")
 def dq_report(spark, sf_dir):
     return quality.report(_suite(spark, sf_dir))
 
 
-@query
+@query("dq_gate")
 def dq_gate(spark, sf_dir):
     return quality.gate(_suite(spark, sf_dir)).select("success_percent", "gate_passed")
 
@@ -264,7 +267,7 @@ def _latest_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return versions.latest_per_key(table(spark, sf_dir, "lineitem"), LINE_KEY, newest_first)
 
 
-@query
+@query("dedup_latest")
 def dedup_latest(spark, sf_dir):
     return _latest_lines(spark, sf_dir)
 
@@ -276,14 +279,14 @@ def _order_batch(orders: DataFrame) -> DataFrame:
     )
 
 
-@query
+@query("merge_upsert_single")
 def merge_upsert_single(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
     stored = orders.where("o_orderdate < timestamp_ntz'2000-01-01'")
     return upsert(stored, _order_batch(orders), "o_orderkey")
 
 
-@query
+@query("merge_upsert_composite")
 def merge_upsert_composite(spark, sf_dir):
     lines = _latest_lines(spark, sf_dir)
     stored = lines.where("l_shipdate < timestamp_ntz'2000-01-01'")
@@ -291,7 +294,7 @@ def merge_upsert_composite(spark, sf_dir):
     return upsert(stored, batch, "l_orderkey, l_linenumber")
 
 
-@query
+@query("merge_newest_wins")
 def merge_newest_wins(spark, sf_dir):
     events = table(spark, sf_dir, "events").select("user_id", "ts", "event_id", "event_type", "value")
     early = events.where("ts < timestamp_ntz'2024-01-20'")
@@ -299,13 +302,13 @@ def merge_newest_wins(spark, sf_dir):
     return upsert_newer(late, early, "user_id", "ts", ["event_id"])
 
 
-@query
+@query("as_of_state")
 def as_of_state(spark, sf_dir):
     events = table(spark, sf_dir, "events").drop("props")
     return versions.as_of(events, ["user_id"], "ts", "2024-01-15 00:00:00", ["event_id"])
 
 
-@query
+@query("batch_history")
 def batch_history(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select(
         "o_orderdate", F.date_format("o_orderdate", "yyyyMM").alias("_batch_id")
@@ -313,50 +316,50 @@ def batch_history(spark, sf_dir):
     return versions.batch_history(orders, "_batch_id", "o_orderdate")
 
 
-@query
+@query("retention_prune")
 def retention_prune(spark, sf_dir):
     events = table(spark, sf_dir, "events").drop("props")
     return versions.retain(events, ["user_id"], "ts", "2024-01-23 00:00:00", ["event_id"])
 
 
-@query
+@query("scd2_history")
 def scd2_history(spark, sf_dir):
     events = table(spark, sf_dir, "events")
     return scd.scd2_history(events, ["user_id"], "ts", ["event_type"], ["event_id"])
 
 
-@query
+@query("scd2_merge")
 def scd2_merge(spark, sf_dir):
-    """The history up to mid-January with the rest folded in."""
+    """The stored history up to mid-January with the rest folded in."""
     events = table(spark, sf_dir, "events").select("user_id", "ts", "event_type", "event_id")
     start = "ts < timestamp_ntz'2024-01-15'"
-    stored = scd.scd2_history(events.where(start), ["user_id"], "ts", ["event_type"], ["event_id"])
-    return scd.scd2_merge(
-        stored, events.where(f"not ({start})"), ["user_id"], "ts", ["event_type"], ["event_id"]
-    )
+    by = (["user_id"], "ts", ["event_type"], ["event_id"])
+    root = scratch_dir(spark, "scd2")
+    layers.write_silver(scd.scd2_history(events.where(start), *by), root, "users")
+    return scd.scd2_merge(layers.read_table(spark, root, "silver", "users"), events.where(f"not ({start})"), *by)
 
 
 # --- sources -------------------------------------------------------------------------------
 
 
-@query
+@query("entity_scan")
 def entity_scan(spark, sf_dir):
     schema = table(spark, sf_dir, "customer").schema
     return read_entity(spark, sf_dir, "customer.parquet", schema).select("c_custkey", "c_name", "c_mktsegment")
 
 
-@query
+@query("incremental_orders")
 def incremental_orders(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_totalprice")
     return newer_than(orders, "o_orderdate", "1998-06-30 00:00:00")
 
 
-@query
+@query("next_watermark")
 def watermark_events(spark, sf_dir):
     return next_watermark(table(spark, sf_dir, "events"), "ts")
 
 
-@query
+@query("json_flatten")
 def json_flatten(spark, sf_dir):
     events = table(spark, sf_dir, "events").select("event_id", "props")
     flat = flatten_json(events, "props", infer_json_type(events, "props"), keep=["event_id"])
@@ -376,7 +379,7 @@ def fetch_stored_page(address: str) -> str:
     return "".join(texts) or '{"results": []}'
 
 
-@query
+@query("paged_orders")
 def paged_orders(spark, sf_dir):
     """Orders written as JSON pages by Spark, then read back page by page by the executors."""
     path = scratch_dir(spark, "pages")
@@ -398,7 +401,7 @@ def paged_orders(spark, sf_dir):
 # --- layers ----------------------------------------------------------------------------------
 
 
-@query
+@query("bronze_metadata")
 def bronze_metadata(spark, sf_dir):
     root = scratch_dir(spark, "bronze")
     orders = table(spark, sf_dir, "orders")
@@ -407,7 +410,7 @@ def bronze_metadata(spark, sf_dir):
     return stored.withColumn("_ingestion_timestamp", F.date_format("_ingestion_timestamp", "yyyy-MM-dd HH:mm:ss"))
 
 
-@query
+@query("schema_evolve_union")
 def schema_evolve_union(spark, sf_dir):
     """Two loads with different columns, read back as one table."""
     root = scratch_dir(spark, "evolve")
@@ -420,7 +423,7 @@ def schema_evolve_union(spark, sf_dir):
     )
 
 
-@query
+@query("partition_roundtrip")
 def partition_roundtrip(spark, sf_dir):
     root = scratch_dir(spark, "partitioned")
     orders = table(spark, sf_dir, "orders")
@@ -428,7 +431,7 @@ def partition_roundtrip(spark, sf_dir):
     return layers.read_table(spark, root, "silver", "orders")
 
 
-@query
+@query("silver_merge")
 def silver_merge(spark, sf_dir):
     """The stored form of the upsert: a first load, then a batch merged into it."""
     root = scratch_dir(spark, "silver")
@@ -438,7 +441,7 @@ def silver_merge(spark, sf_dir):
     return layers.read_table(spark, root, "silver", "orders")
 
 
-@query
+@query("silver_merge_partitioned")
 def silver_merge_partitioned(spark, sf_dir):
     """The same with the partition column in the key: only the batch's partitions are rewritten."""
     root = scratch_dir(spark, "silver")
@@ -450,29 +453,29 @@ def silver_merge_partitioned(spark, sf_dir):
     return layers.read_table(spark, root, "silver", "orders")
 
 
-@query
+@query("layer_row_counts")
 def layer_row_counts(spark, sf_dir):
     return gold.layer_counts(products.flag_valid(clean_products(spark, sf_dir)))
 
 
-@query
+@query("gold_daily_revenue")
 def gold_daily_revenue(spark, sf_dir):
     return gold.daily_revenue(table(spark, sf_dir, "lineitem"))
 
 
-@query
+@query("gold_category_summary")
 def gold_category_summary(spark, sf_dir):
     return gold.category_summary(products.valid_rows(flagged_products(spark, sf_dir)))
 
 
-@query
+@query("gold_roundtrip")
 def gold_roundtrip(spark, sf_dir):
     root = scratch_dir(spark, "gold")
     revenue = gold.daily_revenue(table(spark, sf_dir, "lineitem"))
     return spark.table(layers.write_gold(revenue, root, "daily_revenue", name=fresh_name("daily")))
 
 
-@query
+@query("gold_hash_distribution")
 def gold_hash_distribution(spark, sf_dir):
     """Two tables hashed on the customer, joined bucket by bucket."""
     root = scratch_dir(spark, "gold")
@@ -488,7 +491,7 @@ def gold_hash_distribution(spark, sf_dir):
     )
 
 
-@query
+@query("gold_broadcast_dim")
 def gold_broadcast_dim(spark, sf_dir):
     """Order value per nation and region, over replicated dimensions."""
     orders, customer = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")
@@ -503,17 +506,17 @@ def gold_broadcast_dim(spark, sf_dir):
     )
 
 
-@query
+@query("dim_customer")
 def dim_customer(spark, sf_dir):
     return star.dim_customer(*[table(spark, sf_dir, t) for t in ("customer", "nation", "region")])
 
 
-@query
+@query("dim_part")
 def dim_part(spark, sf_dir):
     return star.dim_part(table(spark, sf_dir, "part"))
 
 
-@query
+@query("fact_sales")
 def fact_sales(spark, sf_dir):
     return star.fact_sales(table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders"))
 
@@ -521,13 +524,13 @@ def fact_sales(spark, sf_dir):
 # --- maintenance -------------------------------------------------------------------------------
 
 
-@query
+@query("zorder_key")
 def zorder_key(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate")
     return with_z_value(lines, ["l_partkey", "l_suppkey", "l_shipdate"], "z_value")
 
 
-@query
+@query("zorder_table")
 def zorder_table(spark, sf_dir):
     """A stored table, clustered by two columns, read back."""
     path = table_path(scratch_dir(spark, "zorder"), "silver", "lineitem")
@@ -536,7 +539,7 @@ def zorder_table(spark, sf_dir):
     return spark.read.parquet(path)
 
 
-@query
+@query("compact_table")
 def compact_table(spark, sf_dir):
     """A stored table of many small files, compacted, read back."""
     path = table_path(scratch_dir(spark, "compact"), "silver", "orders")
@@ -553,7 +556,7 @@ def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stream_files(spark, sf_dir, schema, name_glob="events.parquet")
 
 
-@query
+@query("stream_bronze_events")
 def stream_bronze_events(spark, sf_dir):
     root = scratch_dir(spark, "stream")
     path = table_path(root, "bronze", "events")
@@ -563,7 +566,7 @@ def stream_bronze_events(spark, sf_dir):
     return spark.read.parquet(path).drop("_ingestion_timestamp")
 
 
-@query
+@query("stream_upsert_events")
 def stream_upsert_events(spark, sf_dir):
     root = scratch_dir(spark, "stream")
     path = table_path(root, "silver", "events")

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from typing import Literal
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from millrace.functions.columns import any_of
 from millrace.operators.merge import key_list, upsert
 from millrace.sinks import delta
 from millrace.sinks.storage import path_exists, recover_table, replace_table, table_path
@@ -69,6 +71,26 @@ def read_table(
     return reader.load(table_path(root, layer, table))
 
 
+def _read_typed(spark: SparkSession, path: str, fmt: str, types: Mapping[str, T.DataType]) -> DataFrame:
+    """The stored table with some (partition) columns in given types.
+
+    Spark guesses partition types from directory names, which would turn a text "01" into 1.
+    """
+    stored = spark.read.format(fmt).load(path).schema
+    typed = [T.StructField(f.name, types.get(f.name, f.dataType)) for f in stored.fields]
+    return spark.read.format(fmt).schema(T.StructType(typed)).load(path)
+
+
+def _touched_partitions(target: DataFrame, batch: DataFrame, partition_cols: Sequence[str]) -> DataFrame:
+    """The target's rows in partitions the batch has rows for, and in those named by a null.
+
+    The join is on the partition columns, so the scan opens only matching directories. A
+    null joins nothing, hence the second part; rewriting those rows unasked changes nothing.
+    """
+    named = target.join(batch.select(*partition_cols).distinct(), list(partition_cols), "left_semi")
+    return named.unionByName(target.where(any_of([F.col(c).isNull() for c in partition_cols])))
+
+
 def write_silver(
     df: DataFrame, root: str, table: str, *, merge_keys: str | Sequence[str] | None = None,
     partition_cols: Sequence[str] = (), fmt: str = "parquet",
@@ -89,10 +111,10 @@ def write_silver(
         (writer.partitionBy(*columns) if columns else writer).save(path)
         return
 
-    target, keys = spark.read.format(fmt).load(path), key_list(merge_keys)
+    keys = key_list(merge_keys)
+    target = _read_typed(spark, path, fmt, {c: df.schema[c].dataType for c in columns})
     if columns and set(columns) <= set(keys):
-        touched = df.select(*columns).distinct()
-        merged = upsert(target.join(touched, columns, "left_semi"), df, keys)
+        merged = upsert(_touched_partitions(target, df, columns), df, keys)
         _balanced(merged, columns).write.format(fmt).mode("overwrite").option(
             "partitionOverwriteMode", "dynamic"
         ).partitionBy(*columns).save(path)
@@ -115,25 +137,27 @@ def _bucket_too_heavy(spark: SparkSession, path: str, fmt: str, keys: Sequence[s
 
 def write_gold(
     df: DataFrame, root: str, table: str, *, distribution: Distribution = "ROUND_ROBIN",
-    keys: Sequence[str] = (), parts: int = 8, name: str | None = None, fmt: str = "parquet",
+    keys: Sequence[str] = (), parts: int | None = None, name: str | None = None, fmt: str = "parquet",
 ) -> str:
     """Overwrite a gold table, lay it out and register it; returns the registered name.
 
     HASH buckets and sorts by ``keys`` so that joins and aggregates on them need no
     shuffle. The write splits a heavy bucket over tasks; if one turns out too heavy to be
     read by one task, the same files are registered without buckets, and joins fall back
-    to shuffles whose skew adaptive execution handles. ROUND_ROBIN writes ``parts`` even
-    files. REPLICATE writes one plain copy; joins replicate it after checking its size
+    to shuffles whose skew adaptive execution handles. ROUND_ROBIN writes even files:
+    ``parts`` of them, or as many as the data needs at the advisory partition size.
+    REPLICATE writes one plain copy; joins replicate it after checking its size
     (:func:`millrace.operators.joins.replicated_join`).
     """
     spark, path, name = df.sparkSession, table_path(root, "gold", table), name or table
-    if distribution == "HASH" and not keys:
-        raise ValueError("HASH distribution needs keys")
     if distribution == "HASH":
+        if not keys:
+            raise ValueError("HASH distribution needs keys")
+        parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
         in_bucket = F.pmod(F.hash(*keys), F.lit(parts))
         shaped = df.withColumn("_bucket", in_bucket).hint("rebalance", F.col("_bucket")).drop("_bucket")
     elif distribution == "ROUND_ROBIN":
-        shaped = df.repartition(parts)
+        shaped = df.repartition(parts) if parts else df.hint("rebalance")
     elif distribution == "REPLICATE":
         shaped = df
     else:
@@ -157,6 +181,11 @@ def write_validated(flagged: DataFrame, path: str, fmt: str = "parquet") -> None
     flagged.write.format(fmt).mode("overwrite").partitionBy("_is_valid").save(path)
 
 
+def read_validated(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """Both sides of :func:`write_validated`; a filter on ``_is_valid`` opens one directory."""
+    return _read_typed(spark, path, fmt, {"_is_valid": T.BooleanType()})
+
+
 def append_quarantine(rejected: DataFrame, path: str, batch_id: str, fmt: str = "parquet") -> None:
     """Add a batch's rejected rows to the quarantine.
 

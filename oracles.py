@@ -171,10 +171,10 @@ ORACLES: dict[str, str] = {
         select product_id, category, price, coalesce(category = 'UNCATEGORIZED' or price = m, false)
           as _has_imputed_values
         from imputed, median""",
-    "price_tiers": f"with {PRODUCT} select product_id, price, {TIER} as price_tier from product",
+    "price_tier": f"with {PRODUCT} select product_id, price, {TIER} as price_tier from product",
     "product_age": f"""with {PRODUCT}
         select product_id, date '2024-12-31' - created_date as product_age_days from product""",
-    "product_season": f"with {PRODUCT} select product_id, {SEASON} as season from product",
+    "season": f"with {PRODUCT} select product_id, {SEASON} as season from product",
     "price_stats": f"""with {PRODUCT}
         select round(avg(cast(price as double)), 6) as mean_price,
           round(stddev_pop(cast(price as double)), 6) as std_price from product""",
@@ -234,7 +234,7 @@ ORACLES: dict[str, str] = {
     "entity_scan": "select c_custkey, c_name, c_mktsegment from customer",
     "incremental_orders": """select o_orderkey, o_orderdate, o_totalprice from orders
         where o_orderdate > timestamp '1998-06-30 00:00:00'""",
-    "watermark_events": "select max(ts) as next_watermark from events",
+    "next_watermark": "select max(ts) as next_watermark from events",
     "json_flatten": """select event_id, cast(json_extract_string(props, '$.k') as bigint) as props_k from events""",
     "paged_orders": """select o_orderkey, o_totalprice as detail_o_totalprice,
           o_orderpriority as detail_o_orderpriority from orders""",

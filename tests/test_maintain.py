@@ -1,0 +1,94 @@
+import datetime as dt
+import glob
+
+import pytest
+from pyspark.sql import functions as F
+
+from helpers import final_plan, rows
+from millrace.functions.zorder import with_z_value
+from millrace.sinks.maintain import cluster_by_z_order, compact, optimize_table
+
+
+def parquet_files(path):
+    return glob.glob(f"{path}/**/*.parquet", recursive=True)
+
+
+def interleaved(values, bits):
+    return sum(((v >> i) & 1) << (i * len(values) + j) for j, v in enumerate(values) for i in range(bits))
+
+
+@pytest.mark.parametrize("names", [["a"], ["a", "b"], ["a", "b", "c"], ["a", "b", "c", "d"]])
+def test_z_value(spark, names):
+    frame = spark.range(500).selectExpr(
+        "id as a", "cast(id * 7919 % 1000 as int) as b", "date_add(date'2024-01-01', cast(id % 50 as int)) as c",
+        "cast(id * 3.25 as decimal(10,2)) as d",
+    )
+    bits = min(16, 63 // len(names))
+    data = frame.collect()
+    as_long = {"a": lambda v: v, "b": lambda v: v, "c": lambda v: (v - dt.date(1970, 1, 1)).days, "d": lambda v: int(v * 100)}
+    columns = {n: [as_long[n](r[n]) for r in data] for n in names}
+
+    def bucket(n, v):
+        low, high = min(columns[n]), max(columns[n])
+        return (v - low) // (((high - low) >> bits) + 1)
+
+    expected = {r["a"]: interleaved([bucket(n, columns[n][i]) for n in names], bits) for i, r in enumerate(data)}
+    assert {r["a"]: r["_z"] for r in with_z_value(frame, names).collect()} == expected
+
+
+def test_z_value_of_nulls_and_timestamps(spark):
+    frame = spark.sql("select * from values (1, timestamp_ntz'2024-01-01 00:00:00'), (null, null), (9, timestamp_ntz'2024-01-01 00:00:09') as t(a, b)")
+    got = {r["a"]: r["_z"] for r in with_z_value(frame, ["a", "b"]).collect()}
+    assert got == {1: 0, None: 0, 9: interleaved([8, 9], 16)}
+    with pytest.raises(TypeError, match="string"):
+        with_z_value(spark.sql("select 'x' as a"), ["a"])
+
+
+def test_clustering_keeps_rows_and_narrows_files(spark, tmp_path, sf_dir):
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    path = str(tmp_path / "t")
+    cluster_by_z_order(lines, ["l_partkey", "l_suppkey"], 16).write.parquet(path)
+    stored = spark.read.parquet(path)
+    assert rows(stored) == rows(lines)
+    spans = stored.groupBy(F.input_file_name()).agg(
+        (F.max("l_partkey") - F.min("l_partkey")).alias("part"), (F.max("l_suppkey") - F.min("l_suppkey")).alias("supp"))
+    width = spans.agg(F.avg("part"), F.avg("supp")).first()
+    assert width[0] < 0.6 * 200 and width[1] < 0.9 * 10
+
+
+def test_one_z_value_is_still_spread_over_files(spark, tmp_path):
+    frame = spark.range(3000).selectExpr("1 as a", "id")
+    path = str(tmp_path / "t")
+    cluster_by_z_order(frame, ["a"], 6).write.parquet(path)
+    per_file = [r["count"] for r in spark.read.parquet(path).groupBy(F.input_file_name()).count().collect()]
+    assert len(per_file) == 6 and max(per_file) < 1500
+
+
+def test_compaction(spark, tmp_path, sf_dir):
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    path = str(tmp_path / "t")
+    orders.repartition(20).write.parquet(path)
+    assert len(parquet_files(path)) == 20
+    compact(spark, path)
+    assert len(parquet_files(path)) == 1
+    assert rows(spark.read.parquet(path)) == rows(orders)
+    # the caller's own settings are as they were
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") != str(512 * 1024 * 1024)
+
+
+def test_compaction_by_partition(spark, tmp_path, sf_dir):
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    path = str(tmp_path / "t")
+    orders.repartition(8).write.partitionBy("o_orderstatus").parquet(path)
+    compact(spark, path, partition_cols=["o_orderstatus"])
+    assert len(parquet_files(path)) == orders.select("o_orderstatus").distinct().count()
+    assert rows(spark.read.parquet(path)) == rows(orders)
+
+
+def test_optimize(spark, tmp_path, sf_dir):
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    path = str(tmp_path / "t")
+    lines.write.parquet(path)
+    optimize_table(spark, path, ["l_partkey", "l_shipdate"], target_bytes=40_000)
+    assert len(parquet_files(path)) > 1
+    assert rows(spark.read.parquet(path)) == rows(lines)

@@ -1,0 +1,54 @@
+import pytest
+
+from helpers import plan
+from millrace.operators import quality as Q
+from millrace.operators.products import clean_text_fields, impute_products
+from millrace.operators.standardize import standardize_schema
+from test_products import FOUR, PRODUCTS
+
+
+def results(df, suite):
+    return {(r["expectation"], r["column_name"]): r.asDict() for r in Q.check(df, suite).collect()}
+
+
+def test_product_suite_on_the_four_products(spark):
+    frame = impute_products(clean_text_fields(standardize_schema(spark.createDataFrame(FOUR, PRODUCTS))))
+    got = results(frame, Q.product_suite())
+    failed = {k for k, r in got.items() if not r["success"]}
+    assert failed == {("not_null", "product_name"), ("in_set", "category")}
+    verdict = Q.gate(Q.check(frame, Q.product_suite())).first()
+    assert (verdict["evaluated_expectations"], verdict["successful_expectations"]) == (6, 4)
+    assert round(verdict["success_percent"], 2) == 66.67
+    assert verdict["success"] is False and verdict["gate_passed"] is False
+    with pytest.raises(Q.QualityGateFailed, match="95"):
+        Q.require_gate(Q.check(frame, Q.product_suite()))
+    Q.require_gate(Q.check(frame, Q.product_suite()), 60)
+
+
+def test_nulls_are_missing_and_bounds_are_inclusive(spark):
+    frame = spark.createDataFrame([(0,), (5,), (6,), (None,)], "n int")
+    row = results(frame, [Q.between("n", 0, 5)])["between", "n"]
+    assert (row["element_count"], row["missing_count"], row["unexpected_count"]) == (4, 1, 1)
+    assert row["unexpected_percent"] == pytest.approx(100 / 3)
+    row = results(frame, [Q.not_null("n")])["not_null", "n"]
+    assert (row["missing_count"], row["unexpected_count"], row["unexpected_percent"]) == (1, 1, 25.0)
+
+
+def test_empty_table(spark):
+    frame = spark.createDataFrame([], "product_id string, product_name string, category string, price decimal(10,2)")
+    got = results(frame, Q.product_suite())
+    assert [k for k, r in got.items() if not r["success"]] == [("row_count", None)]
+    assert got["between", "price"]["unexpected_percent"] == 0.0
+
+
+def test_a_suite_that_checks_nothing_does_not_pass(spark):
+    none = Q.check(spark.createDataFrame([(1,)], "n int"), [Q.not_null("n")]).where("false")
+    assert Q.gate(none).first()["gate_passed"] is False
+
+
+def test_one_scan_for_all_expectations(spark, sf_dir):
+    frame = spark.read.parquet(f"{sf_dir}/part.parquet")
+    suite = [Q.not_null("p_name"), Q.between("p_size", 0, 10), Q.matches("p_brand", "^Brand"), Q.row_count_between(1, 9)]
+    shown = plan(Q.check(frame, suite))
+    assert shown.count("ReadSchema") == 1
+    assert "ReadSchema: struct<p_name:string,p_brand:string,p_size:int>" in shown
