@@ -1,10 +1,11 @@
 """Slowly changing dimensions, type 2.
 
-Versions need the previous and next change of the same key. One window per key would
-sort a key's whole life in one task, and a single key may hold a third of the table. So
-each key's life is cut into time slices, windows run per (key, slice), and the one value
-that has to cross a slice border is carried over as a marker row. Markers come from a
-map-side combined aggregate: one row per key and slice in which the key is active.
+Versions need the previous and the next change of the same key. A window per key gives
+both in one shuffle, but sorts a key's whole life in one task, and a single key may hold
+a third of the table. So keys with very many rows are found first and go another way:
+their lives are cut into time slices, windows run per (key, slice), and the one value that
+has to cross a slice border is carried over as a marker row. Markers come from a map-side
+combined aggregate, one row per key and slice in which the key is active.
 """
 
 from __future__ import annotations
@@ -15,6 +16,9 @@ from typing import Literal
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+HOT_ROWS = 1_000_000  # a key with more rows than this is sliced ...
+MAX_HOT_KEYS = 100_000  # ... if it also holds more than this fraction of all rows, which bounds the hot keys
+
 Slice = Literal["year", "month", "day", "hour"]
 
 
@@ -36,58 +40,86 @@ def _carry(summary: DataFrame, keys: Sequence[str], forward: bool) -> DataFrame:
     return summary.withColumn("_to", target).where("_to is not null").drop("_slice").withColumnRenamed("_to", "_slice")
 
 
-def _changes(
-    log: DataFrame, keys: Sequence[str], order: Sequence[str], attributes: Sequence[str], slice_by: Slice
-) -> DataFrame:
-    """The rows whose attributes (``_state``) differ from those of their key's previous row."""
+def _hot_keys(log: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame:
+    """The keys with very many rows; fewer than ``MAX_HOT_KEYS`` whatever the table's size."""
+    sizes = log.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    share = sizes.agg((F.sum("_rows") / MAX_HOT_KEYS).alias("share")).scalar()
+    hot = sizes.where(F.col("_rows") > F.greatest(F.lit(hot_rows), share))
+    return hot.select(*[F.col(k).alias(f"_hot_{k}") for k in keys])
+
+
+def _tracked(log: DataFrame, keys: Sequence[str], order: Sequence[str], attributes: Sequence[str]) -> DataFrame:
     # wrapped in a struct, an all-null state still differs from "no previous row"
-    state = F.struct(*[F.col(a).alias(a) for a in attributes])
-    rows = log.select(*keys, *order, _slice_number(order[0], slice_by).alias("_slice"), state.alias("_state"))
-    last_states = rows.groupBy(*keys, "_slice").agg(F.max_by("_state", F.struct(*order)).alias("_state"))
-    markers = _carry(last_states, keys, forward=True).withColumn("_marker", F.lit(True))
-    in_slice = Window.partitionBy(*keys, "_slice").orderBy(F.col("_marker").desc(), *order)
+    return log.select(*keys, *order, F.struct(*[F.col(a).alias(a) for a in attributes]).alias("_state"))
+
+
+def _versions_by_key(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Changes with the start of the next one; one shuffle and one sort serve both windows."""
+    life = Window.partitionBy(*keys).orderBy(*order)
     return (
+        rows.withColumn("_previous", F.lag("_state").over(life))
+        .where(~F.col("_state").eqNullSafe(F.col("_previous")))
+        .withColumn("valid_to", F.lead(order[0]).over(life))
+        .select(*keys, "_state", order[0], "valid_to")
+    )
+
+
+def _versions_by_slice(
+    rows: DataFrame, keys: Sequence[str], order: Sequence[str], slice_by: Slice
+) -> DataFrame:
+    """What :func:`_versions_by_key` gives, with no window over more than one slice of a key."""
+    ts, is_marker = order[0], F.lit(True)
+    rows = rows.withColumn("_slice", _slice_number(ts, slice_by))
+    last_states = rows.groupBy(*keys, "_slice").agg(F.max_by("_state", F.struct(*order)).alias("_state"))
+    carried = _carry(last_states, keys, forward=True).withColumn("_marker", is_marker)
+    markers_first = Window.partitionBy(*keys, "_slice").orderBy(F.col("_marker").desc(), *order)
+    changes = (
         rows.withColumn("_marker", F.lit(False))
-        .unionByName(markers, allowMissingColumns=True)
-        .withColumn("_previous", F.lag("_state").over(in_slice))
+        .unionByName(carried, allowMissingColumns=True)
+        .withColumn("_previous", F.lag("_state").over(markers_first))
         .where(~F.col("_marker") & ~F.col("_state").eqNullSafe(F.col("_previous")))
         .drop("_previous")
     )
+    first_changes = changes.groupBy(*keys, "_slice").agg(F.min(ts).alias(ts))
+    following = _carry(first_changes, keys, forward=False).withColumn("_marker", is_marker)
+    markers_last = Window.partitionBy(*keys, "_slice").orderBy("_marker", *order)
+    return (
+        changes.unionByName(following, allowMissingColumns=True)
+        .withColumn("valid_to", F.lead(ts).over(markers_last))
+        .where(~F.col("_marker"))
+        .select(*keys, "_state", ts, "valid_to")
+    )
 
 
 def scd2_history(
     log: DataFrame, keys: Sequence[str], ts: str, attributes: Sequence[str], tie_breakers: Sequence[str] = (),
-    slice_by: Slice = "day",
+    slice_by: Slice = "day", hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Versions of each key: keys, attributes, ``valid_from``, ``valid_to``, ``is_current``.
 
     A version starts at a row that changes an attribute and ends where the next one
     starts (``valid_to`` exclusive, null for the current one). Order within a key is
-    (ts, tie_breakers), which must be total. Pick ``slice_by`` so that one key's rows
-    within a slice fit a task; a wider slice means fewer marker rows.
+    (ts, tie_breakers), which must be total. Keys with more than ``hot_rows`` rows are
+    worked on in slices; pick ``slice_by`` so that such a key's rows within a slice fit a task.
     """
     order = [ts, *tie_breakers]
-    changes = _changes(log, keys, order, attributes, slice_by)
-    starts = changes.groupBy(*keys, "_slice").agg(F.min(ts).alias(ts))
-    markers = _carry(starts, keys, forward=False).withColumn("_marker", F.lit(True))
-    in_slice = Window.partitionBy(*keys, "_slice").orderBy("_marker", *order)
-    return (
-        changes.unionByName(markers, allowMissingColumns=True)
-        .withColumn("valid_to", F.lead(ts).over(in_slice))
-        .where(~F.col("_marker"))
-        .select(
-            *keys,
-            *[F.col("_state").getField(a).alias(a) for a in attributes],
-            F.col(ts).alias("valid_from"),
-            "valid_to",
-            F.col("valid_to").isNull().alias("is_current"),
-        )
+    hot = F.broadcast(_hot_keys(log, keys, hot_rows))
+    is_hot = [F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in keys]
+    rows = _tracked(log, keys, order, attributes)
+    usual = _versions_by_key(rows.join(hot, is_hot, "left_anti"), keys, order)
+    sliced = _versions_by_slice(rows.join(hot, is_hot, "left_semi"), keys, order, slice_by)
+    return usual.unionByName(sliced).select(
+        *keys,
+        *[F.col("_state").getField(a).alias(a) for a in attributes],
+        F.col(ts).alias("valid_from"),
+        "valid_to",
+        F.col("valid_to").isNull().alias("is_current"),
     )
 
 
 def scd2_merge(
     history: DataFrame, changes: DataFrame, keys: Sequence[str], ts: str, attributes: Sequence[str],
-    tie_breakers: Sequence[str] = (), slice_by: Slice = "day",
+    tie_breakers: Sequence[str] = (), slice_by: Slice = "day", hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Fold a batch of changes into an existing type-2 history.
 
@@ -113,4 +145,5 @@ def scd2_merge(
     )
     arriving = changes.select(*keys, *attributes, ts, *tie_breakers, F.lit(1).alias("_arrival"))
     log = stored.unionByName(arriving, allowMissingColumns=True)
-    return kept.unionByName(scd2_history(log, keys, ts, attributes, ["_arrival", *tie_breakers], slice_by))
+    rebuilt = scd2_history(log, keys, ts, attributes, ["_arrival", *tie_breakers], slice_by, hot_rows)
+    return kept.unionByName(rebuilt)

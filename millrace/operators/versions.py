@@ -20,13 +20,25 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], newest_first: Sequence[Co
     return df.withColumn("_rank", rank).where("_rank = 1").drop("_rank")
 
 
+def latest_state(log: DataFrame, keys: Sequence[str], ts: str, tie_breakers: Sequence[str] = ()) -> DataFrame:
+    """The newest row of each key by (ts, tie_breakers), which must be total.
+
+    Gives what :func:`latest_per_key` gives, by an aggregate that is combined on the map
+    side and sorts by the key alone: faster where keys have many rows, as in change logs;
+    the window is faster where most keys have one or two.
+    """
+    rest = [c for c in log.columns if c not in keys]
+    newest = F.max_by(F.struct(*rest), F.struct(ts, *tie_breakers)).alias("_row")
+    columns = [F.col(c) if c in keys else F.col("_row").getField(c).alias(c) for c in log.columns]
+    return log.groupBy(*keys).agg(newest).select(*columns)
+
+
 def as_of(
     log: DataFrame, keys: Sequence[str], ts: str, at: Any, tie_breakers: Sequence[str] = ()
 ) -> DataFrame:
     """The row in force for each key at time ``at`` (inclusive)."""
     moment = F.lit(at).cast(log.schema[ts].dataType)
-    newest_first = [F.col(c).desc() for c in (ts, *tie_breakers)]
-    return latest_per_key(log.where(F.col(ts) <= moment), keys, newest_first)
+    return latest_state(log.where(F.col(ts) <= moment), keys, ts, tie_breakers)
 
 
 def batch_history(df: DataFrame, batch: str, ts: str) -> DataFrame:

@@ -6,10 +6,9 @@ import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from millrace.operators.versions import latest_per_key
+from millrace.operators.versions import latest_state
 from millrace.sinks.layers import with_batch_metadata
 
 
@@ -29,10 +28,6 @@ def stream_to_bronze(
     return writer.start(path)
 
 
-def _newest_first(ts: str, tie_breakers: Sequence[str]):
-    return [F.col(c).desc() for c in (ts, *tie_breakers)]
-
-
 def stream_upsert(
     stream: DataFrame, path: str, checkpoint: str, *, keys: Sequence[str], ts: str,
     tie_breakers: Sequence[str] = (), available_now: bool = True,
@@ -46,7 +41,7 @@ def stream_upsert(
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        newest = latest_per_key(batch, keys, _newest_first(ts, tie_breakers))
+        newest = latest_state(batch, keys, ts, tie_breakers)
         newest.write.mode("overwrite").parquet(f"{path}/stream_batch={batch_id}")
 
     writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
@@ -60,4 +55,4 @@ def read_upserted(
 ) -> DataFrame:
     """The current row per key of a change log written by :func:`stream_upsert`."""
     log = spark.read.parquet(path).drop("stream_batch")
-    return latest_per_key(log, keys, _newest_first(ts, tie_breakers))
+    return latest_state(log, keys, ts, tie_breakers)

@@ -6,6 +6,7 @@ import random
 import pytest
 
 from helpers import final_plan, rows
+from millrace.operators import scd
 from millrace.operators.scd import scd2_history, scd2_merge
 
 SCHEMA = "k string, ts timestamp_ntz, n int, colour string, size int"
@@ -36,8 +37,9 @@ def walk(log):
     return versions
 
 
-def history(df, slice_by="day"):
-    return scd2_history(df, ["k"], "ts", ATTRIBUTES, ["n"], slice_by)
+def history(df, slice_by="day", hot_rows=50):
+    """By default the keys with more than 50 rows are the hot ones."""
+    return scd2_history(df, ["k"], "ts", ATTRIBUTES, ["n"], slice_by, hot_rows)
 
 
 def as_list(df):
@@ -69,27 +71,56 @@ def test_intervals_join_up(spark):
         assert [v[2] for v in life] == [False] * (len(life) - 1) + [True]
 
 
-def test_plan(spark, tmp_path):
-    """Windows over log rows are cut into slices, and the log is read and shuffled once for both of them."""
+@pytest.mark.parametrize("hot_rows", [0, 50, 10**6])
+def test_any_number_of_hot_keys(spark, hot_rows):
+    log = make_log(8)
+    got = history(spark.createDataFrame(log, SCHEMA), hot_rows=hot_rows)
+    assert as_list(got) == sorted(walk(log), key=str)
+
+
+def test_hot_keys_are_bounded_by_their_share(spark, monkeypatch):
+    monkeypatch.setattr(scd, "MAX_HOT_KEYS", 10)
+    frame = spark.range(1000).selectExpr("if(id < 300, 0, id) as k")
+    assert [r[0] for r in scd._hot_keys(frame, ["k"], 0).collect()] == [0]
+    assert scd._hot_keys(frame, ["k"], 300).count() == 0
+
+
+@pytest.fixture
+def stored_log(spark, tmp_path):
     path = str(tmp_path / "log")
     spark.createDataFrame(make_log(1), SCHEMA).write.parquet(path)
-    shown = final_plan(history(spark.read.parquet(path)))
-    windows = [line for line in shown.splitlines() if "+- Window [" in line]
-    partitions = [line.split("windowspecdefinition(")[1].split(" ASC")[0].split(" DESC")[0] for line in windows]
-    over_rows = [p for line, p in zip(windows, partitions) if "lag(_state" in line or "lead(ts" in line]
-    assert over_rows and all("_slice" in p for p in over_rows)
-    assert shown.count("FileScan") == 2  # the rows, and the columns their markers need
-    assert "ReusedExchange" in shown
+    return spark.read.parquet(path)
+
+
+def window_partitions(shown):
+    """What the windows over log rows are partitioned by."""
+    lines = [line for line in shown.splitlines() if "+- Window [" in line]
+    over_rows = [line for line in lines if "lag(_state" in line or "lead(ts" in line]
+    return [line.split("windowspecdefinition(")[1].split(" ASC")[0].split(" DESC")[0] for line in over_rows]
+
+
+def test_plan_without_hot_keys(stored_log):
+    """No key is hot: the sliced branch is dropped at run time, and one shuffle serves both windows."""
+    shown = final_plan(history(stored_log, hot_rows=10**6))
+    assert window_partitions(shown) and not any("_slice" in p for p in window_partitions(shown))
+    assert shown.count("FileScan") == 1 and "_slice" not in shown
+
+
+def test_plan_with_hot_keys(stored_log):
+    shown = final_plan(history(stored_log, hot_rows=100))  # one key of five
+    assert sum("_slice" in p for p in window_partitions(shown)) >= 2
+    assert "ReusedExchange" in shown and "LeftAnti" in shown and "LeftSemi" in shown
 
 
 @pytest.mark.parametrize("seed", [4, 5])
 @pytest.mark.parametrize("days", [2, 20, 200])
-def test_merging_in_order_equals_one_pass(spark, seed, days):
+@pytest.mark.parametrize("hot_rows", [20, 10**6])
+def test_merging_in_order_equals_one_pass(spark, seed, days, hot_rows):
     log = make_log(seed)
     border = START + dt.timedelta(days=days, minutes=30)
     first = spark.createDataFrame([r for r in log if r[1] < border], SCHEMA)
     rest = spark.createDataFrame([r for r in log if r[1] >= border], SCHEMA)
-    merged = scd2_merge(history(first), rest, ["k"], "ts", ATTRIBUTES, ["n"])
+    merged = scd2_merge(history(first), rest, ["k"], "ts", ATTRIBUTES, ["n"], hot_rows=hot_rows)
     assert as_list(merged) == sorted(walk(log), key=str)
 
 

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from helpers import plan, rows
-from millrace.operators.versions import as_of, batch_history, latest_per_key, retain
+from millrace.operators.versions import as_of, batch_history, latest_per_key, latest_state, retain
 
 
 @pytest.fixture
@@ -39,10 +39,23 @@ def test_as_of_the_end_is_the_latest_state(events):
     assert rows(as_of(events, ["user_id"], "ts", "2100-01-01", ["event_id"])) == rows(latest)
 
 
+def test_both_forms_of_latest_agree(events):
+    by_window = latest_per_key(events, ["user_id"], [F.desc("ts"), F.desc("event_id")])
+    by_aggregate = latest_state(events, ["user_id"], "ts", ["event_id"])
+    assert by_aggregate.columns == by_window.columns
+    assert rows(by_aggregate) == rows(by_window)
+    two_keys = ["event_type", "user_id"]
+    assert rows(latest_state(events, two_keys, "ts", ["event_id"])) == rows(
+        latest_per_key(events, two_keys, [F.desc("ts"), F.desc("event_id")])
+    )
+
+
 def test_one_row_per_key_and_task_is_shuffled(events):
     shown = plan(latest_per_key(events, ["user_id"], [F.desc("ts"), F.desc("event_id")]), "simple")
     below_exchange = shown.split("Exchange")[1]
     assert "WindowGroupLimit" in below_exchange and "Partial" in below_exchange
+    shown = plan(latest_state(events, ["user_id"], "ts", ["event_id"]), "simple")
+    assert "partial_max_by" in shown.split("Exchange")[1]
 
 
 def test_retention_keeps_every_read_since_the_cutoff(events):
