@@ -10,7 +10,7 @@ from __future__ import annotations
 import datetime as dt
 from typing import Literal
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from millrace.functions import product as rules
@@ -112,7 +112,19 @@ def flag_valid(df: DataFrame) -> DataFrame:
     return df.withColumn("_is_valid", F.coalesce(all_of(list(_rules().values())), F.lit(False)))
 
 
-def valid_rows(flagged: DataFrame) -> DataFrame:
+def valid_rows(flagged: DataFrame, counts: Observation | None = None) -> DataFrame:
+    """The valid rows.
+
+    With ``counts`` the same run also counts ``valid_rows`` and ``invalid_rows``. Counting
+    sits between the flag and the filter, so Spark does not push the filter below the
+    clean-up, where it would tidy every text a second and a third time.
+    """
+    if counts is not None:
+        flagged = flagged.observe(
+            counts,
+            F.count_if("_is_valid").alias("valid_rows"),
+            F.count_if(~F.col("_is_valid")).alias("invalid_rows"),
+        )
     return flagged.where("_is_valid")
 
 

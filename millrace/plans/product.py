@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 
 from millrace.operators import gold, quality
 from millrace.operators.products import (
@@ -43,9 +43,14 @@ def flag_products(raw: DataFrame, as_of: dt.date | None = None) -> DataFrame:
     )
 
 
-def transform_products(raw: DataFrame, as_of: dt.date | None = None) -> DataFrame:
-    """The valid products; :func:`flag_products` keeps the others as well."""
-    return valid_rows(flag_products(raw, as_of))
+def transform_products(
+    raw: DataFrame, as_of: dt.date | None = None, counts: Observation | None = None
+) -> DataFrame:
+    """The valid products; :func:`flag_products` keeps the others as well.
+
+    After an action on the result, ``counts`` holds the numbers of valid and invalid rows.
+    """
+    return valid_rows(flag_products(raw, as_of), counts or Observation())
 
 
 def load_products(

@@ -19,7 +19,7 @@ from millrace.operators.merge import upsert, upsert_newer
 from millrace.operators.standardize import cast_columns, enforce_schema, snake_case_columns
 from millrace.functions.product import age_days, price_tier, season
 from millrace.functions.zorder import with_z_value
-from millrace.plans.product import flag_products, transform_products
+from millrace.plans.product import transform_products
 from millrace.sinks import layers, maintain
 from millrace.sinks.storage import fresh_name, scratch_dir, table_path
 from millrace.sources.files import newer_than, next_watermark, read_entity
@@ -178,7 +178,8 @@ def validate_flag(spark, sf_dir):
 
 @query("valid_products")
 def valid_products(spark, sf_dir):
-    return products.valid_rows(flagged_products(spark, sf_dir)).select("product_id", "product_name", "price", "_is_valid")
+    valid = transform_products(raw_products(spark, sf_dir), AS_OF)
+    return valid.select("product_id", "product_name", "price", "_is_valid")
 
 
 @query("quarantine_rows")
@@ -198,10 +199,6 @@ def product_transform(spark, sf_dir):
     return out.withColumn("created_date", F.col("created_date").cast("timestamp_ntz"))
 
 
-def flagged_products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return flag_products(raw_products(spark, sf_dir), AS_OF)
-
-
 # --- quality -----------------------------------------------------------------------------
 
 
@@ -465,7 +462,7 @@ def gold_daily_revenue(spark, sf_dir):
 
 @query("gold_category_summary")
 def gold_category_summary(spark, sf_dir):
-    return gold.category_summary(products.valid_rows(flagged_products(spark, sf_dir)))
+    return gold.category_summary(transform_products(raw_products(spark, sf_dir), AS_OF))
 
 
 @query("gold_roundtrip")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 
 from pyspark.sql import DataFrame
@@ -20,7 +21,7 @@ def plan(df: DataFrame, mode: str = "formatted") -> str:
 def final_plan(df: DataFrame) -> str:
     """The plan as adaptive execution ran it."""
     df.collect()
-    return plan(df, "simple").split("== Initial Plan ==")[0]
+    return re.split(r"(?m)^\+- == Initial Plan ==", plan(df, "simple"))[0]
 
 
 def jobs_started(spark) -> int:

@@ -5,10 +5,11 @@ from decimal import Decimal
 
 import pytest
 
-from helpers import jobs_started, plan
+from helpers import final_plan, jobs_started, plan
 from millrace.operators import products as P
 from millrace.operators.standardize import cast_columns, enforce_schema, snake_case_columns, standardize_schema
 from millrace.plans.product import flag_products, transform_products
+from pyspark.sql import Observation
 from pyspark.sql import types as T
 
 PRODUCTS = "product_id string, product_name string, category string, price double, created_date string, last_updated string"
@@ -50,6 +51,21 @@ def test_transform_keeps_valid_rows_only(four):
     assert sorted(by_id(transform_products(four))) == ["PROD-000001", "PROD-000002", "PROD-000003"]
 
 
+def test_counts_come_with_the_run(four):
+    counts = Observation()
+    valid = transform_products(four, counts=counts)
+    assert valid.count() == 3
+    assert counts.get == {"valid_rows": 3, "invalid_rows": 1}
+
+
+def test_texts_are_tidied_once(spark, sf_dir):
+    parts = spark.read.parquet(f"{sf_dir}/part.parquet").selectExpr(
+        "cast(p_partkey as string) as product_id", "p_name as product_name", "p_type as category",
+        "p_retailprice as price", "date'2024-01-01' as created_date")
+    shown = final_plan(transform_products(parts))
+    assert shown.count("initcap(trim(regexp_replace(p_name") == 1
+
+
 def test_value_match_flag(four):
     frame = P.clean_text_fields(standardize_schema(four))
     flags = {k: r["_has_imputed_values"] for k, r in by_id(P.impute_products(frame, flag_mode="value_match")).items()}
