@@ -17,6 +17,18 @@ def daily_revenue(lineitem: DataFrame) -> DataFrame:
     )
 
 
+def add_revenue(stored: DataFrame, new_lines: DataFrame) -> DataFrame:
+    """A stored :func:`daily_revenue` brought up to date with new lines.
+
+    The measures add up, so only the new lines are aggregated, then both are summed.
+    """
+    return (
+        stored.unionByName(daily_revenue(new_lines))
+        .groupBy("ship_date")
+        .agg(*[F.sum(m).alias(m) for m in ("line_count", "quantity", "net_revenue")])
+    )
+
+
 def category_summary(products: DataFrame) -> DataFrame:
     """Products, price range and share of imputed rows per category."""
     return products.groupBy("category").agg(

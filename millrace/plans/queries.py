@@ -420,6 +420,33 @@ def schema_evolve_union(spark, sf_dir):
     )
 
 
+def _two_loads(spark: SparkSession, sf_dir: str) -> str:
+    """Orders landed on the last day of 2024, and those from 1999 on again a day later, repriced."""
+    root = scratch_dir(spark, "loads")
+    orders = table(spark, sf_dir, "orders")
+    layers.write_bronze(orders, root, "orders", source="erp", batch_id="load0", ingested_at=INGESTED_AT)
+    layers.write_bronze(
+        _order_batch(orders), root, "orders", source="erp", batch_id="load1",
+        ingested_at=INGESTED_AT + dt.timedelta(days=1), mode="append",
+    )
+    return root
+
+
+@query("table_as_of")
+def table_as_of(spark, sf_dir):
+    """The stored loads as they stood after the second one."""
+    state = layers.table_as_of(
+        spark, _two_loads(spark, sf_dir), "orders", INGESTED_AT + dt.timedelta(days=2), keys=["o_orderkey"]
+    )
+    return state.drop("_ingestion_timestamp", "_source_system")
+
+
+@query("table_history")
+def table_history(spark, sf_dir):
+    history = layers.table_history(spark, _two_loads(spark, sf_dir), "orders")
+    return history.select("_batch_id", "row_count", "version")
+
+
 @query("partition_roundtrip")
 def partition_roundtrip(spark, sf_dir):
     root = scratch_dir(spark, "partitioned")
@@ -472,6 +499,16 @@ def gold_roundtrip(spark, sf_dir):
     return spark.table(layers.write_gold(revenue, root, "daily_revenue", name=fresh_name("daily")))
 
 
+@query("gold_incremental_revenue")
+def gold_incremental_revenue(spark, sf_dir):
+    """Revenue stored for the first loads, then brought up to date with the later lines."""
+    root = scratch_dir(spark, "gold")
+    lines = table(spark, sf_dir, "lineitem")
+    loaded = "l_returnflag <> 'N'"
+    name = layers.write_gold(gold.daily_revenue(lines.where(loaded)), root, "daily", name=fresh_name("daily"))
+    return gold.add_revenue(spark.table(name), lines.where(f"not ({loaded})"))
+
+
 @query("gold_hash_distribution")
 def gold_hash_distribution(spark, sf_dir):
     """Two tables hashed on the customer, joined bucket by bucket."""

@@ -6,6 +6,8 @@ DataFrame it is given.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import SparkSession
 
 
@@ -27,3 +29,23 @@ def build_session(app: str = "millrace", master: str | None = None, **conf: str)
     for key, value in settings.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
+
+
+SHUFFLE_PARTITION_BYTES = 512 * 1024 * 1024
+MAX_SHUFFLE_PARTITIONS = 100_000
+
+
+def shuffle_settings(input_bytes: int, cores: int) -> dict[str, str]:
+    """Settings for a job that shuffles about ``input_bytes`` on ``cores`` cores.
+
+    Starts with partitions a task can sort in memory, at least two per core; adaptive
+    execution merges the small ones to its advisory size and splits skewed ones in joins.
+    """
+    wanted = math.ceil(input_bytes / SHUFFLE_PARTITION_BYTES)
+    partitions = min(max(wanted, 2 * cores), MAX_SHUFFLE_PARTITIONS)
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+        "spark.sql.files.maxPartitionBytes": "256m",
+    }

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping, Sequence
-from typing import Literal
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
+from typing import Any, Literal
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -12,8 +13,16 @@ from pyspark.sql import types as T
 
 from millrace.functions.columns import any_of
 from millrace.operators.merge import key_list, upsert
+from millrace.operators.versions import as_of, batch_history
 from millrace.sinks import delta
-from millrace.sinks.storage import path_exists, recover_table, replace_table, table_path
+from millrace.sinks.storage import (
+    delete_path,
+    path_exists,
+    recover_table,
+    replace_table,
+    scratch_dir,
+    table_path,
+)
 
 Distribution = Literal["HASH", "ROUND_ROBIN", "REPLICATE"]
 
@@ -91,6 +100,21 @@ def _touched_partitions(target: DataFrame, batch: DataFrame, partition_cols: Seq
     return named.unionByName(target.where(any_of([F.col(c).isNull() for c in partition_cols])))
 
 
+@contextmanager
+def _staged(df: DataFrame) -> Iterator[DataFrame]:
+    """``df`` written to the shared folder for the time of a merge.
+
+    A merge reads its batch more than once. Staging runs the plan behind it once, and
+    makes all reads see the same rows even if that plan would not give them twice.
+    """
+    path = scratch_dir(df.sparkSession, "batch")
+    df.write.parquet(path)
+    try:
+        yield df.sparkSession.read.schema(df.schema).parquet(path)
+    finally:
+        delete_path(df.sparkSession, path)
+
+
 def write_silver(
     df: DataFrame, root: str, table: str, *, merge_keys: str | Sequence[str] | None = None,
     partition_cols: Sequence[str] = (), fmt: str = "parquet",
@@ -113,14 +137,31 @@ def write_silver(
 
     keys = key_list(merge_keys)
     target = _read_typed(spark, path, fmt, {c: df.schema[c].dataType for c in columns})
-    if columns and set(columns) <= set(keys):
-        merged = upsert(_touched_partitions(target, df, columns), df, keys)
-        _balanced(merged, columns).write.format(fmt).mode("overwrite").option(
-            "partitionOverwriteMode", "dynamic"
-        ).partitionBy(*columns).save(path)
-        spark.catalog.refreshByPath(path)
-    else:
-        replace_table(_balanced(upsert(target, df, keys), columns), path, fmt, columns)
+    with _staged(df) as batch:
+        if columns and set(columns) <= set(keys):
+            merged = upsert(_touched_partitions(target, batch, columns), batch, keys)
+            _balanced(merged, columns).write.format(fmt).mode("overwrite").option(
+                "partitionOverwriteMode", "dynamic"
+            ).partitionBy(*columns).save(path)
+            spark.catalog.refreshByPath(path)
+        else:
+            replace_table(_balanced(upsert(target, batch, keys), columns), path, fmt, columns)
+
+
+def table_history(
+    spark: SparkSession, root: str, table: str, layer: str = "bronze", batch: str = "_batch_id",
+    ts: str = "_ingestion_timestamp",
+) -> DataFrame:
+    """One row per load of a stored table: version, rows, first and last time."""
+    return batch_history(read_table(spark, root, layer, table), batch, ts)
+
+
+def table_as_of(
+    spark: SparkSession, root: str, table: str, at: Any, *, keys: Sequence[str], layer: str = "bronze",
+    ts: str = "_ingestion_timestamp", tie_breakers: Sequence[str] = ("_batch_id",),
+) -> DataFrame:
+    """A stored change log as it stood at ``at``: the row then in force for each key."""
+    return as_of(read_table(spark, root, layer, table), keys, ts, at, tie_breakers)
 
 
 def _bucket_too_heavy(spark: SparkSession, path: str, fmt: str, keys: Sequence[str], parts: int) -> bool:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import math
 from collections.abc import Sequence
 
@@ -9,9 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions.zorder import with_z_value
+from millrace.operators.versions import retain
 from millrace.sinks.storage import path_bytes, replace_table
 
 TARGET_FILE_BYTES = 512 * 1024 * 1024
+RETAIN_HOURS = 168
 
 
 def compact(
@@ -60,3 +63,12 @@ def optimize_table(
         return
     files = max(1, math.ceil(path_bytes(spark, path) / target_bytes))
     replace_table(cluster_by_z_order(spark.read.parquet(path), zorder_cols, files), path)
+
+
+def prune_log(
+    spark: SparkSession, path: str, keys: Sequence[str], ts: str, now: dt.datetime,
+    retain_hours: int = RETAIN_HOURS, tie_breakers: Sequence[str] = (),
+) -> None:
+    """Rewrite a stored change log without the versions superseded before the retention began."""
+    cutoff = now - dt.timedelta(hours=retain_hours)
+    replace_table(retain(spark.read.parquet(path), keys, ts, cutoff, tie_breakers), path)

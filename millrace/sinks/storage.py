@@ -50,6 +50,11 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     return f"{shared}/{fresh_name(label)}"
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    files, where = _path(spark, path)
+    files.delete(where, True)
+
+
 def recover_table(spark: SparkSession, path: str) -> None:
     """Undo a replacement that was cut off between its two renames."""
     files, live = _path(spark, path)

@@ -242,6 +242,12 @@ ORACLES: dict[str, str] = {
           '20241231120000' as _batch_id from orders""",
     "schema_evolve_union": """select p_partkey, p_name, null as p_brand, null as p_size, 'load0' as _batch_id from part
         union all select p_partkey, null, p_brand, p_size, 'load1' from part""",
+    "table_as_of": f"""with {ORDER_BATCH}
+        select *, 'load0' as _batch_id from orders where o_orderdate < timestamp '1999-01-01'
+        union all select *, 'load1' from order_batch""",
+    "table_history": f"""with {ORDER_BATCH}
+        select 'load0' as _batch_id, count(*) as row_count, 0 as version from orders
+        union all select 'load1', count(*), 1 from order_batch""",
     "partition_roundtrip": "select * from orders",
     "silver_merge": f"with {ORDER_BATCH} select * from merged",
     "silver_merge_partitioned": f"""with {ORDER_BATCH}
@@ -251,6 +257,7 @@ ORACLES: dict[str, str] = {
           count(*) filter (where not {VALID}) as quarantined_rows from clean""",
     "gold_daily_revenue": DAILY_REVENUE,
     "gold_roundtrip": DAILY_REVENUE,
+    "gold_incremental_revenue": DAILY_REVENUE,
     "gold_category_summary": f"""with {FLAGGED}
         select category, count(*) as product_count, sum(price) as total_price, min(price) as min_price,
           max(price) as max_price, count(*) filter (where _has_imputed_values) as imputed_count

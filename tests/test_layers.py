@@ -89,6 +89,31 @@ def test_partitioned_merge_with_null_and_text_partitions(spark, root):
     )
 
 
+def test_a_batch_that_gives_other_rows_each_time_is_merged_as_one(spark, root):
+    first = spark.range(100).selectExpr("id as k", "'old' as v")
+    layers.write_silver(first, root, "t")
+    # a different hundred of the keys whenever it is evaluated, were it not staged
+    batch = spark.range(200).orderBy(F.rand()).limit(100).selectExpr("id as k", "'new' as v")
+    layers.write_silver(batch, root, "t", merge_keys="k")
+    stored = layers.read_table(spark, root, "silver", "t")
+    assert stored.where("v = 'new'").count() == 100
+    assert stored.select("k").distinct().count() == stored.count()
+
+
+def test_history_and_time_travel_of_a_stored_table(spark, root):
+    for day, (batch, data) in enumerate([("b0", [(1, "a"), (2, "b")]), ("b1", [(2, "c"), (3, "d")])]):
+        frame = spark.createDataFrame(data, "k int, v string")
+        layers.write_bronze(frame, root, "t", source="s", batch_id=batch, mode="append",
+                            ingested_at=AT + dt.timedelta(days=day))
+    history = layers.table_history(spark, root, "t").orderBy("version").collect()
+    assert [(r["_batch_id"], r["row_count"], r["version"]) for r in history] == [("b0", 2, 0), ("b1", 2, 1)]
+    states = [
+        {r["k"]: r["v"] for r in layers.table_as_of(spark, root, "t", AT + dt.timedelta(days=n), keys=["k"]).collect()}
+        for n in (-1, 0, 1)
+    ]
+    assert states == [{}, {1: "a", 2: "b"}, {1: "a", 2: "c", 3: "d"}]
+
+
 def test_cut_off_replacement_is_undone(spark, root):
     frame = spark.createDataFrame([(1, "old")], "k int, v string")
     layers.write_silver(frame, root, "t")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from helpers import final_plan, rows
 from millrace.functions.zorder import with_z_value
-from millrace.sinks.maintain import cluster_by_z_order, compact, optimize_table
+from millrace.sinks.maintain import cluster_by_z_order, compact, optimize_table, prune_log
 
 
 def parquet_files(path):
@@ -92,3 +92,16 @@ def test_optimize(spark, tmp_path, sf_dir):
     optimize_table(spark, path, ["l_partkey", "l_shipdate"], target_bytes=40_000)
     assert len(parquet_files(path)) > 1
     assert rows(spark.read.parquet(path)) == rows(lines)
+
+
+def test_pruning_a_stored_log(spark, tmp_path, sf_dir):
+    from millrace.operators.versions import as_of
+
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    path, now = str(tmp_path / "log"), dt.datetime(2024, 1, 28)
+    events.write.parquet(path)
+    prune_log(spark, path, ["user_id"], "ts", now, tie_breakers=["event_id"])
+    kept = spark.read.parquet(path)
+    assert 0 < kept.count() < events.count()
+    for at in (now - dt.timedelta(hours=168), now, dt.datetime(2100, 1, 1)):
+        assert rows(as_of(kept, ["user_id"], "ts", at, ["event_id"])) == rows(as_of(events, ["user_id"], "ts", at, ["event_id"]))

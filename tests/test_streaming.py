@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 
 from helpers import rows
-from millrace.streaming.sinks import read_upserted, stream_to_bronze, stream_upsert
+from millrace.streaming.sinks import fold_upserts, read_upserted, stream_to_bronze, stream_upsert
 from millrace.streaming.sources import kafka_options, stream_files
 
 SCHEMA = "k int, ts timestamp_ntz, v string"
@@ -71,6 +71,23 @@ def test_many_small_batches_equal_one(spark, inbox, tmp_path, sf_dir):
     assert len(spark.read.parquet(str(tmp_path / "many")).select("stream_batch").distinct().collect()) == 6
 
 
+def test_folding_keeps_the_state_and_the_stream_goes_on(spark, inbox, tmp_path):
+    path, checkpoint = str(tmp_path / "silver"), str(tmp_path / "checkpoint")
+
+    def run(*batch):
+        put(spark, inbox, *batch)
+        stream_upsert(stream(spark, inbox), path, checkpoint, **ORDER).awaitTermination()
+
+    run((1, DAY[1], "a"), (2, DAY[1], "b"))
+    run((1, DAY[2], "c"))
+    before = rows(read_upserted(spark, path, **ORDER))
+    fold_upserts(spark, path, **ORDER)
+    assert rows(read_upserted(spark, path, **ORDER)) == before
+    assert spark.read.parquet(path).count() == 2
+    run((2, DAY[0], "late"), (3, DAY[3], "d"))
+    assert {r["k"]: r["v"] for r in read_upserted(spark, path, **ORDER).collect()} == {1: "c", 2: "b", 3: "d"}
+
+
 def test_kafka_starts_at_the_earliest_offset():
     assert kafka_options("h:9092", "t", "g") == {
         "kafka.bootstrap.servers": "h:9092", "subscribe": "t", "startingOffsets": "earliest", "kafka.group.id": "g",
