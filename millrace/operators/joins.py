@@ -14,13 +14,15 @@ MAX_REPLICATED_BYTES = 256 * 1024 * 1024
 def fits_in_every_task(
     df: DataFrame, max_rows: int = MAX_REPLICATED_ROWS, max_bytes: int = MAX_REPLICATED_BYTES
 ) -> bool:
-    """Whether ``df`` is within both bounds. Reads at most ``max_rows + 1`` rows."""
-    size = (
-        df.limit(max_rows + 1)
-        .agg(F.count(F.lit(1)).alias("rows"), F.sum(F.octet_length(F.to_json(F.struct("*")))).alias("bytes"))
-        .first()
-    )
-    return size["rows"] <= max_rows and (size["bytes"] or 0) <= max_bytes
+    """Whether ``df`` is within both bounds.
+
+    Counts first, which reads no columns of a parquet table; the size in bytes is summed
+    only over what has passed. Both are map-side combined, one row comes back.
+    """
+    if df.count() > max_rows:
+        return False
+    size = df.agg(F.sum(F.octet_length(F.to_json(F.struct("*")))).alias("bytes")).first()["bytes"]
+    return (size or 0) <= max_bytes
 
 
 def replicated_join(

@@ -32,7 +32,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 AS_OF = dt.date(2024, 12, 31)
-INGESTED_AT = dt.datetime(2024, 12, 31, 12, 0, 0)
+INGESTED_AT = dt.datetime(2024, 12, 31, 12, 0, 0, tzinfo=dt.UTC)
 BATCH_ID = "20241231120000"
 PART_TYPES = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL")  # STANDARD is left out, so the check has misses
 
@@ -404,7 +404,8 @@ def bronze_metadata(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
     layers.write_bronze(orders, root, "orders", source="erp", batch_id=BATCH_ID, ingested_at=INGESTED_AT)
     stored = layers.read_table(spark, root, "bronze", "orders")
-    return stored.withColumn("_ingestion_timestamp", F.date_format("_ingestion_timestamp", "yyyy-MM-dd HH:mm:ss"))
+    in_utc = F.to_utc_timestamp("_ingestion_timestamp", F.current_timezone())
+    return stored.withColumn("_ingestion_timestamp", F.date_format(in_utc, "yyyy-MM-dd HH:mm:ss"))
 
 
 @query("schema_evolve_union")

@@ -41,13 +41,14 @@ def compact(
 def cluster_by_z_order(df: DataFrame, columns: Sequence[str], files: int) -> DataFrame:
     """Lay rows out so that each of ``files`` files covers a small box of the columns' space.
 
-    The range split is on the Z value and then on a hash of the row: rows that share one
-    Z value, however many, can still be spread over several files.
+    The range split is on the Z value and then on a number drawn per row: rows that share
+    one Z value, however many and even if they are copies of each other, can be spread over
+    several files. The draw is seeded, so a stored table gives the same layout when a task
+    is run again.
     """
-    spread = F.xxhash64(*df.columns)
     return (
         with_z_value(df, columns)
-        .withColumn("_spread", spread)
+        .withColumn("_spread", F.rand(0))
         .repartitionByRange(files, "_z", "_spread")
         .sortWithinPartitions("_z")
         .drop("_z", "_spread")

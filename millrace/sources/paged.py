@@ -37,6 +37,9 @@ class _PageReader(DataSourceReader):
     def __init__(self, groups: list[list[str]], fetch: Fetch, next_key: str | None):
         self.groups, self.fetch, self.next_key = groups, fetch, next_key
 
+    def __getstate__(self) -> dict:
+        return {**self.__dict__, "groups": []}  # tasks get their own addresses, not the whole list
+
     def partitions(self) -> Sequence[InputPartition]:
         return [_Pages(group) for group in self.groups]
 

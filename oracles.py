@@ -263,10 +263,10 @@ ORACLES: dict[str, str] = {
           max(price) as max_price, count(*) filter (where _has_imputed_values) as imputed_count
         from flagged where _is_valid group by 1""",
     "gold_hash_distribution": f"""with {CUSTOMER_REVENUE}
-        select c_mktsegment, sum(order_count) as order_count, sum(order_value) as order_value
+        select c_mktsegment, cast(sum(order_count) as bigint) as order_count, sum(order_value) as order_value
         from revenue join customer on c_custkey = o_custkey group by 1""",
     "gold_broadcast_dim": f"""with {CUSTOMER_REVENUE}
-        select r_name, n_name, sum(order_count) as order_count, sum(order_value) as order_value
+        select r_name, n_name, cast(sum(order_count) as bigint) as order_count, sum(order_value) as order_value
         from revenue join customer on c_custkey = o_custkey join nation on n_nationkey = c_nationkey
           join region on r_regionkey = n_regionkey
         group by 1, 2""",

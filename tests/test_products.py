@@ -58,6 +58,18 @@ def test_counts_come_with_the_run(four):
     assert counts.get == {"valid_rows": 3, "invalid_rows": 1}
 
 
+def test_valid_products_can_be_used_more_than_once(four):
+    valid = transform_products(four)
+    assert valid.unionByName(valid).count() == 6
+    assert P.price_score(valid).count() == 3
+    assert valid.alias("a").join(valid.alias("b"), "product_id").count() == 3
+
+
+def test_frames_without_any_known_column(spark):
+    frame = spark.createDataFrame([(1,)], "other int")
+    assert P.clean_text_fields(frame).columns == cast_columns(frame).columns == ["other"]
+
+
 def test_texts_are_tidied_once(spark, sf_dir):
     parts = spark.read.parquet(f"{sf_dir}/part.parquet").selectExpr(
         "cast(p_partkey as string) as product_id", "p_name as product_name", "p_type as category",
