@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.functions.columns import any_of
+
 
 def key_list(keys: str | Sequence[str]) -> list[str]:
     """Keys as a list; a string may hold several, separated by commas."""
@@ -23,19 +25,28 @@ def upsert(target: DataFrame, source: DataFrame, keys: str | Sequence[str]) -> D
 
     The target is joined once, against the source's distinct keys; a batch small enough
     by Spark's own size check is broadcast, and then the target is not shuffled at all.
+    Rows with a null key bypass the join. The source is read twice.
     """
     on = key_list(keys)
     absent = [c for c in target.columns if c not in source.columns]
     if absent:
         raise ValueError(f"source lacks target columns: {', '.join(absent)}")
 
-    per_key = source.groupBy(*on).agg(F.count(F.lit(1)).alias("_source_rows"))
+    # Grouping by the hash as well keeps the aggregate's own partitioning from serving the
+    # join. The join then has a fresh shuffle on both sides, and only such joins does
+    # adaptive execution split at a hot key.
+    per_key = source.groupBy(*on, F.hash(*on).alias("_hash")).agg(F.count(F.lit(1)).alias("_source_rows"))
     ambiguous = F.raise_error(F.lit(f"upsert: several source rows match one target row on ({', '.join(on)})"))
     untouched = F.when(F.col("_source_rows") > 1, ambiguous.cast("boolean")).otherwise(
         F.col("_source_rows").isNull()
     )
-    kept = target.join(per_key, on, "left").where(untouched).select(*target.columns)
-    return kept.unionByName(source.select(*target.columns))
+    no_key = any_of([F.col(k).isNull() for k in on])
+    kept = target.where(~no_key).join(per_key.drop("_hash"), on, "left").where(untouched)
+    return (
+        kept.select(*target.columns)
+        .unionByName(target.where(no_key))
+        .unionByName(source.select(*target.columns))
+    )
 
 
 def upsert_newer(

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.columns import any_of
+from millrace.operators.joins import replicated_join
 from millrace.operators.merge import key_list, upsert
 from millrace.operators.versions import as_of, batch_history
 from millrace.sinks import delta
@@ -30,6 +31,8 @@ Distribution = Literal["HASH", "ROUND_ROBIN", "REPLICATE"]
 MAX_BUCKET_ROWS = 50_000_000
 MAX_BUCKET_SKEW = 4
 
+MAX_NAMED_PARTITIONS = 1000
+
 
 def with_batch_metadata(
     df: DataFrame, source: str, batch_id: str, ingested_at: dt.datetime | None = None
@@ -93,10 +96,19 @@ def _read_typed(spark: SparkSession, path: str, fmt: str, types: Mapping[str, T.
 def _touched_partitions(target: DataFrame, batch: DataFrame, partition_cols: Sequence[str]) -> DataFrame:
     """The target's rows in partitions the batch has rows for, and in those named by a null.
 
-    The join is on the partition columns, so the scan opens only matching directories. A
-    null joins nothing, hence the second part; rewriting those rows unasked changes nothing.
+    Up to ``MAX_NAMED_PARTITIONS`` of the batch's partition values are put into the query,
+    so that only their directories are opened. The join leaves exactly the touched ones; its
+    right side is replicated if proven small, since a shuffle would bring a whole partition
+    into one task. Nulls join nothing, hence the second part; rewriting those rows unasked
+    changes nothing.
     """
-    named = target.join(batch.select(*partition_cols).distinct(), list(partition_cols), "left_semi")
+    touched = batch.select(*partition_cols).distinct()
+    named = target
+    if touched.count() <= MAX_NAMED_PARTITIONS:
+        values = touched.collect()
+        for c in partition_cols:
+            named = named.where(F.col(c).isin([v[c] for v in values if v[c] is not None]))
+    named = replicated_join(named, touched, list(partition_cols), "left_semi")
     return named.unionByName(target.where(any_of([F.col(c).isNull() for c in partition_cols])))
 
 

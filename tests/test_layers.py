@@ -1,6 +1,7 @@
 import datetime as dt
 import glob
 import os
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -76,6 +77,17 @@ def test_partitioned_merge_leaves_other_partitions_alone(spark, root, orders):
     assert rows(stored) == rows(upsert(early, late, keys))
 
 
+def test_partitioned_merge_opens_touched_directories_only(spark, root, orders, monkeypatch):
+    layers.write_silver(orders, root, "orders", partition_cols=["order_year"])
+    stored = spark.read.parquet(f"{root}/silver/orders")
+    batch = orders.where("order_year in ('1997', '1998')")
+    for most, pruned in ((1000, True), (1, False)):
+        monkeypatch.setattr(layers, "MAX_NAMED_PARTITIONS", most)
+        read = layers._touched_partitions(stored, batch.selectExpr("cast(order_year as int) as order_year"), ["order_year"])
+        assert read.count() == batch.count()
+        assert bool(re.search(r"PartitionFilters: \[order_year#\d+ IN", final_plan(read))) is pruned
+
+
 def test_partitioned_merge_with_null_and_text_partitions(spark, root):
     schema, keys = "k int, part string, v string", ["k", "part"]
     first = spark.createDataFrame([(1, "01", "old"), (2, "1", "old"), (3, None, "old")], schema)

@@ -1,3 +1,5 @@
+from collections import Counter
+
 import pytest
 
 from helpers import final_plan, rows
@@ -66,6 +68,41 @@ def test_small_batch_does_not_shuffle_the_target(spark, sf_dir):
     assert "BroadcastHashJoin" in shown and "SortMergeJoin" not in shown
 
 
+def test_a_hot_target_key_is_split(spark):
+    """A third of the target on one key, the batch too big to broadcast."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "400k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "200k",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    target = spark.range(120_000, numPartitions=8).selectExpr(
+        "if(id % 3 = 0, 7, id) as k", "cast(xxhash64(id) as string) as part", "'old' as v"
+    )
+    source = spark.range(500).selectExpr("id * 2 + 7 as k", "'p' as part", "'new' as v")
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        merged = upsert(target, source, "k")
+        assert "SortMergeJoin(skew=true)" in final_plan(merged)
+        got = rows(merged)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+    keys = {r["k"] for r in source.collect()}
+    expected = [tuple(r) for r in target.collect() if r["k"] not in keys] + [tuple(r) for r in source.collect()]
+    assert got == Counter((k, part, v) for k, part, v in expected)
+
+
+def test_many_null_keys_bypass_the_join(spark):
+    target = spark.range(300).selectExpr("if(id % 3 = 0, null, cast(id as int)) as k", "'a' as part", "'old' as v")
+    merged = upsert(target, frame(spark, (1, "b", "new"), (None, "b", "new")), "k")
+    assert merged.where("v = 'old'").count() == 299
+    assert merged.where("k is null").count() == 101
+
+
 def test_newest_row_wins_from_either_side(spark):
     schema = "k int, ts timestamp_ntz, v string"
     import datetime as dt
