@@ -97,18 +97,21 @@ def _touched_partitions(target: DataFrame, batch: DataFrame, partition_cols: Seq
     """The target's rows in partitions the batch has rows for, and in those named by a null.
 
     Up to ``MAX_NAMED_PARTITIONS`` of the batch's partition values are put into the query,
-    so that only their directories are opened. The join leaves exactly the touched ones; its
-    right side is replicated if proven small, since a shuffle would bring a whole partition
-    into one task. Nulls join nothing, hence the second part; rewriting those rows unasked
-    changes nothing.
+    so that only their directories are opened; with several columns a join then leaves the
+    touched combinations. Beyond that the join alone does, its right side replicated if
+    proven small, since a shuffle would bring a whole partition into one task. Nulls join
+    nothing, hence the second part; rewriting those rows unasked changes nothing.
     """
     touched = batch.select(*partition_cols).distinct()
-    named = target
-    if touched.count() <= MAX_NAMED_PARTITIONS:
-        values = touched.collect()
+    values = touched.limit(MAX_NAMED_PARTITIONS + 1).collect()
+    if len(values) > MAX_NAMED_PARTITIONS:
+        named = replicated_join(target, touched, list(partition_cols), "left_semi")
+    else:
+        named = target
         for c in partition_cols:
             named = named.where(F.col(c).isin([v[c] for v in values if v[c] is not None]))
-    named = replicated_join(named, touched, list(partition_cols), "left_semi")
+        if len(partition_cols) > 1:
+            named = named.join(F.broadcast(touched), list(partition_cols), "left_semi")
     return named.unionByName(target.where(any_of([F.col(c).isNull() for c in partition_cols])))
 
 

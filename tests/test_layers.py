@@ -88,6 +88,19 @@ def test_partitioned_merge_opens_touched_directories_only(spark, root, orders, m
         assert bool(re.search(r"PartitionFilters: \[order_year#\d+ IN", final_plan(read))) is pruned
 
 
+def test_partitioned_merge_by_two_columns(spark, root):
+    schema, parts = "k int, a string, b date, v string", ["a", "b"]
+    days = [dt.date(2024, 1, n) for n in (1, 2, 3)]
+    first = spark.createDataFrame([(i, a, d, "old") for i, (a, d) in enumerate((a, d) for a in "xyz" for d in days)], schema)
+    batch = spark.createDataFrame([(0, "x", days[0], "new"), (8, "z", days[2], "new"), (50, "w", days[1], "new")], schema)
+    layers.write_silver(first, root, "t", merge_keys=["k", *parts], partition_cols=parts)
+    before = files(f"{root}/silver/t")
+    layers.write_silver(batch, root, "t", merge_keys=["k", *parts], partition_cols=parts)
+    stored = spark.read.schema(schema).parquet(f"{root}/silver/t")
+    assert rows(stored) == rows(upsert(first, batch, ["k", *parts]))
+    assert len(before.items() & files(f"{root}/silver/t").items()) == 7  # of nine partitions two were touched
+
+
 def test_partitioned_merge_with_null_and_text_partitions(spark, root):
     schema, keys = "k int, part string, v string", ["k", "part"]
     first = spark.createDataFrame([(1, "01", "old"), (2, "1", "old"), (3, None, "old")], schema)

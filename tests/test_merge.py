@@ -1,3 +1,4 @@
+import random
 from collections import Counter
 
 import pytest
@@ -28,6 +29,19 @@ def test_composite_key_as_text_or_list(spark):
     assert sorted(tuple(r) for r in upsert(target, source, ["k", "part"]).collect()) == expected
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_against_a_dictionary(spark, seed):
+    pick = random.Random(seed)
+    key = lambda: (pick.choice([None, *range(12)]), pick.choice(["a", "b", None]))
+    target, source = [{key(): f"{side}{i}" for i in range(30)} for side in ("old", "new")]
+    as_frame = lambda rows_: frame(spark, *[(*k, v) for k, v in rows_.items()])
+    whole = lambda rows_: {k: v for k, v in rows_.items() if None not in k}
+    expected = list({**whole(target), **whole(source)}.items())
+    expected += [(k, v) for rows_ in (target, source) for k, v in rows_.items() if None in k]
+    got = upsert(as_frame(target), as_frame(source), "k, part").collect()
+    assert Counter((tuple(r)[:2], r["v"]) for r in got) == Counter(expected)
+
+
 def test_null_keys_match_nothing(spark):
     target = frame(spark, (None, "a", "old"))
     source = frame(spark, (None, "a", "new"))

@@ -3,12 +3,12 @@
 import pytest
 
 import __spark_entry__ as spark_entry
-import check
+import sql_check
 
 
 @pytest.mark.parametrize("name", sorted(spark_entry.queries()))
 def test_query_matches_sql(spark, sf_dir, name):
-    ok, note = check.compare(spark, sf_dir, name)
+    ok, note = sql_check.compare(spark, sf_dir, name)
     assert ok, note
 
 
