@@ -7,24 +7,10 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-MAX_BITS = 16  # bits per column, fewer when more than three columns share the 63
 
+from millrace.functions.columns import as_long
 
-def _as_long(df: DataFrame, name: str) -> Column:
-    """An order-keeping integer for a column, independent of the session zone."""
-    kind, col = df.schema[name].dataType, F.col(name)
-    if isinstance(kind, T.IntegralType):
-        return col.cast("long")
-    if isinstance(kind, T.DecimalType) and kind.precision <= 18:
-        return (col * 10**kind.scale).cast("long")
-    if isinstance(kind, T.DateType):
-        return F.unix_date(col).cast("long")
-    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        clock = F.hour(col) * 3600 + F.minute(col) * 60 + F.second(col)
-        return F.unix_date(col.cast("date")).cast("long") * 86400 + clock
-    raise TypeError(f"cannot Z-order {name}: {kind.simpleString()}")
+MAX_BITS = 16  # bits per column, fewer when more than three columns share the 63
 
 
 def _bucketed(value: Column, low: Column, high: Column, bits: int) -> Column:
@@ -47,7 +33,7 @@ def interleave(columns: Sequence[Column], bits: int) -> Column:
 def with_z_value(df: DataFrame, columns: Sequence[str], name: str = "_z") -> DataFrame:
     """Add the Z-order number of ``columns``; their ranges come from one min/max pass."""
     bits = min(MAX_BITS, 63 // len(columns))
-    longs = [_as_long(df, c) for c in columns]
+    longs = [as_long(df, c) for c in columns]
     bounds = df.agg(
         F.struct(
             *[F.min(v).alias(f"lo{i}") for i, v in enumerate(longs)],

@@ -146,8 +146,8 @@ def _bucket(column: str) -> str:
 
 ZORDER = f"""
 with longs as (select l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate,
-    cast(epoch(l_shipdate) as bigint) as ship_second from lineitem),
-scaled as (select *, {_bucket('l_partkey')} as a, {_bucket('l_suppkey')} as b, {_bucket('ship_second')} as c from longs)
+    epoch_us(l_shipdate) as ship_micro from lineitem),
+scaled as (select *, {_bucket('l_partkey')} as a, {_bucket('l_suppkey')} as b, {_bucket('ship_micro')} as c from longs)
 select l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate,
   {_spread('a', 0)} | {_spread('b', 1)} | {_spread('c', 2)} as z_value
 from scaled"""
