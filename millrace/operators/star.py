@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.columns import surrogate_key
+from millrace.functions.columns import as_long, surrogate_key
 from millrace.operators.joins import replicated_join
 
 
@@ -45,6 +47,12 @@ def dim_part(part: DataFrame) -> DataFrame:
     )
 
 
+def versioned_dimension(history: DataFrame, keys: Sequence[str], name: str = "version_sk") -> DataFrame:
+    """A type-2 history as a dimension: each version gets a surrogate key of its own."""
+    started = as_long(history, "valid_from")
+    return history.withColumn("_started", started).withColumn(name, surrogate_key(*keys, "_started")).drop("_started")
+
+
 def fact_sales(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
     """One row per order line, with the surrogate keys of its dimensions.
 

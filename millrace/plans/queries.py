@@ -325,6 +325,13 @@ def scd2_history(spark, sf_dir):
     return scd.scd2_history(events, ["user_id"], "ts", ["event_type"], ["event_id"])
 
 
+@query("scd2_history_hot_keys")
+def scd2_history_hot_keys(spark, sf_dir):
+    """The same with a bound low enough that many users count as hot and are worked on in slices."""
+    events = table(spark, sf_dir, "events")
+    return scd.scd2_history(events, ["user_id"], "ts", ["event_type"], ["event_id"], hot_rows=60)
+
+
 @query("scd2_merge")
 def scd2_merge(spark, sf_dir):
     """The stored history up to mid-January with the rest folded in."""
@@ -551,6 +558,13 @@ def dim_part(spark, sf_dir):
     return star.dim_part(table(spark, sf_dir, "part"))
 
 
+@query("dim_user_versions")
+def dim_user_versions(spark, sf_dir):
+    """Users by their latest kind of event, as a type-2 dimension."""
+    history = scd.scd2_history(table(spark, sf_dir, "events"), ["user_id"], "ts", ["event_type"], ["event_id"])
+    return star.versioned_dimension(history, ["user_id"])
+
+
 @query("fact_sales")
 def fact_sales(spark, sf_dir):
     return star.fact_sales(table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders"))

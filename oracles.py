@@ -230,6 +230,7 @@ ORACLES: dict[str, str] = {
           where ts > timestamp '2024-01-23 00:00:00'
         union all {AS_OF.format(at="2024-01-23 00:00:00")}""",
     "scd2_history": SCD2,
+    "scd2_history_hot_keys": SCD2,
     "scd2_merge": SCD2,
     "entity_scan": "select c_custkey, c_name, c_mktsegment from customer",
     "incremental_orders": """select o_orderkey, o_orderdate, o_totalprice from orders
@@ -275,6 +276,9 @@ ORACLES: dict[str, str] = {
         from customer join nation on n_nationkey = c_nationkey join region on r_regionkey = n_regionkey""",
     "dim_part": """select md5(cast(p_partkey as varchar)) as part_sk, p_partkey as part_id, p_name as part_name,
           p_brand as brand, p_type as part_type, p_size as part_size from part""",
+    "dim_user_versions": f"""select *, md5(concat(length(cast(user_id as varchar)), ':', user_id,
+            length(cast(epoch_us(valid_from) as varchar)), ':', epoch_us(valid_from))) as version_sk
+        from ({SCD2})""",
     "fact_sales": f"""select l_orderkey as order_id, l_linenumber as line_number,
           md5(cast(o_custkey as varchar)) as customer_sk, md5(cast(l_partkey as varchar)) as part_sk,
           md5(cast(l_suppkey as varchar)) as supplier_sk, cast(o_orderdate as date) as order_date,
