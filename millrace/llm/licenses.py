@@ -9,7 +9,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import columns
+from millrace.llm.common import Workspace, columns
 
 SHINGLE_WORDS = 5
 CONTAINMENT = 0.8
@@ -58,8 +58,13 @@ def bands_for() -> int:
 
 def _shingles(words: Column) -> Column:
     """Hashes of all runs of five words, in order; of the whole text if it has fewer."""
-    last = F.greatest(F.size(words) - SHINGLE_WORDS + 1, F.lit(1))
-    return F.transform(F.sequence(F.lit(1), last), lambda i: F.xxhash64(F.slice(words, i, SHINGLE_WORDS)))
+    last = F.greatest(F.size(words) - SHINGLE_WORDS, F.lit(0))
+    return F.transform(F.sequence(F.lit(0), last), lambda i: F.xxhash64(*[F.get(words, i + k) for k in range(SHINGLE_WORDS)]))
+
+
+def _run(values: Column, start: Column, length: int) -> Column:
+    """Up to ``length`` values from ``start`` on. slice() would copy the whole list for every run."""
+    return F.array_compact(F.transform(F.sequence(F.lit(0), F.lit(length - 1)), lambda k: F.get(values, start + k)))
 
 
 def _band_values(shingles: Column, bands: int) -> Column:
@@ -80,12 +85,11 @@ def _template_table(spark, templates: Sequence[tuple[str, str]]) -> DataFrame:
 def scan_licenses(
     docs: DataFrame, templates: Sequence[tuple[str, str]] = TEMPLATES, *, id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
-    """One row per document and license found: doc_id, license, containment, n_matches, first_word.
+    """One row per document and license found: doc_id, license, containment, n_matches.
 
     Words are runs of a-z and 0-9 after lower-casing. ``containment`` is the largest share of a
     template's distinct five-word shingles (one shingle if it has fewer words) within one place of the
-    text, at least ``CONTAINMENT``; ``first_word`` the earliest such place, ``n_matches`` the number
-    of the license's templates found. Null and empty texts match nothing, rows with a null id are reported under
+    text, at least ``CONTAINMENT``; ``n_matches`` the number of the license's templates found. Null and empty texts match nothing, rows with a null id are reported under
     null and, like rows that repeat an id, together with it. Without templates the result is empty.
 
     Texts that share no shingle with any template, which cannot contain one, get no windows.
@@ -106,27 +110,28 @@ def scan_licenses(
 
     source = columns(docs, doc_id=id_col, text=text_col).where("text is not null")
     words = F.split(F.btrim(F.regexp_replace(F.lower("text"), "[^a-z0-9]+", " ")), " ")
-    texts = source.select("doc_id", words.alias("words")).where("words[0] != ''")
-    texts = texts.select("doc_id", _shingles(F.col("words")).alias("shingles"))
-    near = texts.where(F.arrays_overlap("shingles", F.lit(known).cast("array<bigint>"))) if known else texts.where("false")
-    near = near.withColumn("row", F.monotonically_increasing_id())
-    # The windows start at every multiple of their step; only those with a known shingle can meet a part.
-    scales = F.explode(F.array(*[F.lit(s) for s in steps])).alias("step")
-    starts = near.select("row", "doc_id", "shingles", scales)
-    starts = starts.select("row", "doc_id", "shingles", "step", F.explode(F.sequence(F.lit(0), F.size("shingles") - 1, F.col("step"))).alias("start"))
-    windows = starts.withColumn("window", F.slice("shingles", F.col("start") + 1, 2 * F.col("step")))
-    if known:
-        windows = windows.where(F.arrays_overlap("window", F.lit(known).cast("array<bigint>")))
-    reach = longest + 2 * max(steps)
-    probes = windows.select(
-        "row", "doc_id", "step", "start", F.slice("shingles", F.greatest(F.col("start") - reach, F.lit(0)) + 1, 2 * reach).alias("near"),
-        F.posexplode(_band_values(F.col("window"), bands)).alias("band", "value"),
+    # Through explode() each list is made once; a plain alias is put in place, and evaluated, wherever it is used.
+    texts = source.select("doc_id", F.explode(F.array(words)).alias("words")).where("words[0] != ''")
+    texts = texts.select("doc_id", F.explode(F.array(_shingles(F.col("words")))).alias("shingles"))
+    listed = F.lit(known).cast("array<bigint>") if known else F.array().cast("array<bigint>")
+    near = Workspace(spark, "licenses").stage(
+        texts.where(F.arrays_overlap("shingles", listed)).withColumn("row", F.monotonically_increasing_id())
     )
+    reach = longest + 2 * max(steps)
+
+    def windows(step: int) -> Column:
+        """Start, the window and its surroundings, of windows at multiples of the step that hold a known shingle."""
+        own = lambda at: _run(F.col("shingles"), at, 2 * step)
+        starts = F.filter(F.sequence(F.lit(0), F.size("shingles") - 1, F.lit(step)), lambda at: F.arrays_overlap(own(at), listed))
+        around = lambda at: _run(F.col("shingles"), F.greatest(at - reach, F.lit(0)), 2 * reach)
+        return F.transform(starts, lambda at: F.struct(F.lit(step).alias("step"), at.alias("start"), own(at).alias("window"), around(at).alias("near")))
+
+    cut = near.select("row", "doc_id", F.explode(F.concat(*[windows(s) for s in steps])).alias("w"))
+    probes = cut.select("row", "doc_id", "w.step", "w.start", "w.near", F.posexplode(_band_values(F.col("w.window"), bands)).alias("band", "value"))
     found = probes.join(F.broadcast(keys), ["step", "band", "value"]).dropDuplicates(["row", "start", "template"])
     wholes = table.select("template", "license", F.array_distinct("shingles").alias("whole"))
     share = F.size(F.array_intersect("near", "whole")) / F.size("whole")
     matched = found.join(F.broadcast(wholes), "template").withColumn("share", share).where(F.col("share") >= CONTAINMENT)
     return matched.groupBy("doc_id", "license").agg(
         F.max("share").alias("containment"), F.count_distinct("template").cast("long").alias("n_matches"),
-        F.min("start").cast("long").alias("first_word"),
     )

@@ -96,11 +96,11 @@ from parts p left join fits f on p.page_id = f.page_id and f.n = 1"""
 
 _EMBEDDING_SQL = """
 with recursive unit as (
-  select vec_id, list_transform(embedding, x -> cast(x as double) / sqrt(list_sum(list_transform(embedding, y -> cast(y as double) * y)))) as v
+  select vec_id, list_transform(embedding, lambda x: cast(x as double) / sqrt(list_sum(list_transform(embedding, lambda y: cast(y as double) * y)))) as v
   from embeddings),
 links as (
   select a.vec_id as a, b.vec_id as b from unit a join unit b
-  on a.vec_id != b.vec_id and list_sum(list_transform(list_zip(a.v, b.v), p -> p[1] * p[2])) >= 0.95),
+  on a.vec_id != b.vec_id and list_sum(list_transform(list_zip(a.v, b.v), lambda p: p[1] * p[2])) >= 0.95),
 reach(id, other) as (
   select vec_id, vec_id from embeddings
   union
@@ -115,7 +115,7 @@ with numbered as (
   select doc_id, unnest(string_split(text, chr(10))) as line, unnest(range(len(string_split(text, chr(10))))) as line_no from documents),
 lines as (
   select doc_id, line_no, line,
-    list_filter(string_split(translate(lower(line), chr(9) || chr(13) || chr(12) || chr(11), '    '), ' '), w -> w != '') as words
+    list_filter(string_split(translate(lower(line), chr(9) || chr(13) || chr(12) || chr(11), '    '), ' '), lambda w: w != '') as words
   from numbered),
 firsts as (
   select words, min((doc_id, line_no)) as place from lines where len(words) > 0 group by words),
@@ -144,7 +144,7 @@ def _license_sql() -> str:
     rows = ", ".join(
         f"({i}, '{name}', [{', '.join(repr(w) for w in words_of_template(text))}])" for i, (name, text) in enumerate(TEMPLATES)
     )
-    grams = "list_transform(range(1, greatest(len(words) - 4, 1) + 1), i -> words[i:i + 4])"
+    grams = "list_transform(range(1, greatest(len(words) - 4, 1) + 1), lambda i: words[i:i + 4])"
     return f"""
 with templates(template, license, words) as (values {rows}),
 wanted as (select template, license, list_distinct({grams}) as whole from templates),
@@ -162,4 +162,5 @@ ORACLES: dict[str, str] = {
     "op1_embedding_dedup": _EMBEDDING_SQL,
     "op2_line_dedup": _LINE_SQL,
     "op5_url_filter": _URL_SQL,
+    "op9_licenses": _license_sql(),
 }
