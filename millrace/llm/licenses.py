@@ -115,14 +115,19 @@ def scan_licenses(
     texts = texts.select("doc_id", F.explode(F.array(_shingles(F.col("words")))).alias("shingles"))
     listed = F.lit(known).cast("array<bigint>") if known else F.array().cast("array<bigint>")
     near = Workspace(spark, "licenses").stage(
-        texts.where(F.arrays_overlap("shingles", listed)).withColumn("row", F.monotonically_increasing_id())
+        texts.where(F.arrays_overlap("shingles", listed)).select(
+            F.monotonically_increasing_id().alias("row"), "doc_id", "shingles",
+            F.filter(F.sequence(F.lit(0), F.size("shingles") - 1), lambda i: F.array_contains(listed, F.get("shingles", i))).alias("hits"),
+        )
     )
     reach = longest + 2 * max(steps)
 
     def windows(step: int) -> Column:
         """Start, the window and its surroundings, of windows at multiples of the step that hold a known shingle."""
         own = lambda at: _run(F.col("shingles"), at, 2 * step)
-        starts = F.filter(F.sequence(F.lit(0), F.size("shingles") - 1, F.lit(step)), lambda at: F.arrays_overlap(own(at), listed))
+        last = lambda hit: F.floor(hit / step).cast("int") * step
+        both = F.flatten(F.transform("hits", lambda hit: F.array(last(hit), last(hit) - step)))
+        starts = F.filter(F.array_distinct(both), lambda at: at >= 0)
         around = lambda at: _run(F.col("shingles"), F.greatest(at - reach, F.lit(0)), 2 * reach)
         return F.transform(starts, lambda at: F.struct(F.lit(step).alias("step"), at.alias("start"), own(at).alias("window"), around(at).alias("near")))
 
