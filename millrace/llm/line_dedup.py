@@ -108,11 +108,14 @@ def _near_lines(lines: DataFrame, first: DataFrame, docs: DataFrame, work: Works
     meets = variants.join(groups, "variant").select(
         "place", F.expr("case when full is null then masked_first when full then longer_first else text end").alias("earlier")
     )
-    edges = meets.where("earlier < place").distinct()
+    edges = work.stage(meets.where("earlier < place").distinct())
+    work.drop(places, variants)
     left = candidates.withColumnRenamed("words", "own")
     right = candidates.select(F.col("place").alias("earlier"), F.col("words").alias("other"))
     verified = edges.join(left, "place").join(right, "earlier").where(_one_word_apart(F.col("own"), F.col("other")))
-    return verified.select("place").distinct()
+    near = work.stage(verified.select("place").distinct())
+    work.drop(candidates, edges)
+    return near
 
 
 def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
