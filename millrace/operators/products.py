@@ -12,6 +12,7 @@ from typing import Literal
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.functions import product as rules
 from millrace.functions.columns import all_of
@@ -29,7 +30,12 @@ def clean_text_fields(df: DataFrame) -> DataFrame:
 
 
 def median_price(df: DataFrame, method: Literal["exact", "approx"] = "exact") -> DataFrame:
-    """The median price as one row; see :mod:`millrace.functions.quantile`."""
+    """The median price as one row; see :mod:`millrace.functions.quantile`.
+
+    The exact one is of integers and decimals; float and double prices always get the approximate one.
+    """
+    if isinstance(df.schema["price"].dataType, T.FloatType | T.DoubleType):
+        method = "approx"
     return exact_quantile(df, "price") if method == "exact" else approx_quantile(df, "price")
 
 

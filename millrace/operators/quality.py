@@ -31,7 +31,7 @@ class Expectation:
     name: str
     column: str | None = None
     holds: Column | None = None
-    row_range: tuple[int, int] | None = None
+    row_range: tuple[int, int | None] | None = None
 
 
 def not_null(column: str) -> Expectation:
@@ -50,18 +50,21 @@ def matches(column: str, pattern: str) -> Expectation:
     return Expectation("regex", column, F.col(column).rlike(pattern))
 
 
-def row_count_between(low: int, high: int) -> Expectation:
+def row_count_between(low: int, high: int | None) -> Expectation:
+    """``high`` None: no upper bound."""
     return Expectation("row_count", row_range=(low, high))
 
 
-def product_suite(categories: Sequence[str] = PRODUCT_CATEGORIES) -> list[Expectation]:
+def product_suite(
+    categories: Sequence[str] = PRODUCT_CATEGORIES, row_range: tuple[int, int | None] = ROW_RANGE
+) -> list[Expectation]:
     return [
         not_null("product_id"),
         not_null("product_name"),
         between("price", *PRICE_RANGE),
         in_set("category", categories),
         matches("product_id", PRODUCT_ID_PATTERN),
-        row_count_between(*ROW_RANGE),
+        row_count_between(*row_range),
     ]
 
 
@@ -70,7 +73,7 @@ def _result(i: int, e: Expectation) -> Column:
     if e.row_range:
         low, high = e.row_range
         none = F.lit(0).cast("long")
-        success = rows.between(low, high)
+        success = rows >= low if high is None else rows.between(low, high)
         return F.struct(
             F.lit(e.name), F.lit(None).cast("string"), rows, none, none, F.lit(0.0), success
         )

@@ -57,6 +57,7 @@ def load_products(
     raw: DataFrame, root: str, *, source: str, batch_id: str, as_of: dt.date | None = None,
     ingested_at: dt.datetime | None = None, categories: Sequence[str] = quality.PRODUCT_CATEGORIES,
     quarantine: str | None = None, minimum_percent: float = quality.GATE_PERCENT, gold_table: str | None = None,
+    row_range: tuple[int, int | None] = (1, None),
 ) -> dict:
     """Run one product batch through the layers and return what happened.
 
@@ -74,7 +75,7 @@ def load_products(
     silver = read_validated(spark, silver_path)
     append_quarantine(quarantine_rows(silver), quarantine or f"{root}/quarantine/products", batch_id)
 
-    results = quality.check(valid_rows(silver), quality.product_suite(categories))
+    results = quality.check(valid_rows(silver), quality.product_suite(categories, row_range))
     verdict = quality.gate(results, minimum_percent).first().asDict()
     if verdict["gate_passed"]:
         name = gold_table or "category_summary"

@@ -32,7 +32,6 @@ def build_session(app: str = "millrace", master: str | None = None, **conf: str)
 
 
 SHUFFLE_PARTITION_BYTES = 512 * 1024 * 1024
-MAX_SHUFFLE_PARTITIONS = 100_000
 
 
 def shuffle_settings(input_bytes: int, cores: int) -> dict[str, str]:
@@ -41,8 +40,7 @@ def shuffle_settings(input_bytes: int, cores: int) -> dict[str, str]:
     Starts with partitions a task can sort in memory, at least two per core; adaptive
     execution merges the small ones to its advisory size and splits skewed ones in joins.
     """
-    wanted = math.ceil(input_bytes / SHUFFLE_PARTITION_BYTES)
-    partitions = min(max(wanted, 2 * cores), MAX_SHUFFLE_PARTITIONS)
+    partitions = max(math.ceil(input_bytes / SHUFFLE_PARTITION_BYTES), 2 * cores)
     return {
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",

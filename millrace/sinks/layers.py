@@ -18,7 +18,9 @@ from millrace.operators.versions import as_of, batch_history
 from millrace.sinks import delta
 from millrace.sinks.storage import (
     delete_path,
+    partition_columns,
     path_exists,
+    read_stored,
     recover_table,
     replace_table,
     scratch_dir,
@@ -64,7 +66,11 @@ def write_bronze(
     """Land raw rows with batch metadata; returns the number written, counted by the write itself."""
     written = Observation()
     rows = with_batch_metadata(_balanced(df, partition_cols), source, batch_id, ingested_at)
-    writer = rows.observe(written, F.count(F.lit(1)).alias("rows")).write.format(fmt).mode(mode)
+    rows = rows.observe(written, F.count(F.lit(1)).alias("rows"))
+    if fmt != "delta" and mode == "overwrite":
+        replace_table(rows, table_path(root, "bronze", table), fmt, list(partition_cols))
+        return written.get["rows"]
+    writer = rows.write.format(fmt).mode(mode)
     if fmt == "delta":
         writer = writer.option("mergeSchema", "true")
     if partition_cols:
@@ -77,10 +83,8 @@ def read_table(
     spark: SparkSession, root: str, layer: str, table: str, *, merge_schema: bool = False, fmt: str = "parquet"
 ) -> DataFrame:
     """Read a layer's table; ``merge_schema`` unites the columns of all loads (reads every footer)."""
-    reader = spark.read.format(fmt)
-    if merge_schema:
-        reader = reader.option("mergeSchema", "true")
-    return reader.load(table_path(root, layer, table))
+    options = {"mergeSchema": "true"} if merge_schema else {}
+    return read_stored(spark, table_path(root, layer, table), fmt, **options)
 
 
 def _read_typed(spark: SparkSession, path: str, fmt: str, types: Mapping[str, T.DataType]) -> DataFrame:
@@ -146,12 +150,17 @@ def write_silver(
         return
     recover_table(spark, path)
     if not (merge_keys and path_exists(spark, path)):
-        writer = _balanced(df, columns).write.format(fmt).mode("overwrite")
-        (writer.partitionBy(*columns) if columns else writer).save(path)
+        if fmt == "delta":
+            writer = _balanced(df, columns).write.format(fmt).mode("overwrite")
+            (writer.partitionBy(*columns) if columns else writer).save(path)
+        else:
+            replace_table(_balanced(df, columns), path, fmt, columns)
         return
 
     keys = key_list(merge_keys)
-    target = _read_typed(spark, path, fmt, {c: df.schema[c].dataType for c in columns})
+    stored = partition_columns(spark, path)
+    columns = columns or stored
+    target = _read_typed(spark, path, fmt, {c: df.schema[c].dataType for c in stored if c in df.columns})
     with _staged(df) as batch:
         if columns and set(columns) <= set(keys):
             merged = upsert(_touched_partitions(target, batch, columns), batch, keys)
@@ -234,7 +243,7 @@ def write_validated(flagged: DataFrame, path: str, fmt: str = "parquet") -> None
     The plan behind ``flagged`` runs once, with nothing cached; reading either side
     afterwards opens only its directory.
     """
-    flagged.write.format(fmt).mode("overwrite").partitionBy("_is_valid").save(path)
+    replace_table(flagged, path, fmt, ["_is_valid"])
 
 
 def read_validated(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:

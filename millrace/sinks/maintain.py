@@ -11,16 +11,16 @@ from pyspark.sql import functions as F
 
 from millrace.functions.zorder import with_z_value
 from millrace.operators.versions import retain
-from millrace.sinks.storage import path_bytes, replace_table
+from millrace.sinks.storage import partition_columns, path_bytes, read_stored, replace_table
 
 TARGET_FILE_BYTES = 512 * 1024 * 1024
 RETAIN_HOURS = 168
 
 
 def compact(
-    spark: SparkSession, path: str, target_bytes: int = TARGET_FILE_BYTES, partition_cols: Sequence[str] = ()
+    spark: SparkSession, path: str, target_bytes: int = TARGET_FILE_BYTES, partition_cols: Sequence[str] | None = None
 ) -> None:
-    """Rewrite small files into files of about ``target_bytes``.
+    """Rewrite small files into files of about ``target_bytes``, partitioned as before or by ``partition_cols``.
 
     Unpartitioned tables are not shuffled: the scan itself packs files up to the target
     into one task, and each task writes one file. Partitioned tables are rebalanced by
@@ -31,7 +31,8 @@ def compact(
     session.conf.set("spark.sql.files.openCostInBytes", str(min(target_bytes // 64, 4 * 1024 * 1024)))
     session.conf.set("spark.sql.files.minPartitionNum", "1")
     session.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_bytes))
-    table = session.read.parquet(path)
+    table = read_stored(session, path)
+    partition_cols = partition_columns(spark, path) if partition_cols is None else partition_cols
     if partition_cols:
         table = table.hint("rebalance", *[F.col(c) for c in partition_cols])
     replace_table(table, path, partition_cols=list(partition_cols))
@@ -58,18 +59,27 @@ def cluster_by_z_order(df: DataFrame, columns: Sequence[str], files: int) -> Dat
 def optimize_table(
     spark: SparkSession, path: str, zorder_cols: Sequence[str] = (), target_bytes: int = TARGET_FILE_BYTES
 ) -> None:
-    """Compact a table, clustering it by ``zorder_cols`` if given."""
+    """Compact a table, clustering it by ``zorder_cols`` if given; its partitions and their values stay."""
     if not zorder_cols:
         compact(spark, path, target_bytes)
         return
     files = max(1, math.ceil(path_bytes(spark, path) / target_bytes))
-    replace_table(cluster_by_z_order(spark.read.parquet(path), zorder_cols, files), path)
+    table = cluster_by_z_order(read_stored(spark, path), zorder_cols, files)
+    replace_table(table, path, partition_cols=partition_columns(spark, path))
 
 
 def prune_log(
     spark: SparkSession, path: str, keys: Sequence[str], ts: str, now: dt.datetime,
     retain_hours: int = RETAIN_HOURS, tie_breakers: Sequence[str] = (),
 ) -> None:
-    """Rewrite a stored change log without the versions superseded before the retention began."""
+    """Rewrite a stored change log without the versions superseded before the retention began.
+
+    For a pause of the stream that writes the log, if one does.
+    """
     cutoff = now - dt.timedelta(hours=retain_hours)
-    replace_table(retain(spark.read.parquet(path), keys, ts, cutoff, tie_breakers), path)
+    stored = partition_columns(spark, path)
+    kept = retain(read_stored(spark, path), keys, ts, cutoff, tie_breakers)
+    if "stream_batch" in stored:
+        # Before the first micro-batch, where the stream's own directories do not hide it.
+        kept = kept.withColumn("stream_batch", F.lit(-1))
+    replace_table(kept, path, partition_cols=stored)

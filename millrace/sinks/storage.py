@@ -6,6 +6,8 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 LAYERS = ("bronze", "silver", "gold")
 
@@ -63,6 +65,39 @@ def recover_table(spark: SparkSession, path: str) -> None:
         files.rename(old, live)
 
 
+def partition_columns(spark: SparkSession, path: str) -> list[str]:
+    """The columns a table's directories are named after, outermost first."""
+    files, where = _path(spark, path)
+    names = []
+    while True:
+        inner = [s.getPath() for s in files.listStatus(where) if s.isDirectory() and "=" in s.getPath().getName()]
+        if not inner:
+            return names
+        names.append(inner[0].getName().split("=")[0])
+        where = inner[0]
+
+
+def read_stored(spark: SparkSession, path: str, fmt: str = "parquet", **options: str) -> DataFrame:
+    """A stored table whose partition values read back as they were written.
+
+    Spark guesses partition types from directory names. A guess is kept only if it gives back every
+    directory's text; a column with a value like "01", which would become 1, is read as text.
+    """
+    guessed = spark.read.format(fmt).options(**options).load(path)
+    if fmt != "parquet":
+        return guessed
+    kinds = {c: guessed.schema[c].dataType for c in partition_columns(spark, path) if c in guessed.columns}
+    if all(isinstance(k, T.StringType) for k in kinds.values()):
+        return guessed
+    as_text = T.StructType([T.StructField(f.name, T.StringType() if f.name in kinds else f.dataType) for f in guessed.schema])
+    read = lambda schema: spark.read.format(fmt).options(**options).schema(schema).load(path)
+    changed = {
+        c: F.count_if(~F.col(f"`{c}`").try_cast(k).cast("string").eqNullSafe(F.col(f"`{c}`"))).alias(c) for c, k in kinds.items()
+    }
+    lost = read(as_text).select(*[f"`{c}`" for c in kinds]).distinct().agg(*changed.values()).first()
+    return read(T.StructType([as_text[f.name] if f.name in kinds and lost[f.name] else f for f in guessed.schema]))
+
+
 def replace_table(
     df: DataFrame, path: str, fmt: str = "parquet", partition_cols: list[str] | None = None
 ) -> None:
