@@ -11,6 +11,11 @@ from millrace.functions.columns import as_long, surrogate_key
 from millrace.operators.joins import replicated_join
 
 
+# What a row without a match in a dimension gets: the dimension's name for it, and its key.
+UNKNOWN = "Unknown"
+UNKNOWN_KEY = "unknown"
+
+
 def money(column: str) -> Column:
     """Money as a decimal: sums are exact and the same whatever order they run in."""
     return F.col(column).cast("decimal(15,2)")
@@ -21,12 +26,24 @@ def net_amount() -> Column:
     return money("l_extendedprice") * (F.lit(1).cast("decimal(1,0)") - F.col("l_discount").cast("decimal(4,2)"))
 
 
-def dim_customer(customer: DataFrame, nation: DataFrame, region: DataFrame) -> DataFrame:
-    """Customers with their nation and region names."""
-    geography = replicated_join(nation, region, nation["n_regionkey"] == region["r_regionkey"]).select(
+def _with_geography(members: DataFrame, nation_key: str, nation: DataFrame, region: DataFrame) -> DataFrame:
+    """All members, with nation and region names where those are known."""
+    geography = replicated_join(nation, region, nation["n_regionkey"] == region["r_regionkey"], "left").select(
         "n_nationkey", "n_name", "r_name"
     )
-    return replicated_join(customer, geography, customer["c_nationkey"] == geography["n_nationkey"]).select(
+    joined = replicated_join(members, geography, members[nation_key] == geography["n_nationkey"], "left")
+    return joined.withColumns({c: F.coalesce(c, F.lit(UNKNOWN)) for c in ("n_name", "r_name")})
+
+
+def with_unknown_member(dimension: DataFrame, key: str) -> DataFrame:
+    """The dimension and one more row, which facts without a member refer to."""
+    unknown = dimension.sparkSession.range(1).select(F.lit(UNKNOWN_KEY).alias(key))
+    return dimension.unionByName(unknown, allowMissingColumns=True)
+
+
+def dim_customer(customer: DataFrame, nation: DataFrame, region: DataFrame) -> DataFrame:
+    """Customers with their nation and region names; ``Unknown`` where there is none."""
+    return _with_geography(customer, "c_nationkey", nation, region).select(
         surrogate_key("c_custkey").alias("customer_sk"),
         F.col("c_custkey").alias("customer_id"),
         F.col("c_name").alias("customer_name"),
@@ -36,6 +53,26 @@ def dim_customer(customer: DataFrame, nation: DataFrame, region: DataFrame) -> D
     )
 
 
+def dim_supplier(supplier: DataFrame, nation: DataFrame, region: DataFrame) -> DataFrame:
+    """Suppliers with their nation and region names; ``Unknown`` where there is none."""
+    return _with_geography(supplier, "s_nationkey", nation, region).select(
+        surrogate_key("s_suppkey").alias("supplier_sk"),
+        F.col("s_suppkey").alias("supplier_id"),
+        F.col("s_name").alias("supplier_name"),
+        F.col("n_name").alias("nation"),
+        F.col("r_name").alias("region"),
+    )
+
+
+def dim_date(dates: DataFrame) -> DataFrame:
+    """One row per distinct date of the table's first column; weekdays count from Monday, 1."""
+    day = F.col("date")
+    return dates.select(F.col(dates.columns[0]).cast("date").alias("date")).where("date is not null").distinct().select(
+        "date", F.year(day).alias("year"), F.quarter(day).alias("quarter"), F.month(day).alias("month"),
+        F.day(day).alias("day"), (F.weekday(day) + 1).alias("weekday"),
+    )
+
+
 def dim_part(part: DataFrame) -> DataFrame:
     return part.select(
         surrogate_key("p_partkey").alias("part_sk"),
@@ -57,8 +94,13 @@ def fact_sales(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
     """One row per order line, with the surrogate keys of its dimensions.
 
     The one join is line to order. Dimension keys are derived from the natural keys in
-    the row, so the fact is never joined to a dimension to be built.
+    the row, so the fact is never joined to a dimension to be built. Lines without an order
+    stay, with the unknown customer and no order date; missing keys become ``UNKNOWN_KEY``.
     """
+
+    def key(column: str) -> Column:
+        return F.coalesce(surrogate_key(column), F.lit(UNKNOWN_KEY))
+
     lines = lineitem.select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate",
         F.col("l_quantity").cast("decimal(12,2)").alias("quantity"),
@@ -66,12 +108,12 @@ def fact_sales(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
         net_amount().alias("net_amount"),
     )
     heads = orders.select("o_orderkey", "o_custkey", "o_orderdate")
-    return lines.join(heads, F.col("l_orderkey") == F.col("o_orderkey")).select(
+    return lines.join(heads, F.col("l_orderkey") == F.col("o_orderkey"), "left").select(
         F.col("l_orderkey").alias("order_id"),
         F.col("l_linenumber").alias("line_number"),
-        surrogate_key("o_custkey").alias("customer_sk"),
-        surrogate_key("l_partkey").alias("part_sk"),
-        surrogate_key("l_suppkey").alias("supplier_sk"),
+        key("o_custkey").alias("customer_sk"),
+        key("l_partkey").alias("part_sk"),
+        key("l_suppkey").alias("supplier_sk"),
         F.col("o_orderdate").cast("date").alias("order_date"),
         F.col("l_shipdate").cast("date").alias("ship_date"),
         "quantity", "gross_amount", "net_amount",

@@ -514,7 +514,8 @@ def gold_incremental_revenue(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem")
     loaded = "l_returnflag <> 'N'"
     name = layers.write_gold(gold.daily_revenue(lines.where(loaded)), root, "daily", name=fresh_name("daily"))
-    return gold.add_revenue(spark.table(name), lines.where(f"not ({loaded})"))
+    layers.write_gold(gold.add_revenue(spark.table(name), lines.where(f"not ({loaded})")), root, "daily", name=name)
+    return spark.table(name)
 
 
 @query("gold_hash_distribution")
@@ -553,6 +554,18 @@ def dim_customer(spark, sf_dir):
     return star.dim_customer(*[table(spark, sf_dir, t) for t in ("customer", "nation", "region")])
 
 
+@query("dim_supplier")
+def dim_supplier(spark, sf_dir):
+    return star.dim_supplier(*[table(spark, sf_dir, t) for t in ("supplier", "nation", "region")])
+
+
+@query("dim_date")
+def dim_date(spark, sf_dir):
+    """The dates that sales refer to."""
+    ordered = table(spark, sf_dir, "orders").select("o_orderdate")
+    return star.dim_date(ordered.union(table(spark, sf_dir, "lineitem").select("l_shipdate")))
+
+
 @query("dim_part")
 def dim_part(spark, sf_dir):
     return star.dim_part(table(spark, sf_dir, "part"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import warnings
 from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager
 from typing import Any, Literal
@@ -18,12 +19,14 @@ from millrace.operators.versions import as_of, batch_history
 from millrace.sinks import delta
 from millrace.sinks.storage import (
     delete_path,
+    fresh_name,
     partition_columns,
     path_exists,
     read_stored,
     recover_table,
     replace_table,
     scratch_dir,
+    swap_in,
     table_path,
 )
 
@@ -208,11 +211,14 @@ def write_gold(
 
     HASH buckets and sorts by ``keys`` so that joins and aggregates on them need no
     shuffle. The write splits a heavy bucket over tasks; if one turns out too heavy to be
-    read by one task, the same files are registered without buckets, and joins fall back
-    to shuffles whose skew adaptive execution handles. ROUND_ROBIN writes even files:
+    read by one task, the same files are registered without buckets, with a warning, and joins
+    fall back to shuffles whose skew adaptive execution handles. ROUND_ROBIN writes even files:
     ``parts`` of them, or as many as the data needs at the advisory partition size.
     REPLICATE writes one plain copy; joins replicate it after checking its size
     (:func:`millrace.operators.joins.replicated_join`).
+
+    The new files are complete before the old ones go, so ``df`` may read the table it
+    replaces, and a write that fails leaves the table as it was. One writer at a time.
     """
     spark, path, name = df.sparkSession, table_path(root, "gold", table), name or table
     if distribution == "HASH":
@@ -227,11 +233,22 @@ def write_gold(
         shaped = df
     else:
         raise ValueError(f"unknown distribution {distribution!r}")
-    writer = shaped.write.format(fmt).mode("overwrite").option("path", path)
+    in_place = fmt == "delta"
+    staged = name if in_place else fresh_name("staged")
+    writer = shaped.write.format(fmt).mode("overwrite").option("path", path if in_place else f"{path}__new")
     if distribution == "HASH":
         writer = writer.bucketBy(parts, *keys).sortBy(*keys)
-    writer.saveAsTable(name)
+    if not in_place:
+        recover_table(spark, path)
+    writer.saveAsTable(staged)
+    if not in_place:
+        swap_in(spark, path)
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        location = path.replace("\\", "\\\\").replace("'", "\\'")
+        spark.sql(f"CREATE TABLE {name} LIKE {staged} LOCATION '{location}'")
+        spark.sql(f"DROP TABLE {staged}")
     if distribution == "HASH" and _bucket_too_heavy(spark, path, fmt, keys, parts):
+        warnings.warn(f"{name}: one of {parts} buckets is too heavy for one task; registered without buckets", stacklevel=2)
         spark.sql(f"DROP TABLE {name}")
         spark.catalog.createTable(name, path=path, source=fmt)
     return name

@@ -112,7 +112,11 @@ def replace_table(
     if partition_cols:
         writer = writer.partitionBy(*partition_cols)
     writer.save(f"{path}__new")
+    swap_in(spark, path)
 
+
+def swap_in(spark: SparkSession, path: str) -> None:
+    """Put the complete directory ``path__new`` in the place of ``path``."""
     files, live = _path(spark, path)
     _, new = _path(spark, f"{path}__new")
     _, old = _path(spark, f"{path}__old")

@@ -274,6 +274,13 @@ ORACLES: dict[str, str] = {
     "dim_customer": """select md5(cast(c_custkey as varchar)) as customer_sk, c_custkey as customer_id,
           c_name as customer_name, c_mktsegment as market_segment, n_name as nation, r_name as region
         from customer join nation on n_nationkey = c_nationkey join region on r_regionkey = n_regionkey""",
+    "dim_supplier": """select md5(cast(s_suppkey as varchar)) as supplier_sk, s_suppkey as supplier_id,
+          s_name as supplier_name, coalesce(n_name, 'Unknown') as nation, coalesce(r_name, 'Unknown') as region
+        from supplier left join nation on n_nationkey = s_nationkey left join region on r_regionkey = n_regionkey""",
+    "dim_date": """select d as date, cast(year(d) as integer) as year, cast(quarter(d) as integer) as quarter,
+          cast(month(d) as integer) as month, cast(day(d) as integer) as day, cast(isodow(d) as integer) as weekday
+        from (select cast(o_orderdate as date) as d from orders union select cast(l_shipdate as date) from lineitem)
+        where d is not null""",
     "dim_part": """select md5(cast(p_partkey as varchar)) as part_sk, p_partkey as part_id, p_name as part_name,
           p_brand as brand, p_type as part_type, p_size as part_size from part""",
     "dim_user_versions": f"""select *, md5(concat(length(cast(user_id as varchar)), ':', user_id,

@@ -248,3 +248,20 @@ def test_delta_statements():
     assert delta.optimize_sql("/t", ["a", "b"]) == "OPTIMIZE delta.`/t` ZORDER BY (a, b)"
     assert delta.optimize_sql("/t") == "OPTIMIZE delta.`/t`"
     assert delta.vacuum_sql("/t", 168) == "VACUUM delta.`/t` RETAIN 168 HOURS"
+
+
+@pytest.mark.parametrize("options", [{}, {"distribution": "HASH", "keys": ["k"], "parts": 4}, {"distribution": "REPLICATE"}])
+def test_gold_tables_can_be_written_from_themselves_and_survive_a_failed_write(spark, root, options):
+    name = storage.fresh_name("gold")
+    layers.write_gold(spark.range(10).selectExpr("id % 3 as k", "id as v"), root, "t", name=name, **options)
+    more = spark.table(name).union(spark.range(10, 12).selectExpr("id % 3", "id"))
+    layers.write_gold(more, root, "t", name=name, **options)
+    assert sorted(r["v"] for r in spark.table(name).collect()) == list(range(12))
+    with pytest.raises(Exception, match="stop here"):
+        broken = spark.range(5).selectExpr("id as k", "if(id = 3, cast(raise_error('stop here') as long), id) as v")
+        layers.write_gold(broken, root, "t", name=name, **options)
+    assert spark.table(name).count() == 12
+    if "keys" in options:
+        spec = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE EXTENDED {name}").collect()}
+        assert spec["Num Buckets"] == "4"
+    spark.sql(f"DROP TABLE {name}")

@@ -37,3 +37,15 @@ def test_revenue_adds_up(spark, sf_dir):
     parts = gold.add_revenue(gold.daily_revenue(lines.where("l_tax < 0.04")), lines.where("l_tax >= 0.04"))
     assert whole.exceptAll(parts).count() == parts.exceptAll(whole).count() == 0
     assert sum(r["line_count"] for r in whole.collect()) == lines.count()
+
+
+def test_members_without_a_match_stay(spark, sf_dir):
+    tables = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("lineitem", "orders", "customer", "nation", "region")}
+    customers = star.dim_customer(tables["customer"], tables["nation"].where("n_nationkey > 3"), tables["region"].where("r_regionkey > 1"))
+    assert customers.count() == tables["customer"].count()
+    assert customers.where("region = 'Unknown'").count() > customers.where("nation = 'Unknown'").count() > 0
+    fact = star.fact_sales(tables["lineitem"], tables["orders"].where("o_orderkey % 2 = 0"))
+    assert fact.count() == tables["lineitem"].count()
+    members = star.with_unknown_member(customers, "customer_sk")
+    assert fact.where(F.col("customer_sk") == star.UNKNOWN_KEY).count() > 0
+    assert fact.join(members, "customer_sk", "left_anti").count() == 0
