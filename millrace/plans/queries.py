@@ -485,6 +485,47 @@ def silver_merge_partitioned(spark, sf_dir):
     return layers.read_table(spark, root, "silver", "orders")
 
 
+def _by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with the month as zero-padded text."""
+    return table(spark, sf_dir, "orders").withColumn("order_month", F.date_format("o_orderdate", "MM"))
+
+
+def _stored_by_month(spark: SparkSession, sf_dir: str) -> str:
+    root = scratch_dir(spark, "months")
+    layers.write_silver(_by_month(spark, sf_dir), root, "orders", partition_cols=["order_month"])
+    return root
+
+
+@query("partition_text_roundtrip")
+def partition_text_roundtrip(spark, sf_dir):
+    """Text partition values that look like numbers come back as text."""
+    return layers.read_table(spark, _stored_by_month(spark, sf_dir), "silver", "orders")
+
+
+@query("silver_merge_keeps_layout")
+def silver_merge_keeps_layout(spark, sf_dir):
+    """A merge that names no partition columns leaves the stored ones in place."""
+    root = scratch_dir(spark, "silver")
+    orders = _by_month(spark, sf_dir)
+    layers.write_silver(orders.where("o_orderdate < timestamp_ntz'2000-01-01'"), root, "orders", partition_cols=["order_month"])
+    layers.write_silver(_order_batch(orders), root, "orders", merge_keys="o_orderkey")
+    return layers.read_table(spark, root, "silver", "orders")
+
+
+@query("optimize_partitioned")
+def optimize_partitioned(spark, sf_dir):
+    root = _stored_by_month(spark, sf_dir)
+    maintain.optimize_table(spark, table_path(root, "silver", "orders"))
+    return layers.read_table(spark, root, "silver", "orders")
+
+
+@query("zorder_partitioned")
+def zorder_partitioned(spark, sf_dir):
+    root = _stored_by_month(spark, sf_dir)
+    maintain.optimize_table(spark, table_path(root, "silver", "orders"), ["o_custkey", "o_orderkey"])
+    return layers.read_table(spark, root, "silver", "orders")
+
+
 @query("layer_row_counts")
 def layer_row_counts(spark, sf_dir):
     return gold.layer_counts(products.flag_valid(clean_products(spark, sf_dir)))
@@ -635,3 +676,18 @@ def stream_upsert_events(spark, sf_dir):
     order = {"keys": ["user_id"], "ts": "ts", "tie_breakers": ["event_id"]}
     stream_upsert(_event_stream(spark, sf_dir), path, f"{root}/checkpoint", **order).awaitTermination()
     return read_upserted(spark, path, **order)
+
+
+@query("stream_upsert_pruned")
+def stream_upsert_pruned(spark, sf_dir):
+    """A change log pruned between two micro-batches; every key keeps its newest row."""
+    root = scratch_dir(spark, "stream")
+    path, landing = table_path(root, "silver", "events"), f"{root}/landing"
+    order = {"keys": ["user_id"], "ts": "ts", "tie_breakers": ["event_id"]}
+    events = table(spark, sf_dir, "events")
+    for early in ("event_id % 2 = 0", "event_id % 2 <> 0"):
+        events.where(early).write.mode("append").parquet(landing)
+        stream = stream_files(spark, landing, events.schema)
+        stream_upsert(stream, path, f"{root}/checkpoint", **order).awaitTermination()
+        maintain.prune_log(spark, path, order["keys"], "ts", INGESTED_AT, tie_breakers=order["tie_breakers"])
+    return read_upserted(spark, path, **order)

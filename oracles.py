@@ -253,6 +253,12 @@ ORACLES: dict[str, str] = {
     "silver_merge": f"with {ORDER_BATCH} select * from merged",
     "silver_merge_partitioned": f"""with {ORDER_BATCH}
         select *, year(o_orderdate) as order_year from merged""",
+    **{
+        name: "select *, strftime(o_orderdate, '%m') as order_month from orders"
+        for name in ("partition_text_roundtrip", "optimize_partitioned", "zorder_partitioned")
+    },
+    "silver_merge_keeps_layout": f"""with {ORDER_BATCH}
+        select *, strftime(o_orderdate, '%m') as order_month from merged""",
     "layer_row_counts": f"""with {CLEAN}
         select count(*) as total_rows, count(*) filter (where {VALID}) as valid_rows,
           count(*) filter (where not {VALID}) as quarantined_rows from clean""",
@@ -296,7 +302,7 @@ ORACLES: dict[str, str] = {
     "zorder_table": "select * from lineitem",
     "compact_table": "select * from orders",
     "stream_bronze_events": """select *, 'hub' as _source_system, '20241231120000' as _batch_id from events""",
-    "stream_upsert_events": """select event_id, ts, user_id, event_type, value, props from (
+    **dict.fromkeys(("stream_upsert_events", "stream_upsert_pruned"), """select event_id, ts, user_id, event_type, value, props from (
           select *, row_number() over (partition by user_id order by ts desc, event_id desc) as rn
-          from events) where rn = 1""",
+          from events) where rn = 1"""),
 }
