@@ -1,4 +1,4 @@
-"""Benchmark decontamination: rare n-gram seeds find passages, Smith-Waterman alignment scores them."""
+"""Benchmark decontamination: n-gram seeds find passages, Smith-Waterman alignment scores them."""
 
 from __future__ import annotations
 
@@ -12,9 +12,6 @@ from pyspark.sql import functions as F
 from millrace.llm.common import Workspace, columns, fresh_column, gram_hashes, word_hashes, words_of
 
 SEED_WORDS = 3
-# Of an item's distinct n-grams, the share that is rarest in the corpus seeds the search.
-RARE_SHARE = 0.6
-MIN_SEEDS = 4
 MATCH, MISMATCH, GAP = 2, -1, -1
 # Part of the score of a verbatim copy of the whole item from which a passage counts as a copy.
 MIN_SCORE = 0.5
@@ -25,12 +22,21 @@ BLOCK_WORDS = 1_000_000
 class SeedIndex:
     """Sorted n-gram hashes of a block of benchmark items."""
 
-    def __init__(self, items: list[tuple[int, str]]):
-        self.items = {i: word_hashes(words_of(text)) for i, text in items}
-        grams = {i: np.unique(gram_hashes(h, min(SEED_WORDS, max(len(h), 1)))) for i, h in self.items.items()}
-        self.sizes = sorted({min(SEED_WORDS, len(h)) for h in self.items.values() if len(h)})
-        self.hashes = np.unique(np.concatenate([*grams.values(), np.empty(0, dtype=np.uint64)]).astype(np.uint64))
-        self.grams = {i: np.searchsorted(self.hashes, g) for i, g in grams.items()}
+    def __init__(self, items: list[tuple]):
+        # Inside, an item is its number in the block; ids may be null or repeat.
+        self.ids = [i for i, _ in items]
+        self.items = [word_hashes(words_of(text)) for _, text in items]
+        grams = [np.unique(gram_hashes(h, min(SEED_WORDS, max(len(h), 1)))) for h in self.items]
+        self.sizes = sorted({min(SEED_WORDS, len(h)) for h in self.items if len(h)})
+        self.hashes = np.unique(np.concatenate([*grams, np.empty(0, dtype=np.uint64)]).astype(np.uint64))
+        self.grams = [np.searchsorted(self.hashes, g) for g in grams]
+        # The items that hold each n-gram, and the words of each item, as flat arrays and where each part begins.
+        owner = np.repeat(np.arange(len(items)), [len(g) for g in grams])
+        held = np.concatenate([*self.grams, np.empty(0, dtype=np.int64)]).astype(np.int64)
+        self.holders = owner[np.argsort(held, kind="stable")]
+        self.edges = np.concatenate([[0], np.cumsum(np.bincount(held, minlength=len(self.hashes)))])
+        self.item_words = np.concatenate([*self.items, np.empty(0, dtype=np.uint64)]).astype(np.uint64)
+        self.word_edges = np.concatenate([[0], np.cumsum([len(h) for h in self.items])]).astype(np.int64)
 
     def positions(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Positions in the text at which an n-gram of an item begins, and which n-gram it is."""
@@ -48,18 +54,36 @@ class SeedIndex:
         order = np.argsort(np.concatenate(where), kind="stable")
         return np.concatenate(where)[order], np.concatenate(which)[order]
 
-    def seeds(self, df: dict[int, int]) -> dict[int, list[int]]:
-        """n-gram -> items it is a seed of: the rarest ``RARE_SHARE`` of each item's n-grams, ties included."""
-        found: dict[int, list[int]] = {}
-        for item, grams in self.grams.items():
-            counts = np.array([df.get(int(g), 0) for g in grams])
-            if not len(counts):
-                continue
-            quota = min(len(counts), max(MIN_SEEDS, int(np.ceil(RARE_SHARE * len(counts)))))
-            limit = np.sort(counts)[quota - 1]
-            for g in grams[counts <= limit]:
-                found.setdefault(int(g), []).append(item)
-        return found
+    def candidates(self, hashes: np.ndarray, which: np.ndarray) -> np.ndarray:
+        """Items that share an n-gram with the text and can reach ``MIN_SCORE`` with its words: sorted.
+
+        A score of ``MATCH`` a matched word is the most an alignment can have, so an item of whose
+        words the text holds a smaller share than ``MIN_SCORE`` cannot be copied by it.
+        """
+        grams = np.unique(which)
+        starts, stops = self.edges[grams], self.edges[grams + 1]
+        items = np.unique(self.holders[_spans(starts, stops)])
+        if not len(items):
+            return items
+        spans = _spans(self.word_edges[items], self.word_edges[items + 1])
+        held = np.isin(self.item_words[spans], hashes)
+        sizes = self.word_edges[items + 1] - self.word_edges[items]
+        shared = np.add.reduceat(held.astype(np.int64), np.cumsum(sizes) - sizes)
+        return items[shared >= MIN_SCORE * sizes]
+
+
+def _spans(starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
+    """The numbers of all ranges from ``starts`` to below ``stops``, one range after the other."""
+    sizes = stops - starts
+    return np.arange(int(sizes.sum())) + np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)
+
+
+def can_score(window: np.ndarray, item: np.ndarray) -> bool:
+    """Whether the window holds enough of the item's words, each as often, for ``MIN_SCORE``."""
+    words, needed = np.unique(item, return_counts=True)
+    at = np.minimum(np.searchsorted(words, window), len(words) - 1)
+    held = np.bincount(at[words[at] == window], minlength=len(words))
+    return int(np.minimum(held, needed).sum()) >= MIN_SCORE * len(item)
 
 
 def align(text: np.ndarray, item: np.ndarray) -> tuple[int, int, int, int]:
@@ -102,16 +126,14 @@ def passages_of(hashes: np.ndarray, where: np.ndarray, item: np.ndarray) -> Iter
             start = last = at
 
 
-def leaks_in(hashes: np.ndarray, where: np.ndarray, which: np.ndarray, seeds: dict[int, list[int]], items: dict) -> list[tuple]:
-    """The best passage of every item that this text copies: (item, score, start, length, matched words)."""
-    by_item: dict[int, list[int]] = {}
-    for at, gram in zip(where.tolist(), which.tolist(), strict=True):
-        for item in seeds.get(gram, ()):
-            by_item.setdefault(item, []).append(at)
+def leaks_in(hashes: np.ndarray, where: np.ndarray, which: np.ndarray, index: SeedIndex) -> list[tuple]:
+    """The best passage of every item that this text copies: (item number, score, start, length, matched words)."""
     found = []
-    for item, hits in sorted(by_item.items()):
-        words, best = items[item], None
-        for lo, hi in passages_of(hashes, np.array(sorted(set(hits))), words):
+    for item in index.candidates(hashes, which).tolist():
+        words, best = index.items[item], None
+        for lo, hi in passages_of(hashes, np.unique(where[np.isin(which, index.grams[item])]), words):
+            if not can_score(hashes[lo:hi], words):
+                continue
             score, first, last, matched = align(hashes[lo:hi], words)
             share = score / (MATCH * len(words))
             if share >= MIN_SCORE and (best is None or share > best[1]):
@@ -131,7 +153,7 @@ def _blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
         words = len(words_of(row["text"]))
         if not words:
             continue
-        if block and (size + words > BLOCK_WORDS or any(row["item_id"] == i for i, _ in block)):
+        if block and size + words > BLOCK_WORDS:
             yield block
             block, size = [], 0
         block.append((row["item_id"], row["text"]))
@@ -147,8 +169,9 @@ def find_leaks(
     """One row per document and benchmark item it copies: doc_id, item_id, score, start, length, matched_words.
 
     ``score`` is the best local word alignment as a share of a verbatim copy's; ``start`` and
-    ``length`` are words of the document. Documents are read twice, to count how many hold each
-    n-gram of the items and to align around the rare ones, and never shuffled. Null and empty texts
+    ``length`` are words of the document. Every run of ``SEED_WORDS`` words of an item seeds it,
+    however common; only what cannot reach ``MIN_SCORE`` by its words is not aligned. Documents are
+    read once and never shuffled. Items without an id cannot be reported. Null and empty texts
     copy nothing, rows with a null id are reported under null, repeated rows repeat their rows.
     Without items the result is empty. A benchmark over ``BLOCK_WORDS`` words is searched block by
     block.
@@ -166,31 +189,15 @@ def find_leaks(
 
 
 def _leaks_of_block(source: DataFrame, index, schema: str) -> DataFrame:
-    def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        n = np.zeros(len(index.value.hashes), dtype=np.int64)
-        for batch in batches:
-            for text in batch["text"]:
-                _, grams = index.value.positions(word_hashes(words_of(text)))
-                n[np.unique(grams)] += 1
-        seen = np.flatnonzero(n)
-        yield pd.DataFrame({"gram": seen, "n": n[seen]})
-
-    counts = source.select("text").mapInPandas(counted, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-    # At most one row per n-gram of the block.
-    rare = index.value.seeds({r["gram"]: r["n"] for r in counts.collect()})
-    seeds = source.sparkSession.sparkContext.broadcast(rare)
-
     def aligned(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        chosen = np.zeros(len(index.value.hashes), dtype=bool)
-        chosen[list(seeds.value)] = True
+        own = index.value
         for batch in batches:
             rows = []
             for doc, text in zip(batch["doc_id"], batch["text"], strict=True):
                 hashes = word_hashes(words_of(text))
-                where, which = index.value.positions(hashes)
-                own = chosen[which]
-                if own.any():
-                    rows += [(doc, *leak) for leak in leaks_in(hashes, where[own], which[own], seeds.value, index.value.items)]
+                where, which = own.positions(hashes)
+                if len(where):
+                    rows += [(doc, own.ids[item], *leak) for item, *leak in leaks_in(hashes, where, which, own)]
             yield pd.DataFrame(rows, columns=["doc_id", "item_id", "score", "start", "length", "matched_words"])
 
     return source.mapInPandas(aligned, schema)
@@ -202,12 +209,11 @@ def drop_contaminated(
 ) -> DataFrame:
     """The documents that copy no benchmark item, with all their columns and repeated rows.
 
-    Rows with a null id are judged by their text like all others.
+    Rows with a null id are judged by their text like all others, and so are items.
     """
     row = fresh_column(docs, "row")
     work = Workspace(docs.sparkSession, "leaks")
     numbered = work.stage(docs.withColumn(row, F.monotonically_increasing_id()))
-    leaks = find_leaks(
-        numbered, benchmark, id_col=row, text_col=text_col, item_id_col=item_id_col, item_text_col=item_text_col
-    ).select(F.col("doc_id").alias(row)).distinct()
+    items = columns(benchmark, text=item_text_col).distinct().withColumn("item_id", F.monotonically_increasing_id())
+    leaks = find_leaks(numbered, items, id_col=row, text_col=text_col).select(F.col("doc_id").alias(row)).distinct()
     return numbered.join(leaks, row, "left_anti").drop(row)

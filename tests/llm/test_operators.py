@@ -184,6 +184,53 @@ def test_edited_benchmark_copies_are_found(spark):
     assert [(r["doc_id"], r["item_id"], r["start"], r["length"]) for r in found] == [(1, 7, 40, 30)]
 
 
+def test_copies_with_every_fourth_word_replaced_are_found(spark):
+    items = {n: [f"n{n}w{i}" for i in range(n)] for n in (16, 20, 30, 43, 59)}
+    edited = {n: " ".join(f"other{i}" if i % 4 == 3 else w for i, w in enumerate(words)) for n, words in items.items()}
+    rows = [(100 * n + k, f"{LONG} {text} {LONG}") for n, text in edited.items() for k in range(20)]
+    verbatim = [(10_000 + n, " ".join(words)) for n, words in items.items()]
+    benchmark = spark.createDataFrame([(n, " ".join(words)) for n, words in items.items()], "item_id long, text string")
+    for extra in ([], verbatim):
+        docs = spark.createDataFrame([*rows, *extra], "doc_id long, text string")
+        found = decontaminate.find_leaks(docs, benchmark).collect()
+        assert {(r["doc_id"], r["item_id"]) for r in found} == {(i, i // 100) for i, _ in rows} | {(i, i - 10_000) for i, _ in extra}
+        assert all(r["start"] == 40 for r in found if r["doc_id"] < 10_000)
+
+
+def test_leaks_match_brute_force(spark):
+    rng = np.random.default_rng(5)
+    items = [[f"v{k}" for k in rng.integers(0, 60, rng.integers(6, 25))] for _ in range(12)]
+    rows = []
+    for i in range(80):
+        words = [f"v{k}" for k in rng.integers(0, 60, rng.integers(10, 90))]
+        copy = [w if rng.random() > (i % 4) * 0.12 else "x" for w in items[i % 12]]
+        rows.append((i, " ".join(words + copy * (i % 5 > 0) + words[:7])))
+    wanted = set()
+    for i, text in rows:
+        text = words_of(text)
+        for j, item in enumerate(items):
+            item = [w.encode() for w in item]
+            runs = {tuple(item[k : k + 3]) for k in range(len(item) - 2)}
+            score, above = 0, [0] * (len(item) + 1)
+            for a in text:
+                row = [0]
+                for k, b in enumerate(item):
+                    row.append(max(0, above[k] + (2 if a == b else -1), above[k + 1] - 1, row[k] - 1))
+                score, above = max(score, *row), row
+            if score >= len(item) and any(tuple(text[k : k + 3]) in runs for k in range(len(text))):
+                wanted.add((i, j, score / (2 * len(item))))
+    found = decontaminate.find_leaks(
+        spark.createDataFrame(rows, "doc_id long, text string"),
+        spark.createDataFrame([(j, " ".join(item)) for j, item in enumerate(items)], "item_id long, text string")).collect()
+    assert len(wanted) > 40 and {(r["doc_id"], r["item_id"], r["score"]) for r in found} == wanted
+
+
+def test_benchmark_items_without_an_id_clean_documents_too(spark):
+    docs = spark.createDataFrame([(1, f"{LONG} {ITEM}"), (2, LONG)], "doc_id long, text string")
+    items = spark.createDataFrame([(None, ITEM), (None, "some other item")], "item_id long, text string")
+    assert [r["doc_id"] for r in decontaminate.drop_contaminated(docs, items).collect()] == [2]
+
+
 def test_held_out_accuracy(spark):
     sf = "/root/testdata/sf0.1"
     truth = spark.read.parquet(f"{sf}/labels.parquet")
