@@ -13,7 +13,10 @@ from millrace.operators.joins import fits_in_every_task
 # A line of fewer words is dropped only if equal to an earlier one; others also at one word's difference.
 MIN_NEAR_WORDS = 10
 BLANKS = " \t\r\f\x0b"
-_LINES = 2**31
+# ``monotonically_increasing_id`` has the place within the task in its low bits.
+_TASK_BITS = 33
+# Places that each document id has for the lines of its rows.
+_ROOM = 2**62
 
 
 def _words(line: Column) -> Column:
@@ -21,17 +24,29 @@ def _words(line: Column) -> Column:
     return F.array_remove(F.split(F.translate(F.lower(line), BLANKS, " " * len(BLANKS)), " "), "")
 
 
-def _place(doc_id: Column, line_no: Column) -> Column:
-    """One number that orders lines by document and place; a null id comes first."""
-    return F.coalesce(doc_id, F.lit(-(2**63))).cast("decimal(20,0)").cast("decimal(28,0)") * F.lit(_LINES).cast("decimal(10,0)") + line_no
+def _heads(numbered: DataFrame, row: str, doc_id: Column, text: Column) -> Column:
+    """The place of a row's first line: a number that orders rows by document id, null first, then by row.
+
+    The places of two rows do not meet: the row numbers (task and place in the task) are packed and
+    spread by the most lines a row has.
+    """
+    task, at = F.shiftright(row, _TASK_BITS), F.col(row).bitwiseAND(2**_TASK_BITS - 1)
+    line_count = F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))) + 1
+    tasks, size, most = numbered.select(F.max(task) + 1, F.max(at) + 1, F.max(line_count)).first()
+    size, most = size or 1, most or 1
+    if (tasks or 1) * size * most > _ROOM:
+        raise ValueError(f"{tasks} tasks of {size} rows of {most} lines have more places than {_ROOM}")
+    whole = F.coalesce(doc_id, F.lit(-(2**63))).cast("decimal(20,0)") * F.lit(_ROOM).cast("decimal(19,0)")
+    # A whole product has 38 digits at most, -2^125.
+    return (whole + ((task * size + at) * most).cast("decimal(19,0)")).cast("decimal(38,0)")
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """doc_id, line_no, words of every line that has words, in (doc_id, text)."""
+    """row, place, line_no, words of every line that has words, in (row, head, text)."""
     return (
-        docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+        docs.select("row", "head", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
         .where(F.length(F.btrim("line", F.lit(BLANKS))) > 0)
-        .select("doc_id", "line_no", _words(F.col("line")).alias("words"))
+        .select("row", (F.col("head") + F.col("line_no")).cast("decimal(38,0)").alias("place"), "line_no", _words(F.col("line")).alias("words"))
     )
 
 
@@ -96,8 +111,7 @@ def _near_lines(lines: DataFrame, first: DataFrame, docs: DataFrame, work: Works
     shared = keyed.groupBy("half").agg(F.min("line").alias("lo"), F.max("line").alias("hi")).where("lo != hi").select("half")
     places = work.stage(keyed.join(shared, "half").select("place").distinct())
     wanted = F.broadcast(places) if fits_in_every_task(places) else places
-    texts = _lines(docs).select(_place(F.col("doc_id"), F.col("line_no")).alias("place"), "words")
-    candidates = work.stage(texts.join(wanted, "place").dropDuplicates(["place"]))
+    candidates = work.stage(_lines(docs).select("place", "words").join(wanted, "place"))
 
     variants = work.stage(_variants(candidates))
     groups = variants.groupBy("variant").agg(
@@ -123,32 +137,38 @@ def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
 
     A line is dropped if an earlier line (by document id, then place) has the same words, or, with
     ``MIN_NEAR_WORDS`` words or more, differs from it by one word (edit distance 1 in words, A-Z and other
-    letters lower-cased). Lines without words stay. Null texts stay null and have no lines. Rows that repeat an id
-    keep the same lines; a null id counts as the smallest. Ids are whole numbers. Clashing names of
-    the two counts get a longer name.
+    letters lower-cased). Lines without words stay. Null texts stay null and have no lines. Every row is a
+    document of its own: rows that share an id, or have none, come in the order in which they are read,
+    and a row that repeats an earlier one loses its lines. A null id counts as the smallest. Ids are
+    whole numbers. Clashing names of the two counts get a longer name.
 
     Halves of lines are matched first, which loses no pair: only lines that share a half with a different
     line have their deletion neighbourhood built.
     """
     work = Workspace(docs.sparkSession, "lines")
-    source = columns(docs, doc_id=id_col, text=text_col).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast(T.StringType()).alias("text"))
+    row = fresh_column(docs, "row")
+    numbered = work.stage(docs.withColumn(row, F.monotonically_increasing_id()))
+    source = columns(numbered, row=row, doc_id=id_col, text=text_col)
+    doc_id, text = F.col("doc_id").cast("long"), F.col("text").cast(T.StringType())
+    source = source.select("row", _heads(source, "row", doc_id, text).alias("head"), text.alias("text"))
     n = F.size("words")
     lines = work.stage(_lines(source).select(
-        _place(F.col("doc_id"), F.col("line_no")).alias("place"), "doc_id", "line_no", F.xxhash64("words").alias("k1"),
+        "place", "row", "line_no", F.xxhash64("words").alias("k1"),
         F.xxhash64(F.lit(1), "words").alias("k2"), n.alias("n"),
         *[key.alias(name) for name, key in _half_keys(F.col("words"), n).items()],
     ))
-    contents = [c for c in lines.columns if c not in ("place", "doc_id", "line_no", "k1", "k2")]
+    contents = [c for c in lines.columns if c not in ("place", "row", "line_no", "k1", "k2")]
     first = work.stage(lines.groupBy("k1", "k2").agg(F.min("place").alias("place"), *[F.min(c).alias(c) for c in contents]))
-    near = _near_lines(lines, first, source, work).select("place", F.lit(True).alias("near"))
-    kept = first.select("k1", "k2", F.col("place").alias("first")).join(near.withColumnRenamed("place", "first"), "first", "left")
-    dropped = lines.select("k1", "k2", "place", "doc_id", "line_no").join(kept, ["k1", "k2"]).where("near or place != first")
-    # As many numbers as the document has lines.
-    by_doc = dropped.groupBy("doc_id").agg(F.collect_set("line_no").alias("drops")).select(F.col("doc_id").alias("drop_id"), "drops")
-
-    drop_id, drops = (fresh_column(docs, c) for c in ("drop_id", "drops"))
-    by_doc = by_doc.withColumnsRenamed({"drop_id": drop_id, "drops": drops})
-    joined = docs.join(by_doc, docs[id_col].cast("long").eqNullSafe(by_doc[drop_id]), "left")
+    near = _near_lines(lines, first, source, work)
+    marked = near.select(F.col("place").alias("first"), F.lit(True).alias("near"))
+    kept = first.select("k1", "k2", F.col("place").alias("first")).join(marked, "first", "left")
+    dropped = lines.select("k1", "k2", "place", "row", "line_no").join(kept, ["k1", "k2"]).where("near or place != first")
+    drop_row, drops = (fresh_column(numbered, c) for c in ("drop_row", "drops"))
+    # As many numbers as the row has lines.
+    by_row = work.stage(dropped.groupBy(F.col("row").alias(drop_row)).agg(F.collect_set("line_no").alias(drops)))
+    work.drop(lines, first, near)
+
+    joined = numbered.join(by_row, numbered[row] == by_row[drop_row], "left")
     all_lines = F.split(F.col(text_col), "\n")
     left = F.array_except(F.sequence(F.lit(0), F.size(all_lines) - 1), F.col(drops))
     text = F.when(F.col(drops).isNull(), F.col(text_col)).otherwise(F.array_join(F.transform(left, lambda i: F.get(all_lines, i)), "\n"))

@@ -262,6 +262,24 @@ def test_url_array_confirms_texts_and_matches_join(spark, sf_dir):
     assert verdicts == {2: (None, "allow"), 3: (None, "allow"), 4: ("www.example.com/en/", "allow"), 5: ("com/", "allow"), 6: (None, "allow")}
 
 
+def test_rows_with_null_or_repeated_ids_are_documents_of_their_own(spark):
+    rows = [(None, f"shared\nown {i}\nshared") for i in range(20)] + [(4, "one\nonly here"), (4, "other\none"), (4, "other\none"), (9, "a\na")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    got = sorted((r["doc_id"] or 0, r["text"], r["n_dropped"]) for r in line_dedup.dedup_lines(docs).collect())
+    nulls = [(0, f"own {i}", 2) for i in range(1, 20)] + [(0, "shared\nown 0", 1)]
+    assert got == sorted([*nulls, (4, "one\nonly here", 0), (4, "other", 1), (4, "", 2), (9, "a", 1)])
+    kept = sorted(r["text"] for r in line_dedup.without_repeated_lines(docs).collect())
+    assert kept == sorted(text for _, text, _ in got if text)
+
+
+def test_equal_lines_at_one_number_of_two_rows_with_an_id_are_repeats(spark):
+    line = " ".join(f"w{i}" for i in range(12))
+    rows = [(None, line), (None, line.replace("w5", "x")), (2**63 - 1, line), (2**63 - 1, "new"), (-(2**63), "low"), (2**63 - 1, "low")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = [r["text"] for r in line_dedup.dedup_lines(docs).collect()]
+    assert sorted(got)[:3] == ["", "", ""] and sorted(got)[3:5] == ["low", "new"] and sorted(got)[5] in (rows[0][1], rows[1][1])
+
+
 def test_lines_one_word_apart_keep_the_earliest(spark):
     line = [f"w{i}" for i in range(12)]
     rows = [
