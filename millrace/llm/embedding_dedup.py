@@ -22,12 +22,15 @@ BLOCK = 1024
 SLACK = 1e-9
 
 
+def bits_for(rows: int, window: int = WINDOW) -> int:
+    """Leading bits that part evenly spread rows into runs of half the window's length."""
+    return min(BITS, max(1, math.ceil(math.log2(max(2, 2 * rows) / window))))
+
+
 def passes_for(rows: int, threshold: float = THRESHOLD, window: int = WINDOW) -> int:
-    """Passes that leave a chance of ``MISS``: in a sorted pass two vectors are neighbours if they agree in
-    as many leading bits as it takes to part the rows into runs of the window's length."""
+    """Passes that leave a chance of ``MISS``: in a pass all vectors that agree in the leading bits are compared."""
     agree = 1 - math.acos(threshold) / math.pi
-    bits = max(1.0, math.log2(max(2, rows) / window))
-    return math.ceil(math.log(MISS) / math.log(1 - agree**bits))
+    return math.ceil(math.log(MISS) / math.log(1 - agree ** bits_for(rows, window)))
 
 
 def _unit_vectors(vectors: DataFrame, work: Workspace) -> tuple[DataFrame, DataFrame]:
@@ -80,8 +83,63 @@ def _window_links(ids: np.ndarray, v: np.ndarray, first: int, threshold: float,
     return found
 
 
-def _pass_links(unit: DataFrame, number: int, threshold: float, window: int, work: Workspace) -> DataFrame:
-    """Links (a, b) between neighbours in the order of one pass."""
+def _copies(unit: DataFrame) -> DataFrame:
+    """Links (a, b) of every vector with the smallest id that has an equal one."""
+    hashed = unit.select("id", F.xxhash64("v").alias("h1"), F.xxhash64(F.lit(1), "v").alias("h2"))
+    groups = hashed.groupBy("h1", "h2").agg(F.min("id").alias("a"), F.count("*").alias("n")).where("n > 1")
+    return hashed.join(groups, ["h1", "h2"]).where("id != a").select("a", F.col("id").alias("b"))
+
+
+def _spanning_links(ids: np.ndarray, linked: np.ndarray) -> list[tuple]:
+    """One link from the first of every component to each other member, given who is linked."""
+    found, seen = [], ~linked.any(axis=1)
+    for start in range(len(ids)):
+        if seen[start]:
+            continue
+        seen[start] = True
+        reached = np.array([start])
+        while len(reached):
+            reached = np.flatnonzero(linked[reached].any(axis=0) & ~seen)
+            seen[reached] = True
+            found += [(int(ids[start]), int(ids[i])) for i in reached]
+    return found
+
+
+def _run_links(keyed: DataFrame, bits: int, threshold: float, window: int, work: Workspace) -> DataFrame | None:
+    """Links (a, b) within the runs that agree in the leading bits and are longer than the window; None without such runs.
+
+    Every pair of a run is compared, a pair of blocks at a time; short runs share a task's group.
+    """
+    keyed = keyed.withColumn("run", F.shiftright("key", BITS - bits))
+    runs = work.stage(keyed.groupBy("size", "run").agg(F.count("*").alias("n")).where(F.col("n") > window))
+    in_runs = runs.agg(F.sum("n")).first()[0]
+    if not in_runs:
+        return None
+    shares = math.ceil(in_runs / BLOCK)
+    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    block = F.pmod(F.xxhash64("id"), blocks).cast("int")
+    share = F.when(blocks == 1, F.pmod(F.xxhash64("size", "run"), F.lit(shares))).otherwise(F.xxhash64("size", "run"))
+    rows = keyed.join(runs, ["size", "run"]).select(
+        "id", "v", "size", "run", share.alias("share"), block.alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"),
+    ).withColumns({"lo": F.least("own", "other"), "hi": F.greatest("own", "other")})
+
+    def compared(group: pd.DataFrame) -> pd.DataFrame:
+        links = []
+        for _, run in group.groupby(["size", "run"]):
+            ids, v, own = run["id"].to_numpy(), np.vstack(run["v"]), run["own"].to_numpy()
+            low, high = np.flatnonzero(own == run["lo"].iloc[0]), np.flatnonzero(own == run["hi"].iloc[0])
+            linked = np.zeros((len(ids), len(ids)), dtype=bool)
+            linked[np.ix_(low, high)] = v[low] @ v[high].T >= threshold
+            linked |= linked.T
+            np.fill_diagonal(linked, False)
+            links += _spanning_links(ids, linked)
+        return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
+
+    return rows.groupBy("share", "lo", "hi").applyInPandas(compared, "a long, b long")
+
+
+def _pass_links(unit: DataFrame, number: int, bits: int, threshold: float, window: int, work: Workspace) -> DataFrame:
+    """Links (a, b) between neighbours in the order of one pass, and within its long runs."""
 
     def keyed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -122,12 +180,14 @@ def _pass_links(unit: DataFrame, number: int, threshold: float, window: int, wor
             links += _window_links(own["a"].to_numpy(), np.vstack(own["v"]), int((place < first).sum()), threshold, window, forest)
         return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
 
-    ordered = unit.mapInPandas(keyed, "id long, v array<double>, size int, key long")
-    ordered = ordered.repartitionByRange("size", "key", "id").sortWithinPartitions("size", "key", "id")
+    keys = unit.mapInPandas(keyed, "id long, v array<double>, size int, key long")
+    ordered = keys.repartitionByRange("size", "key", "id").sortWithinPartitions("size", "key", "id")
     swept_rows = work.stage(ordered.mapInPandas(swept, "kind string, block int, a long, b long, v array<double>, size int, key long"))
     borders = swept_rows.where("kind != 'link'").withColumn("border", F.expr("if(kind = 'tail', block + 1, block)"))
     across = borders.groupBy("border").applyInPandas(bordered, "a long, b long")
-    return swept_rows.where("kind = 'link'").select("a", "b").union(across)
+    links = swept_rows.where("kind = 'link'").select("a", "b").union(across)
+    in_runs = _run_links(keys, bits, threshold, window, work)
+    return links if in_runs is None else links.union(in_runs)
 
 
 _FIELDS = ["kind", "block", "a", "b", "v", "size", "key"]
@@ -206,10 +266,12 @@ def near_duplicate_vectors(
 ) -> DataFrame:
     """One row per distinct id: vec_id, n_links, component_id, kept.
 
-    Vectors are ordered by the signs of random projections, once per pass; neighbours up to
-    ``window`` rows apart are compared in double precision and linked at a cosine of ``threshold``.
-    The passes' links are united; links within a component are then counted exactly, also those of
-    vectors that were never neighbours. The number of passes follows from the number of rows.
+    Equal vectors are merged. The others are ordered by the signs of random projections, once per pass;
+    neighbours up to ``window`` rows apart are compared in double precision and linked at a cosine of
+    ``threshold``, and so are all pairs that agree in the leading signs, however many rows do: in a dense
+    cluster that is every pair of a long run, block by block. The passes' links are united; links within a
+    component are then counted exactly, also those of vectors that were never compared. The number of
+    passes follows from the number of distinct vectors, the chance of a miss from that number alone.
 
     Vectors that are null, empty, zero or hold a null or non-finite number are linked with nothing, nor
     are vectors of different lengths. Rows that repeat an id are one vector, the smallest of those
@@ -220,10 +282,13 @@ def near_duplicate_vectors(
         F.col("id").cast("long"), F.col("v").cast("array<double>").alias("v")
     )
     unit, ids = _unit_vectors(source, work)
-    links = None
-    for number in range(passes_for(unit.count(), threshold, window)):
-        found = work.stage(_pass_links(unit, number, threshold, window, work).distinct())
-        links = found if links is None else links.union(found)
+    links = work.stage(_copies(unit))
+    single = unit
+    if not links.isEmpty():
+        single = work.stage(unit.join(links.select(F.col("b").alias("id")), "id", "left_anti"))
+    rows = single.count()
+    for number in range(passes_for(rows, threshold, window)):
+        links = links.union(work.stage(_pass_links(single, number, bits_for(rows, window), threshold, window, work).distinct()))
     classes = work.stage(connected_components(links, work))
     counts = _link_counts(unit, classes, threshold, work)
     return (

@@ -280,6 +280,29 @@ def test_equal_lines_at_one_number_of_two_rows_with_an_id_are_repeats(spark):
     assert sorted(got)[:3] == ["", "", ""] and sorted(got)[3:5] == ["low", "new"] and sorted(got)[5] in (rows[0][1], rows[1][1])
 
 
+def test_dense_cluster_and_copies_of_vectors_match_brute_force(spark):
+    rng = np.random.default_rng(5)
+
+    def unit(x):
+        return x / np.linalg.norm(x, axis=-1, keepdims=True)
+
+    centre = unit(rng.normal(size=64))
+    members = unit(centre + 0.42 * unit(rng.normal(size=(350, 64))))
+    near = unit(members + 0.28 * unit(rng.normal(size=(350, 64))))
+    v = np.vstack([members, near, unit(rng.normal(size=(1300, 64))), np.tile(unit(rng.normal(size=64)), (100, 1))])
+    linked = v @ v.T >= 0.95
+    np.fill_diagonal(linked, False)
+    assert linked[:700].any(axis=1).all() and not linked[700:2000].any()
+    table = spark.createDataFrame([(i, row.tolist()) for i, row in enumerate(v)], "vec_id long, embedding array<double>")
+    got = {r["vec_id"]: r for r in embedding_dedup.near_duplicate_vectors(table).collect()}
+    smallest = np.arange(len(v))
+    while (lower := np.minimum(smallest, np.where(linked, smallest, len(v)).min(axis=1))).tolist() != smallest.tolist():
+        smallest = lower
+    assert [got[i]["component_id"] for i in range(len(v))] == smallest.tolist()
+    assert [got[i]["n_links"] for i in range(len(v))] == linked.sum(axis=1).tolist()
+    assert len(set(smallest[:700].tolist())) > 20
+
+
 def test_lines_one_word_apart_keep_the_earliest(spark):
     line = [f"w{i}" for i in range(12)]
     rows = [
