@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from millrace.llm.conversations import damaged, repair_conversations
 from millrace.llm.decontaminate import find_leaks
 from millrace.llm.embedding_dedup import near_duplicate_vectors
 from millrace.llm.language_model import language_scores
@@ -71,11 +72,16 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_table(spark, sf_dir, "documents"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_conversations(damaged(_table(spark, sf_dir, "conversations")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_embedding_dedup, op2_line_dedup, op3_minhash_dedup, op4_language_model, op5_url_filter,
         op6_decontaminate, op7_toxicity, op8_quality, op9_licenses, op10_packing,
+        op11_conversation_repair,
     )
 }
 
