@@ -16,6 +16,7 @@ from millrace.llm.minhash import near_duplicates
 from millrace.llm.packing import pack
 from millrace.llm.periodic import looped_tail, periodic_runs, run_digests
 from millrace.llm.quality import quality_scores
+from millrace.llm.substring_dedup import passage_digests
 from millrace.llm.toxicity import toxicity_scores
 from millrace.llm.url_filter import judge_urls
 
@@ -81,12 +82,16 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_digests(periodic_runs(_table(spark, sf_dir, "documents"), rewrite=looped_tail))
 
 
+def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passage_digests(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_embedding_dedup, op2_line_dedup, op3_minhash_dedup, op4_language_model, op5_url_filter,
         op6_decontaminate, op7_toxicity, op8_quality, op9_licenses, op10_packing,
-        op11_conversation_repair, op12_periodic_runs,
+        op11_conversation_repair, op12_periodic_runs, op13_substring_dedup,
     )
 }
 
