@@ -3,23 +3,20 @@
 Versions need the previous and the next change of the same key. A window per key gives
 both in one shuffle, but sorts a key's whole life in one task, and a single key may hold
 a third of the table. So keys with very many rows are found first and go another way:
-the span of their life is cut into slices, windows run per (key, slice), and the one value
-that has to cross a slice border is carried over as a marker row. Markers come from a
-map-side combined aggregate, one row per key and slice in which the key is active.
+their life is cut into slices of about equal numbers of rows (:mod:`millrace.operators.slices`),
+windows run per (key, slice), and the one value that has to cross a slice border is carried
+over as a marker row. Markers come from a map-side combined aggregate, one row per key and
+slice in which the key is active.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.functions.columns import as_long
-
-HOT_ROWS = 1_000_000  # a key with more rows than this is sliced ...
-MAX_HOT_KEYS = 100_000  # ... if it also holds more than this fraction of all rows, which bounds the hot keys
-
+from millrace.operators.slices import HOT_ROWS, slice_cuts, with_slices
 
 def _carry(summary: DataFrame, keys: Sequence[str], forward: bool) -> DataFrame:
     """Move each (key, slice) summary row to the next (or previous) slice the key is active in."""
@@ -28,25 +25,6 @@ def _carry(summary: DataFrame, keys: Sequence[str], forward: bool) -> DataFrame:
     return summary.withColumn("_to", target).where("_to is not null").drop("_slice").withColumnRenamed("_to", "_slice")
 
 
-def _hot_keys(log: DataFrame, keys: Sequence[str], ts: str, hot_rows: int) -> DataFrame:
-    """The keys with very many rows, and how to slice each: ``_cut`` (from, to, number of slices).
-
-    Fewer than ``MAX_HOT_KEYS`` whatever the table's size.
-    """
-    at = as_long(log, ts)
-    sizes = log.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"), F.min(at).alias("_from"), F.max(at).alias("_to"))
-    share = log.agg((F.count(F.lit(1)) / MAX_HOT_KEYS).alias("share")).scalar()  # reads no column
-    hot = sizes.where(F.col("_rows") > F.greatest(F.lit(hot_rows), share))
-    slices = F.ceil(F.col("_rows") / max(hot_rows, 1)).cast("int")
-    cut = F.struct("_from", (F.col("_to") + 1).alias("_to"), slices.alias("_slices")).alias("_cut")
-    return hot.select(*[F.col(k).alias(f"_hot_{k}") for k in keys], cut)
-
-
-def _slice_number(at: Column) -> Column:
-    """The slice of ``_cut`` that ``at`` falls into, from 1 on; 0 for rows without a time, which come first."""
-    return F.coalesce(F.width_bucket(at, F.col("_cut._from"), F.col("_cut._to"), F.col("_cut._slices")), F.lit(0))
-
-
 def _tracked(log: DataFrame, keys: Sequence[str], order: Sequence[str], attributes: Sequence[str]) -> DataFrame:
     # wrapped in a struct, an all-null state still differs from "no previous row"
     return log.select(*keys, *order, F.struct(*[F.col(a).alias(a) for a in attributes]).alias("_state"))
@@ -66,7 +44,6 @@ def _versions_by_key(rows: DataFrame, keys: Sequence[str], order: Sequence[str])
 def _versions_by_slice(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """What :func:`_versions_by_key` gives, with no window over more than one slice of a key."""
     ts, is_marker = order[0], F.lit(True)
-    rows = rows.withColumn("_slice", _slice_number(as_long(rows, ts))).drop("_cut")
     last_states = rows.groupBy(*keys, "_slice").agg(F.max_by("_state", F.struct(*order)).alias("_state"))
     carried = _carry(last_states, keys, forward=True).withColumn("_marker", is_marker)
     markers_first = Window.partitionBy(*keys, "_slice").orderBy(F.col("_marker").desc(), *order)
@@ -100,12 +77,14 @@ def scd2_history(
     worked on in slices of about that many.
     """
     order = [ts, *tie_breakers]
-    hot = F.broadcast(_hot_keys(log, keys, ts, hot_rows))
-    is_hot = [F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in keys]
-    rows = _tracked(log, keys, order, attributes).join(hot, is_hot, "left").drop(*[f"_hot_{k}" for k in keys])
-    usual = _versions_by_key(rows.where("_cut is null"), keys, order)
-    sliced = _versions_by_slice(rows.where("_cut is not null"), keys, order)
-    return usual.unionByName(sliced).select(
+    rows, cuts = _tracked(log, keys, order, attributes), slice_cuts(log, keys, order, hot_rows)
+    if cuts is None:
+        versions = _versions_by_key(rows, keys, order)
+    else:
+        rows = with_slices(rows, keys, order, cuts)
+        usual = _versions_by_key(rows.where("_slice is null"), keys, order)
+        versions = usual.unionByName(_versions_by_slice(rows.where("_slice is not null"), keys, order))
+    return versions.select(
         *keys,
         *[F.col("_state").getField(a).alias(a) for a in attributes],
         F.col(ts).alias("valid_from"),

@@ -52,6 +52,13 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     return f"{shared}/{fresh_name(label)}"
 
 
+def stage(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written to a fresh directory of the shared folder and read back: its plan runs once and ends there."""
+    path = scratch_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     files, where = _path(spark, path)
     files.delete(where, True)

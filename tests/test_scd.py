@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from helpers import final_plan, rows
-from millrace.operators import scd
+from millrace.operators import slices
 from millrace.operators.scd import scd2_history, scd2_merge
 
 SCHEMA = "k string, ts timestamp_ntz, n int, colour string, size int"
@@ -87,11 +87,48 @@ def test_intervals_join_up(spark):
 
 
 def test_hot_keys_are_bounded_by_their_share(spark, monkeypatch):
-    monkeypatch.setattr(scd, "MAX_HOT_KEYS", 10)
+    monkeypatch.setattr(slices, "MAX_HOT_KEYS", 10)
     frame = spark.range(1000).selectExpr("if(id < 300, 0, id) as k", "id as ts")
-    assert [(r[0], tuple(r[1])) for r in scd._hot_keys(frame, ["k"], "ts", 90).collect()] == [(0, (0, 300, 4))]
-    assert [r[0] for r in scd._hot_keys(frame, ["k"], "ts", 0).collect()] == [0]
-    assert scd._hot_keys(frame, ["k"], "ts", 300).count() == 0
+    assert [tuple(r) for r in slices.hot_keys(frame, ["k"], 90).collect()] == [(0, 100)]
+    assert [tuple(r) for r in slices.hot_keys(frame, ["k"], 0).collect()] == [(0, 100)]
+    assert slices.hot_keys(frame, ["k"], 300).count() == 0
+
+
+def slice_sizes(log, order, hot_rows):
+    cut = slices.with_slices(log, ["k"], order, slices.slice_cuts(log, ["k"], order, hot_rows))
+    found = cut.groupBy("k", "_slice").agg(F.count("*").alias("n"), F.min(F.struct(*order)).alias("lo"), F.max(F.struct(*order)).alias("hi"))
+    assert cut.count() == log.count()
+    by_key = {}
+    for r in found.collect():
+        by_key.setdefault(r["k"], []).append((r["_slice"], r["n"], r["lo"], r["hi"]))
+    return by_key
+
+
+@pytest.mark.parametrize("hot_rows", [3, 100, 1000])
+def test_slices_hold_about_equal_numbers_of_rows(spark, hot_rows):
+    """Two outliers, a burst at one time and rows without a time, on one key with most of the rows."""
+    log = spark.range(24_000).selectExpr(
+        "if(id % 12 = 0, 'b' || id % 36, 'a') as k",
+        "case when id < 2 then timestamp_ntz'1990-01-01' when id < 8000 then timestamp_ntz'2024-01-01'"
+        " when id < 10000 then null else timestampadd(SECOND, id, timestamp_ntz'2024-02-01') end as ts",
+        "id as n",
+    )
+    sizes = slice_sizes(log, ["ts", "n"], hot_rows)
+    assert len(sizes["a"]) >= 22_000 / (2 * hot_rows)
+    for found in sizes.values():
+        if found[0][0] is None:
+            assert found[0][1] <= hot_rows and len(found) == 1
+            continue
+        assert max(n for _, n, _, _ in found) <= 2 * hot_rows
+        found.sort()
+        key = lambda p: (p[0] is not None, p[0] or START, p[1])
+        assert all(key(a[3]) < key(b[2]) for a, b in zip(found, found[1:], strict=False))
+
+
+def test_many_samples_make_even_slices(spark):
+    log = spark.range(400_000).selectExpr("0 as k", "timestampadd(SECOND, cast(pow(id, 0.3) as int), timestamp_ntz'2024-01-01') as ts", "id as n")
+    found = slice_sizes(log, ["ts", "n"], 20_000)[0]
+    assert 15 <= len(found) <= 25 and max(n for _, n, _, _ in found) <= 40_000
 
 
 @pytest.fixture
