@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.operators.slices import HOT_ROWS, slice_cuts, with_slices
+from millrace.operators.slices import HOT_ROWS, same_key, slice_cuts, with_slices
 
 def _carry(summary: DataFrame, keys: Sequence[str], forward: bool) -> DataFrame:
     """Move each (key, slice) summary row to the next (or previous) slice the key is active in."""
@@ -30,39 +30,58 @@ def _tracked(log: DataFrame, keys: Sequence[str], order: Sequence[str], attribut
     return log.select(*keys, *order, F.struct(*[F.col(a).alias(a) for a in attributes]).alias("_state"))
 
 
-def _versions_by_key(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+def _with_unchanged(changes: DataFrame, others: DataFrame, keys: Sequence[str], order: Sequence[str], observed: bool) -> DataFrame:
+    """The changes, and if ``observed`` the rows that repeat the state before them as well."""
+    if not observed:
+        return changes.select(*keys, "_state", order[0], "valid_to")
+    kept = [*keys, "_state", *order]
+    unchanged = others.select(*kept, F.lit(None).cast(changes.schema["valid_to"].dataType).alias("valid_to"), F.lit(False).alias("is_change"))
+    return changes.select(*kept, "valid_to", F.lit(True).alias("is_change")).unionByName(unchanged)
+
+
+def _versions_by_key(rows: DataFrame, keys: Sequence[str], order: Sequence[str], observed: bool = False) -> DataFrame:
     """Changes with the start of the next one; one shuffle and one sort serve both windows."""
     life = Window.partitionBy(*keys).orderBy(*order)
-    return (
-        rows.withColumn("_previous", F.lag("_state").over(life))
-        .where(~F.col("_state").eqNullSafe(F.col("_previous")))
-        .withColumn("valid_to", F.lead(order[0]).over(life))
-        .select(*keys, "_state", order[0], "valid_to")
-    )
+    followed = rows.withColumn("_previous", F.lag("_state").over(life))
+    same = F.col("_state").eqNullSafe(F.col("_previous"))
+    changes = followed.where(~same).withColumn("valid_to", F.lead(order[0]).over(life))
+    return _with_unchanged(changes, followed.where(same), keys, order, observed)
 
 
-def _versions_by_slice(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+def _versions_by_slice(rows: DataFrame, keys: Sequence[str], order: Sequence[str], observed: bool = False) -> DataFrame:
     """What :func:`_versions_by_key` gives, with no window over more than one slice of a key."""
     ts, is_marker = order[0], F.lit(True)
     last_states = rows.groupBy(*keys, "_slice").agg(F.max_by("_state", F.struct(*order)).alias("_state"))
     carried = _carry(last_states, keys, forward=True).withColumn("_marker", is_marker)
     markers_first = Window.partitionBy(*keys, "_slice").orderBy(F.col("_marker").desc(), *order)
-    changes = (
+    followed = (
         rows.withColumn("_marker", F.lit(False))
         .unionByName(carried, allowMissingColumns=True)
         .withColumn("_previous", F.lag("_state").over(markers_first))
-        .where(~F.col("_marker") & ~F.col("_state").eqNullSafe(F.col("_previous")))
-        .drop("_previous")
+        .where(~F.col("_marker"))
     )
-    first_changes = changes.groupBy(*keys, "_slice").agg(F.min(ts).alias(ts))
+    same = F.col("_state").eqNullSafe(F.col("_previous"))
+    changes = followed.where(~same).drop("_previous")
+    first_changes = changes.groupBy(*keys, "_slice").agg(F.min_by(ts, F.struct(*order)).alias(ts))
     following = _carry(first_changes, keys, forward=False).withColumn("_marker", is_marker)
     markers_last = Window.partitionBy(*keys, "_slice").orderBy("_marker", *order)
-    return (
+    ended = (
         changes.unionByName(following, allowMissingColumns=True)
         .withColumn("valid_to", F.lead(ts).over(markers_last))
         .where(~F.col("_marker"))
-        .select(*keys, "_state", ts, "valid_to")
     )
+    return _with_unchanged(ended, followed.where(same), keys, order, observed)
+
+
+def _versions(
+    log: DataFrame, keys: Sequence[str], order: Sequence[str], attributes: Sequence[str], hot_rows: int, observed: bool = False
+) -> DataFrame:
+    rows, cuts = _tracked(log, keys, order, attributes), slice_cuts(log, keys, order, hot_rows)
+    if cuts is None:
+        return _versions_by_key(rows, keys, order, observed)
+    rows = with_slices(rows, keys, order, cuts)
+    usual = _versions_by_key(rows.where("_slice is null"), keys, order, observed)
+    return usual.unionByName(_versions_by_slice(rows.where("_slice is not null"), keys, order, observed))
 
 
 def scd2_history(
@@ -76,14 +95,7 @@ def scd2_history(
     (ts, tie_breakers), which must be total. Keys with more than ``hot_rows`` rows are
     worked on in slices of about that many.
     """
-    order = [ts, *tie_breakers]
-    rows, cuts = _tracked(log, keys, order, attributes), slice_cuts(log, keys, order, hot_rows)
-    if cuts is None:
-        versions = _versions_by_key(rows, keys, order)
-    else:
-        rows = with_slices(rows, keys, order, cuts)
-        usual = _versions_by_key(rows.where("_slice is null"), keys, order)
-        versions = usual.unionByName(_versions_by_slice(rows.where("_slice is not null"), keys, order))
+    versions = _versions(log, keys, [ts, *tie_breakers], attributes, hot_rows)
     return versions.select(
         *keys,
         *[F.col("_state").getField(a).alias(a) for a in attributes],
@@ -123,3 +135,52 @@ def scd2_merge(
     log = stored.unionByName(arriving, allowMissingColumns=True)
     rebuilt = scd2_history(log, keys, ts, attributes, ["_arrival", *tie_breakers], hot_rows)
     return kept.unionByName(rebuilt)
+
+
+def scd2_observed(
+    log: DataFrame, keys: Sequence[str], ts: str, attributes: Sequence[str], tie_breakers: Sequence[str] = (),
+    hot_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """All rows of a log with ``is_change`` and, on changes, ``valid_to``: a history that late rows can be merged into.
+
+    :func:`versions_of` gives the type-2 history. Rows that repeat the state before them are kept, since a late
+    row put in between makes them changes.
+    """
+    observed = _versions(log, keys, [ts, *tie_breakers], attributes, hot_rows, observed=True)
+    return observed.select(
+        *keys, *[F.col("_state").getField(a).alias(a) for a in attributes], ts, *tie_breakers, "valid_to", "is_change"
+    )
+
+
+def versions_of(observed: DataFrame, keys: Sequence[str], ts: str, attributes: Sequence[str]) -> DataFrame:
+    """The type-2 history in an observed one, as :func:`scd2_history` gives it; a filter and no shuffle."""
+    return observed.where("is_change").select(
+        *keys, *attributes, F.col(ts).alias("valid_from"), "valid_to", F.col("valid_to").isNull().alias("is_current")
+    )
+
+
+def scd2_merge_observed(
+    observed: DataFrame, changes: DataFrame, keys: Sequence[str], ts: str, attributes: Sequence[str],
+    tie_breakers: Sequence[str] = (), hot_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """An observed history with a batch merged in: equal to one built from all rows at once, however late they come.
+
+    Of keys in the batch only the rows from the batch's first one on, and the version in force before it,
+    are looked at again; all others pass through. A row that has the place (ts, tie_breakers) of a stored one
+    replaces it, so a batch may be merged twice.
+    """
+    order = [ts, *tie_breakers]
+    point = F.struct(*order)
+    first = changes.groupBy(*keys).agg(F.min(point).alias("_first"))
+    seen = observed.join(first.withColumnsRenamed({k: f"_{k}" for k in keys}), same_key(keys, "_"), "left")
+    in_force = F.col("is_change") & F.coalesce(F.col("valid_to") >= F.col(f"_first.{ts}"), F.lit(True))
+    touched = F.col("_first").isNotNull() & ((point >= F.col("_first")) | in_force)
+    columns = [*keys, *attributes, *order]
+    kept = seen.where(~F.coalesce(touched, F.lit(False))).select(*observed.columns)
+    arrived = seen.where(touched).select(*columns, F.lit(0).alias("_arrival")).unionByName(
+        changes.select(*columns, F.lit(1).alias("_arrival"))
+    )
+    state = F.struct(*[F.col(a).alias(a) for a in attributes])
+    settled = arrived.groupBy(*keys, *order).agg(F.max_by(state, "_arrival").alias("_settled"))
+    log = settled.select(*keys, *[F.col("_settled").getField(a).alias(a) for a in attributes], *order)
+    return kept.unionByName(scd2_observed(log, keys, ts, attributes, tie_breakers, hot_rows).select(*observed.columns))

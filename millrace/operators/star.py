@@ -8,7 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.columns import as_long, surrogate_key
+from millrace.operators.asof import as_of_join
 from millrace.operators.joins import replicated_join
+from millrace.operators.slices import HOT_ROWS
 
 
 # What a row without a match in a dimension gets: the dimension's name for it, and its key.
@@ -90,6 +92,23 @@ def versioned_dimension(history: DataFrame, keys: Sequence[str], name: str = "ve
     return history.withColumn("_started", started).withColumn(name, surrogate_key(*keys, "_started")).drop("_started")
 
 
+def fact_with_versions(
+    facts: DataFrame, dimension: DataFrame, keys: Sequence[str], at: str, name: str = "version_sk", hot_rows: int = HOT_ROWS
+) -> DataFrame:
+    """All facts with the surrogate key of the version of ``dimension`` in force at their time ``at``.
+
+    ``dimension`` is a :func:`versioned_dimension`: versions hold from ``valid_from`` up to, not including, ``valid_to``.
+    Facts before the first version, after the end of the last one, without a time or with a null key refer to the
+    unknown member.
+    """
+    in_force = dimension.where("valid_to is null or valid_from is null or valid_to > valid_from")
+    versions = in_force.select(*keys, "valid_from", F.struct(F.col(name).alias("sk"), F.col("valid_to").alias("until")).alias("_in_force"))
+    joined = as_of_join(facts, versions, keys, at, "valid_from", ["_in_force"], hot_rows=hot_rows)
+    until = F.col("_in_force.until")
+    found = F.when(until.isNull() | (F.col(at) < until), F.col("_in_force.sk"))
+    return joined.withColumn(name, F.coalesce(found, F.lit(UNKNOWN_KEY))).drop("_in_force")
+
+
 def fact_sales(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
     """One row per order line, with the surrogate keys of its dimensions.
 

@@ -20,7 +20,7 @@ from millrace.operators.standardize import cast_columns, enforce_schema, snake_c
 from millrace.functions.product import age_days, price_tier, season
 from millrace.functions.zorder import with_z_value
 from millrace.plans.product import transform_products
-from millrace.sinks import layers, maintain
+from millrace.sinks import changes, history, layers, maintain
 from millrace.sinks.storage import fresh_name, scratch_dir, table_path
 from millrace.sources.files import newer_than, next_watermark, read_entity
 from millrace.sources.nested import explode_records, flatten_json, infer_json_type
@@ -343,6 +343,44 @@ def scd2_merge(spark, sf_dir):
     return scd.scd2_merge(layers.read_table(spark, root, "silver", "users"), events.where(f"not ({start})"), *by)
 
 
+@query("scd2_burst_key")
+def scd2_burst_key(spark, sf_dir):
+    """One user with a third of the events, most of them at the same second, worked on in slices of few rows."""
+    events = table(spark, sf_dir, "events")
+    burst = F.col("event_id") % 3 == 0
+    start = F.lit("2024-01-10 00:00:00").cast("timestamp_ntz")
+    moved = events.withColumns(
+        {"user_id": F.when(burst, 0).otherwise(F.col("user_id")), "ts": F.when(burst & (F.col("event_id") % 4 != 0), start).otherwise(F.col("ts"))}
+    )
+    return scd.scd2_history(moved, ["user_id"], "ts", ["event_type"], ["event_id"], hot_rows=200)
+
+
+USERS = {"keys": ["user_id"], "ts": "ts", "attributes": ["event_type"], "tie_breakers": ["event_id"]}
+LATE = "event_id % 5 = 0"
+
+
+@query("scd2_merge_late")
+def scd2_merge_late(spark, sf_dir):
+    """A stored observed history, and rows from all over its time that come late."""
+    events = table(spark, sf_dir, "events")
+    root = scratch_dir(spark, "scd2")
+    layers.write_silver(scd.scd2_observed(events.where(f"not ({LATE})"), **USERS), root, "users")
+    stored = layers.read_table(spark, root, "silver", "users")
+    merged = scd.scd2_merge_observed(stored, events.where(LATE), **USERS)
+    return scd.versions_of(merged, ["user_id"], "ts", ["event_type"])
+
+
+@query("scd2_stored_merge")
+def scd2_stored_merge(spark, sf_dir):
+    """Three batches merged into the stored form: early rows, later rows (twice, as after a failure), late rows."""
+    events = table(spark, sf_dir, "events")
+    root, start = scratch_dir(spark, "scd2"), "ts < timestamp_ntz'2024-01-15'"
+    later = f"not ({start}) and not ({LATE})"
+    for part in (f"{start} and not ({LATE})", later, later, LATE):
+        history.merge_history(events.where(part), root, "users", buckets=8, **USERS)
+    return history.read_history(spark, root, "users", keys=["user_id"], ts="ts", attributes=["event_type"])
+
+
 # --- sources -------------------------------------------------------------------------------
 
 
@@ -455,6 +493,45 @@ def table_history(spark, sf_dir):
     return history.select("_batch_id", "row_count", "version")
 
 
+def _merged_silver(spark: SparkSession, sf_dir: str) -> str:
+    """Orders up to 1999 loaded on the last day of 2024, those from 1999 on merged a day later, the oldest again after that.
+
+    The last merge runs twice, as after a failure.
+    """
+    root, orders = scratch_dir(spark, "feed"), table(spark, sf_dir, "orders")
+    oldest = orders.where("o_orderdate < timestamp_ntz'1996-01-01'").withColumn("o_orderpriority", F.lit("NONE"))
+    loads = [orders.where("o_orderdate < timestamp_ntz'2000-01-01'"), _order_batch(orders), oldest, oldest]
+    for load, day in zip(loads, (0, 1, 2, 2), strict=True):
+        layers.write_silver(
+            load, root, "orders", merge_keys="o_orderkey", batch_id=f"load{day}", changed_at=INGESTED_AT + dt.timedelta(days=day)
+        )
+    return root
+
+
+def _in_utc(column: str):
+    return F.date_format(F.to_utc_timestamp(column, F.current_timezone()), "yyyy-MM-dd HH:mm:ss")
+
+
+@query("silver_change_feed")
+def silver_change_feed(spark, sf_dir):
+    """Every row the load and the merges wrote, and whether it was new."""
+    feed = changes.read_changes(spark, _merged_silver(spark, sf_dir), "orders", ["o_orderkey"])
+    return feed.withColumn("_changed_at", _in_utc("_changed_at"))
+
+
+@query("silver_as_of")
+def silver_as_of(spark, sf_dir):
+    """The merged table between its two merges."""
+    at = INGESTED_AT + dt.timedelta(days=1, hours=12)
+    return layers.table_as_of(spark, _merged_silver(spark, sf_dir), "orders", at, keys=["o_orderkey"], layer="silver")
+
+
+@query("silver_history")
+def silver_history(spark, sf_dir):
+    found = layers.table_history(spark, _merged_silver(spark, sf_dir), "orders", "silver", keys=["o_orderkey"])
+    return found.withColumn("changed_at", _in_utc("changed_at"))
+
+
 @query("partition_roundtrip")
 def partition_roundtrip(spark, sf_dir):
     root = scratch_dir(spark, "partitioned")
@@ -619,6 +696,14 @@ def dim_user_versions(spark, sf_dir):
     return star.versioned_dimension(history, ["user_id"])
 
 
+@query("fact_event_versions")
+def fact_event_versions(spark, sf_dir):
+    """All events with the version of their user in force, where versions are known from the tenth of January on."""
+    events = table(spark, sf_dir, "events")
+    known = scd.scd2_history(events.where("ts >= timestamp_ntz'2024-01-10'"), ["user_id"], "ts", ["event_type"], ["event_id"])
+    return star.fact_with_versions(events, star.versioned_dimension(known, ["user_id"]), ["user_id"], "ts")
+
+
 @query("fact_sales")
 def fact_sales(spark, sf_dir):
     return star.fact_sales(table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders"))

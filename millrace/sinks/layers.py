@@ -16,13 +16,14 @@ from millrace.functions.columns import any_of
 from millrace.operators.joins import replicated_join
 from millrace.operators.merge import key_list, upsert
 from millrace.operators.versions import as_of, batch_history
-from millrace.sinks import delta
+from millrace.sinks import changes, delta
 from millrace.sinks.storage import (
     delete_path,
     fresh_name,
     partition_columns,
     path_exists,
     read_stored,
+    read_typed,
     recover_table,
     replace_table,
     scratch_dir,
@@ -52,7 +53,7 @@ def with_batch_metadata(
     )
 
 
-def _balanced(df: DataFrame, partition_cols: Sequence[str]) -> DataFrame:
+def balanced(df: DataFrame, partition_cols: Sequence[str]) -> DataFrame:
     """Bring rows of a partition together for few, even files.
 
     A rebalance, unlike a repartition, lets adaptive execution split a partition value
@@ -68,7 +69,7 @@ def write_bronze(
 ) -> int:
     """Land raw rows with batch metadata; returns the number written, counted by the write itself."""
     written = Observation()
-    rows = with_batch_metadata(_balanced(df, partition_cols), source, batch_id, ingested_at)
+    rows = with_batch_metadata(balanced(df, partition_cols), source, batch_id, ingested_at)
     rows = rows.observe(written, F.count(F.lit(1)).alias("rows"))
     if fmt != "delta" and mode == "overwrite":
         replace_table(rows, table_path(root, "bronze", table), fmt, list(partition_cols))
@@ -90,17 +91,7 @@ def read_table(
     return read_stored(spark, table_path(root, layer, table), fmt, **options)
 
 
-def _read_typed(spark: SparkSession, path: str, fmt: str, types: Mapping[str, T.DataType]) -> DataFrame:
-    """The stored table with some (partition) columns in given types.
-
-    Spark guesses partition types from directory names, which would turn a text "01" into 1.
-    """
-    stored = spark.read.format(fmt).load(path).schema
-    typed = [T.StructField(f.name, types.get(f.name, f.dataType)) for f in stored.fields]
-    return spark.read.format(fmt).schema(T.StructType(typed)).load(path)
-
-
-def _touched_partitions(target: DataFrame, batch: DataFrame, partition_cols: Sequence[str]) -> DataFrame:
+def touched_partitions(target: DataFrame, batch: DataFrame, partition_cols: Sequence[str]) -> DataFrame:
     """The target's rows in partitions the batch has rows for, and in those named by a null.
 
     Up to ``MAX_NAMED_PARTITIONS`` of the batch's partition values are put into the query,
@@ -123,7 +114,7 @@ def _touched_partitions(target: DataFrame, batch: DataFrame, partition_cols: Seq
 
 
 @contextmanager
-def _staged(df: DataFrame) -> Iterator[DataFrame]:
+def staged(df: DataFrame) -> Iterator[DataFrame]:
     """``df`` written to the shared folder for the time of a merge.
 
     A merge reads its batch more than once. Staging runs the plan behind it once, and
@@ -139,47 +130,61 @@ def _staged(df: DataFrame) -> Iterator[DataFrame]:
 
 def write_silver(
     df: DataFrame, root: str, table: str, *, merge_keys: str | Sequence[str] | None = None,
-    partition_cols: Sequence[str] = (), fmt: str = "parquet",
+    partition_cols: Sequence[str] = (), fmt: str = "parquet", batch_id: str | None = None,
+    changed_at: dt.datetime | None = None,
 ) -> None:
     """Overwrite the table, or upsert into it by ``merge_keys`` if it exists.
 
     An upsert normally rewrites the table. If its partition columns are among the merge
     keys, a row cannot change partition, and only the partitions named in the batch are
-    read and rewritten.
+    read and rewritten. With a ``batch_id`` the rows also go to the table's change feed
+    (:mod:`millrace.sinks.changes`) as of ``changed_at``, now if not given, from which
+    :func:`table_as_of` and :func:`table_history` read.
     """
     spark, path, columns = df.sparkSession, table_path(root, "silver", table), list(partition_cols)
     if fmt == "delta" and merge_keys and delta.is_table(spark, path):
         delta.merge(df, path, key_list(merge_keys))
         return
     recover_table(spark, path)
-    if not (merge_keys and path_exists(spark, path)):
+    merging = bool(merge_keys and path_exists(spark, path))
+    if batch_id:
+        with staged(df) as batch:
+            changes.append_changes(batch, root, table, batch_id, changed_at, whole=not merging)
+            write_silver(batch, root, table, merge_keys=merge_keys, partition_cols=columns, fmt=fmt)
+        return
+    if not merging:
         if fmt == "delta":
-            writer = _balanced(df, columns).write.format(fmt).mode("overwrite")
+            writer = balanced(df, columns).write.format(fmt).mode("overwrite")
             (writer.partitionBy(*columns) if columns else writer).save(path)
         else:
-            replace_table(_balanced(df, columns), path, fmt, columns)
+            replace_table(balanced(df, columns), path, fmt, columns)
         return
 
     keys = key_list(merge_keys)
     stored = partition_columns(spark, path)
     columns = columns or stored
-    target = _read_typed(spark, path, fmt, {c: df.schema[c].dataType for c in stored if c in df.columns})
-    with _staged(df) as batch:
+    target = read_typed(spark, path, fmt, {c: df.schema[c].dataType for c in stored if c in df.columns})
+    with staged(df) as batch:
         if columns and set(columns) <= set(keys):
-            merged = upsert(_touched_partitions(target, batch, columns), batch, keys)
-            _balanced(merged, columns).write.format(fmt).mode("overwrite").option(
+            merged = upsert(touched_partitions(target, batch, columns), batch, keys)
+            balanced(merged, columns).write.format(fmt).mode("overwrite").option(
                 "partitionOverwriteMode", "dynamic"
             ).partitionBy(*columns).save(path)
             spark.catalog.refreshByPath(path)
         else:
-            replace_table(_balanced(upsert(target, batch, keys), columns), path, fmt, columns)
+            replace_table(balanced(upsert(target, batch, keys), columns), path, fmt, columns)
 
 
 def table_history(
     spark: SparkSession, root: str, table: str, layer: str = "bronze", batch: str = "_batch_id",
-    ts: str = "_ingestion_timestamp",
+    ts: str = "_ingestion_timestamp", keys: Sequence[str] = (),
 ) -> DataFrame:
-    """One row per load of a stored table: version, rows, first and last time."""
+    """One row per load of a stored table: version, rows, first and last time.
+
+    Of a silver table with a change feed, whose ``keys`` are given: one row per load and merge.
+    """
+    if layer == "silver" and keys:
+        return changes.silver_history(spark, root, table, keys)
     return batch_history(read_table(spark, root, layer, table), batch, ts)
 
 
@@ -187,7 +192,12 @@ def table_as_of(
     spark: SparkSession, root: str, table: str, at: Any, *, keys: Sequence[str], layer: str = "bronze",
     ts: str = "_ingestion_timestamp", tie_breakers: Sequence[str] = ("_batch_id",),
 ) -> DataFrame:
-    """A stored change log as it stood at ``at``: the row then in force for each key."""
+    """A stored change log as it stood at ``at``: the row then in force for each key.
+
+    A silver table is read from its change feed if it has one.
+    """
+    if layer == "silver" and path_exists(spark, changes.feed_path(root, table)):
+        return changes.silver_as_of(spark, root, table, at, keys)
     return as_of(read_table(spark, root, layer, table), keys, ts, at, tie_breakers)
 
 
@@ -265,7 +275,7 @@ def write_validated(flagged: DataFrame, path: str, fmt: str = "parquet") -> None
 
 def read_validated(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """Both sides of :func:`write_validated`; a filter on ``_is_valid`` opens one directory."""
-    return _read_typed(spark, path, fmt, {"_is_valid": T.BooleanType()})
+    return read_typed(spark, path, fmt, {"_is_valid": T.BooleanType()})
 
 
 def append_quarantine(rejected: DataFrame, path: str, batch_id: str, fmt: str = "parquet") -> None:

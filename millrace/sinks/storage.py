@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Mapping
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,6 +54,21 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     return f"{shared}/{fresh_name(label)}"
 
 
+def partition_texts(spark: SparkSession, path: str) -> dict[str, set[str]]:
+    """The values in a table's directory names, by column; from listings alone."""
+    files, where = _path(spark, path)
+    found: dict[str, set[str]] = {}
+    level = [where]
+    while level:
+        inner = [s.getPath() for d in level for s in files.listStatus(d) if s.isDirectory() and "=" in s.getPath().getName()]
+        for directory in inner:
+            name, _, text = directory.getName().partition("=")
+            if text != "__HIVE_DEFAULT_PARTITION__":
+                found.setdefault(unquote(name), set()).add(unquote(text))
+        level = inner
+    return found
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """``df`` written to a fresh directory of the shared folder and read back: its plan runs once and ends there."""
     path = scratch_dir(df.sparkSession, label)
@@ -84,6 +101,16 @@ def partition_columns(spark: SparkSession, path: str) -> list[str]:
         where = inner[0]
 
 
+def read_typed(spark: SparkSession, path: str, fmt: str, types: Mapping[str, T.DataType]) -> DataFrame:
+    """The stored table with some (partition) columns in given types.
+
+    Spark guesses partition types from directory names, which would turn a text "01" into 1.
+    """
+    stored = spark.read.format(fmt).load(path).schema
+    typed = [T.StructField(f.name, types.get(f.name, f.dataType)) for f in stored.fields]
+    return spark.read.format(fmt).schema(T.StructType(typed)).load(path)
+
+
 def read_stored(spark: SparkSession, path: str, fmt: str = "parquet", **options: str) -> DataFrame:
     """A stored table whose partition values read back as they were written.
 
@@ -93,16 +120,19 @@ def read_stored(spark: SparkSession, path: str, fmt: str = "parquet", **options:
     guessed = spark.read.format(fmt).options(**options).load(path)
     if fmt != "parquet":
         return guessed
-    kinds = {c: guessed.schema[c].dataType for c in partition_columns(spark, path) if c in guessed.columns}
-    if all(isinstance(k, T.StringType) for k in kinds.values()):
+    texts = {c: v for c, v in partition_texts(spark, path).items() if c in guessed.columns}
+    kinds = {c: guessed.schema[c].dataType for c in texts if not isinstance(guessed.schema[c].dataType, T.StringType)}
+    changed = [c for c, kind in kinds.items() if not _gives_back(spark, texts[c], kind)]
+    if not changed:
         return guessed
-    as_text = T.StructType([T.StructField(f.name, T.StringType() if f.name in kinds else f.dataType) for f in guessed.schema])
-    read = lambda schema: spark.read.format(fmt).options(**options).schema(schema).load(path)
-    changed = {
-        c: F.count_if(~F.col(f"`{c}`").try_cast(k).cast("string").eqNullSafe(F.col(f"`{c}`"))).alias(c) for c, k in kinds.items()
-    }
-    lost = read(as_text).select(*[f"`{c}`" for c in kinds]).distinct().agg(*changed.values()).first()
-    return read(T.StructType([as_text[f.name] if f.name in kinds and lost[f.name] else f for f in guessed.schema]))
+    as_text = [T.StructField(f.name, T.StringType() if f.name in changed else f.dataType) for f in guessed.schema]
+    return spark.read.format(fmt).options(**options).schema(T.StructType(as_text)).load(path)
+
+
+def _gives_back(spark: SparkSession, texts: set[str], kind: T.DataType) -> bool:
+    """Whether every text is what its value of that type is written as; reads no table."""
+    listed = spark.createDataFrame([(t,) for t in sorted(texts)], "text string")
+    return listed.where(~F.coalesce(F.col("text").try_cast(kind).cast("string") == F.col("text"), F.lit(False))).isEmpty()
 
 
 def replace_table(

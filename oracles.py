@@ -115,15 +115,41 @@ AS_OF = """
     select *, row_number() over (partition by user_id order by ts desc, event_id desc) as rn
     from events where ts <= timestamp '{at}') where rn = 1"""
 
-SCD2 = """
+def _scd2(events: str) -> str:
+    return f"""
 with changes as (
   select user_id, ts, event_type, event_id from (
     select *, lag(event_type) over w as previous, row_number() over w as rn
-    from events window w as (partition by user_id order by ts, event_id))
+    from {events} window w as (partition by user_id order by ts, event_id))
   where rn = 1 or event_type is distinct from previous)
 select user_id, event_type, ts as valid_from, lead(ts) over w as valid_to, lead(ts) over w is null as is_current
 from changes window w as (partition by user_id order by ts, event_id)"""
 
+
+SCD2 = _scd2("events")
+BURST = """(select * replace (case when event_id % 3 = 0 then 0 else user_id end as user_id,
+    case when event_id % 3 = 0 and event_id % 4 <> 0 then timestamp '2024-01-10' else ts end as ts) from events)"""
+
+
+def _with_key(history: str) -> str:
+    return f"""select *, md5(concat(length(cast(user_id as varchar)), ':', user_id,
+        length(cast(epoch_us(valid_from) as varchar)), ':', epoch_us(valid_from))) as version_sk
+    from ({history})"""
+
+
+# The load, the first merge and the second one, by day.
+FEED = f"""
+feed as (
+  select *, 0 as day from orders where o_orderdate < timestamp '2000-01-01'
+  union all select o_orderkey, o_custkey, 'X', o_totalprice + 1, o_orderdate, o_orderpriority, 1
+    from orders where o_orderdate >= timestamp '1999-01-01'
+  union all select * replace ('NONE' as o_orderpriority), 2 from orders where o_orderdate < timestamp '1996-01-01'),
+changes as (
+  select * exclude (day), 'load' || day as _change_batch,
+    strftime(timestamp '2024-12-31 12:00:00' + to_days(cast(day as integer)), '%Y-%m-%d %H:%M:%S') as _changed_at,
+    case when day = 0 then 'load' when row_number() over (partition by o_orderkey order by day) = 1 then 'insert' else 'update' end as _change_type
+  from feed)"""
+
 NET = "cast(l_extendedprice as decimal(15,2)) * (1 - cast(l_discount as decimal(4,2)))"
 DAILY_REVENUE = f"""
 select cast(l_shipdate as date) as ship_date, count(*) as line_count,
@@ -232,6 +258,16 @@ ORACLES: dict[str, str] = {
     "scd2_history": SCD2,
     "scd2_history_hot_keys": SCD2,
     "scd2_merge": SCD2,
+    "scd2_merge_late": SCD2,
+    "scd2_stored_merge": SCD2,
+    "scd2_burst_key": _scd2(BURST),
+    "silver_change_feed": f"with {FEED} select * from changes",
+    "silver_as_of": f"with {ORDER_BATCH} select * from merged",
+    "silver_history": f"""with {FEED}
+        select cast(right(_change_batch, 1) as integer) as version, _change_batch as batch_id, _changed_at as changed_at,
+          case when _change_batch = 'load0' then 'load' else 'merge' end as operation,
+          count(*) filter (where _change_type <> 'update') as rows_inserted, count(*) filter (where _change_type = 'update') as rows_updated
+        from changes group by 1, 2, 3, 4""",
     "entity_scan": "select c_custkey, c_name, c_mktsegment from customer",
     "incremental_orders": """select o_orderkey, o_orderdate, o_totalprice from orders
         where o_orderdate > timestamp '1998-06-30 00:00:00'""",
@@ -289,9 +325,10 @@ ORACLES: dict[str, str] = {
         where d is not null""",
     "dim_part": """select md5(cast(p_partkey as varchar)) as part_sk, p_partkey as part_id, p_name as part_name,
           p_brand as brand, p_type as part_type, p_size as part_size from part""",
-    "dim_user_versions": f"""select *, md5(concat(length(cast(user_id as varchar)), ':', user_id,
-            length(cast(epoch_us(valid_from) as varchar)), ':', epoch_us(valid_from))) as version_sk
-        from ({SCD2})""",
+    "dim_user_versions": _with_key(SCD2),
+    "fact_event_versions": f"""with versions as ({_with_key(_scd2("(select * from events where ts >= timestamp '2024-01-10')"))})
+        select e.*, coalesce(version_sk, 'unknown') as version_sk
+        from events e left join versions v on v.user_id = e.user_id and valid_from <= e.ts and (valid_to is null or e.ts < valid_to)""",
     "fact_sales": f"""select l_orderkey as order_id, l_linenumber as line_number,
           md5(cast(o_custkey as varchar)) as customer_sk, md5(cast(l_partkey as varchar)) as part_sk,
           md5(cast(l_suppkey as varchar)) as supplier_sk, cast(o_orderdate as date) as order_date,

@@ -1,0 +1,99 @@
+"""As-of joins against a plain walk, with a third of all rows on one key."""
+
+import bisect
+import datetime as dt
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from helpers import final_plan, plan
+from millrace.operators import scd, star
+from millrace.operators.asof import as_of_join
+
+START = dt.datetime(2024, 1, 1)
+
+
+def at(n):
+    return START + dt.timedelta(minutes=n)
+
+
+def made(seed, n=900):
+    pick = random.Random(seed)
+    keys = ["hot", "a", "b", "c", "only facts", None]
+    key = lambda i: "hot" if i % 3 == 0 else pick.choice(keys)
+    versions = [(key(i), None if pick.random() < 0.02 else at(pick.randrange(400)), i, f"v{i}" if i % 7 else None) for i in range(n // 5)]
+    versions = [v for v in versions if v[0] != "only facts"]
+    # a burst: half of the hot key's facts at one time
+    facts = [(key(i), None if pick.random() < 0.03 else at(200 if i % 2 else pick.randrange(500)), i) for i in range(n)]
+    return facts + facts[:5], versions
+
+
+def walked(facts, versions):
+    lives = {}
+    for k, start, tie, name in sorted((v for v in versions if v[0] is not None), key=lambda v: (v[1] is not None, v[1] or START, v[2])):
+        lives.setdefault(k, []).append((start or dt.datetime(1, 1, 1), name))
+    out = []
+    for k, when, n in facts:
+        life = lives.get(k, []) if when is not None else []
+        place = bisect.bisect_right([s for s, _ in life], when) if life else 0
+        out.append((k, when, n, life[place - 1][1] if place else None))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("hot_rows", [1, 7, 40, 10**6])
+@pytest.mark.parametrize("seed", [1, 2])
+def test_as_of_join(spark, seed, hot_rows):
+    facts, versions = made(seed)
+    left = spark.createDataFrame(facts, "k string, ts timestamp_ntz, n int")
+    right = spark.createDataFrame(versions, "k string, since timestamp_ntz, tie int, name string")
+    joined = as_of_join(left, right, ["k"], "ts", "since", ["name"], ["tie"], hot_rows)
+    assert joined.columns == ["k", "ts", "n", "name"]
+    assert sorted((tuple(r) for r in joined.collect()), key=str) == walked(facts, versions)
+
+
+def test_empty_sides_and_clashes(spark):
+    facts = spark.createDataFrame([("a", START, 1)], "k string, ts timestamp_ntz, n int")
+    versions = spark.createDataFrame([], "k string, since timestamp_ntz, name string")
+    assert [tuple(r) for r in as_of_join(facts, versions, ["k"], "ts", "since", ["name"]).collect()] == [("a", START, 1, None)]
+    assert as_of_join(facts.limit(0), versions, ["k"], "ts", "since", ["name"]).count() == 0
+    with pytest.raises(ValueError, match="ts"):
+        as_of_join(facts, versions.withColumnRenamed("name", "ts"), ["k"], "ts", "since", ["ts"])
+
+
+@pytest.fixture
+def skewed_events(spark, sf_dir):
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    return events.withColumn("user_id", F.when(F.col("event_id") % 3 == 0, 0).otherwise(F.col("user_id")))
+
+
+@pytest.mark.parametrize("hot_rows", [20, 10**6])
+def test_facts_find_the_version_in_force(skewed_events, hot_rows):
+    """Against the range join that the operator stands in for."""
+    known = skewed_events.where("event_id % 4 <> 1")
+    dimension = star.versioned_dimension(scd.scd2_history(known, ["user_id"], "ts", ["event_type"], ["event_id"]), ["user_id"])
+    fact = star.fact_with_versions(skewed_events, dimension, ["user_id"], "ts", hot_rows=hot_rows)
+    d, e = dimension.alias("d"), skewed_events.alias("e")
+    inside = "d.user_id = e.user_id and d.valid_from <= e.ts and (d.valid_to is null or e.ts < d.valid_to)"
+    want = e.join(d, F.expr(inside), "left").select("e.event_id", F.coalesce("d.version_sk", F.lit(star.UNKNOWN_KEY)))
+    assert sorted(tuple(r) for r in fact.select("event_id", "version_sk").collect()) == sorted(tuple(r) for r in want.collect())
+    assert fact.where(F.col("version_sk") == star.UNKNOWN_KEY).count() > 0
+
+
+def test_closed_versions_are_not_in_force(spark):
+    dimension = spark.createDataFrame([("a", at(0), at(5), "x")], "k string, valid_from timestamp_ntz, valid_to timestamp_ntz, version_sk string")
+    facts = spark.createDataFrame([("a", at(n)) for n in (0, 4, 5, 9)] + [(None, at(1))], "k string, ts timestamp_ntz")
+    fact = star.fact_with_versions(facts, dimension, ["k"], "ts")
+    assert sorted((tuple(r) for r in fact.collect()), key=str) == sorted(
+        [("a", at(0), "x"), ("a", at(4), "x"), ("a", at(5), "unknown"), ("a", at(9), "unknown"), (None, at(1), "unknown")], key=str
+    )
+
+
+def test_plan_has_no_range_or_cross_join(skewed_events):
+    dimension = star.versioned_dimension(scd.scd2_history(skewed_events, ["user_id"], "ts", ["event_type"], ["event_id"]), ["user_id"])
+    usual = plan(star.fact_with_versions(skewed_events, dimension, ["user_id"], "ts"), "simple")
+    assert "Join" not in usual and "CartesianProduct" not in usual
+    sliced = final_plan(star.fact_with_versions(skewed_events, dimension, ["user_id"], "ts", hot_rows=100))
+    assert "NestedLoop" not in sliced and "CartesianProduct" not in sliced
+    over_facts = [line for line in sliced.splitlines() if "Window [last(_version" in line and "_is_fact" in line]
+    assert any("_slice" in line for line in over_facts)

@@ -83,7 +83,7 @@ def test_partitioned_merge_opens_touched_directories_only(spark, root, orders, m
     batch = orders.where("order_year in ('1997', '1998')")
     for most, pruned in ((1000, True), (1, False)):
         monkeypatch.setattr(layers, "MAX_NAMED_PARTITIONS", most)
-        read = layers._touched_partitions(stored, batch.selectExpr("cast(order_year as int) as order_year"), ["order_year"])
+        read = layers.touched_partitions(stored, batch.selectExpr("cast(order_year as int) as order_year"), ["order_year"])
         assert read.count() == batch.count()
         assert bool(re.search(r"PartitionFilters: \[order_year#\d+ IN", final_plan(read))) is pruned
 

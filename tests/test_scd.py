@@ -1,6 +1,8 @@
 """Type-2 histories against a plain Python walk through each key's rows."""
 
 import datetime as dt
+import glob
+import os
 import random
 
 import pytest
@@ -8,7 +10,9 @@ from pyspark.sql import functions as F
 
 from helpers import final_plan, rows
 from millrace.operators import slices
-from millrace.operators.scd import scd2_history, scd2_merge
+from millrace.operators.scd import scd2_history, scd2_merge, scd2_merge_observed, scd2_observed, versions_of
+from millrace.sinks import history as history_
+from millrace.sinks import storage
 
 SCHEMA = "k string, ts timestamp_ntz, n int, colour string, size int"
 ATTRIBUTES = ["colour", "size"]
@@ -191,3 +195,51 @@ def test_merging_nothing_changes_nothing(spark):
     stored = history(spark.createDataFrame(make_log(6), SCHEMA))
     merged = scd2_merge(stored, spark.createDataFrame([], SCHEMA), ["k"], "ts", ATTRIBUTES, ["n"])
     assert rows(merged) == rows(stored)
+
+
+def by_name(spark, rows_):
+    return spark.createDataFrame(rows_, SCHEMA)
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+@pytest.mark.parametrize("hot_rows", [20, 10**6])
+def test_late_batches_equal_one_load(spark, seed, hot_rows):
+    """Rows dealt to batches at random, so most of them come late; a batch is merged again in between."""
+    pick = random.Random(seed)
+    log = make_log(seed, 240)
+    batches = [[], [], []]
+    for row in log:
+        pick.choice(batches).append(row)
+    by = {"keys": ["k"], "ts": "ts", "attributes": ATTRIBUTES, "tie_breakers": ["n"], "hot_rows": hot_rows}
+    observed = storage.stage(scd2_observed(by_name(spark, batches[0]), **by), "observed")
+    for batch in (batches[1], batches[2], batches[1]):
+        observed = storage.stage(scd2_merge_observed(observed, by_name(spark, batch), **by), "observed")
+    assert observed.count() == len(log)
+    assert as_list(versions_of(observed, ["k"], "ts", ATTRIBUTES)) == sorted(walk(log), key=str)
+
+
+def test_a_late_row_restores_the_version_it_splits(spark):
+    day = lambda n: START + dt.timedelta(days=n)
+    by = (["k"], "ts", ATTRIBUTES, ["n"])
+    stored = scd2_observed(by_name(spark, [("a", day(1), 1, "red", 1), ("a", day(5), 2, "red", 1), ("a", day(9), 3, "blue", 1)]), *by)
+    merged = scd2_merge_observed(stored, by_name(spark, [("a", day(3), 4, "green", 1)]), *by)
+    versions = as_list(versions_of(merged, ["k"], "ts", ATTRIBUTES))
+    assert [(v[1], v[3], v[4]) for v in sorted(versions, key=lambda v: v[3])] == [
+        ("red", day(1), day(3)), ("green", day(3), day(5)), ("red", day(5), day(9)), ("blue", day(9), None)
+    ]
+
+
+def test_stored_merge_rewrites_touched_buckets_only(spark, root):
+    log = make_log(3, 200)
+    by = {"keys": ["k"], "ts": "ts", "attributes": ATTRIBUTES, "tie_breakers": ["n"]}
+    history_.merge_history(by_name(spark, log[:150]), root, "t", buckets=16, **by)
+    files = lambda: {p: os.stat(p).st_mtime_ns for p in glob.glob(f"{root}/silver/t/**/*.parquet", recursive=True)}
+    before = files()
+    history_.merge_history(by_name(spark, [r for r in log[150:] if r[0] == "a"]), root, "t", buckets=16, **by)
+    untouched = before.items() & files().items()
+    assert 0 < len(untouched) < len(before)
+    history_.merge_history(by_name(spark, [r for r in log[150:] if r[0] != "a"]), root, "t", buckets=16, **by)
+    stored = history_.read_history(spark, root, "t", keys=["k"], ts="ts", attributes=ATTRIBUTES)
+    assert as_list(stored) == sorted(walk(log), key=str)
+    history_.merge_history(by_name(spark, []), root, "t", buckets=16, **by)
+    assert as_list(stored) == sorted(walk(log), key=str)
