@@ -122,37 +122,39 @@ def _longer(before: int, length: int, window: int) -> Callable[[Iterator[pa.Reco
 
 
 def _whole_windows(before: int, window: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """doc_id, key, sample, start, windows: the hashes of consecutive whole windows of one alive sample."""
+    """doc_id, key, sample, starts, windows: the hashes of consecutive whole windows of one alive sample.
+
+    Where a document repeats them they are one row, so a text that is one word over and over has one row.
+    """
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, keys, starts, samples, windows = [], [], [], [], []
+            held: list[tuple] = []
             for doc_id, key, text, alive in zip(*[batch.column(c) for c in ("doc_id", "key", "text", "alive")], strict=True):
                 hashed = _Text(_words(text))
                 places, found = hashed.samples(before, window)
                 left, whole = _alive(found, alive), hashed.windows(window)
                 edges = np.flatnonzero(np.r_[True, places[1:] != places[:-1], True])
-                for low, high in zip(edges[:-1], edges[1:], strict=True):
+                own: dict[tuple[int, bytes], list[int]] = {}
+                for low, high in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
                     if left[low]:
-                        ids.append(doc_id.as_py())
-                        keys.append(key.as_py())
-                        starts.append(low)
-                        samples.append(found[low])
-                        windows.append(whole[low:high])
-                if len(ids) >= 5000:
-                    yield _rows_of(ids, keys, starts, samples, windows)
-                    ids, keys, starts, samples, windows = [], [], [], [], []
-            if ids:
-                yield _rows_of(ids, keys, starts, samples, windows)
+                        own.setdefault((found[low], whole[low:high].tobytes()), []).append(low)
+                held += [(doc_id.as_py(), key.as_py(), sample, starts, hashes) for (sample, hashes), starts in own.items()]
+                if len(held) >= 5000:
+                    yield _rows_of(held)
+                    held = []
+            if held:
+                yield _rows_of(held)
 
     return rows
 
 
-def _rows_of(ids: list, keys: list, starts: list, samples: list, windows: list) -> pa.RecordBatch:
+def _rows_of(held: list[tuple]) -> pa.RecordBatch:
+    ids, keys, samples, starts, windows = zip(*held, strict=True)
     return pa.RecordBatch.from_arrays(
-        [pa.array(ids, pa.int64()), pa.array(keys, pa.int64()), pa.array(starts, pa.int64()),
-         _signed(np.array(samples, dtype=np.uint64)), _lists(windows)],
-        names=["doc_id", "key", "start", "sample", "windows"],
+        [pa.array(ids, pa.int64()), pa.array(keys, pa.int64()), pa.array(starts, pa.list_(pa.int64())),
+         _signed(np.array(samples, dtype=np.uint64)), _lists([np.frombuffer(w, dtype=np.uint64) for w in windows])],
+        names=["doc_id", "key", "starts", "sample", "windows"],
     )
 
 
@@ -193,7 +195,7 @@ def _in_several(samples: DataFrame) -> DataFrame:
 
 def _cuts(texts: DataFrame, before: int, window: int, work: Workspace) -> DataFrame:
     """doc_id, key, cuts: where windows stand that a document of a smaller id has as well."""
-    schema = "doc_id bigint, key bigint, start bigint, sample bigint, windows array<bigint>"
+    schema = "doc_id bigint, key bigint, starts array<bigint>, sample bigint, windows array<bigint>"
     rows = work.stage(texts.mapInArrow(_whole_windows(before, window), schema).withColumn("phrase", F.xxhash64("windows")))
     same = ("sample", "phrase")
     first = work.stage(
@@ -209,16 +211,13 @@ def _cuts(texts: DataFrame, before: int, window: int, work: Workspace) -> DataFr
     earlier = (
         single.join(least, ["sample", "window"]).where("low < first").groupBy(*same).agg(F.collect_list("place").alias("places"))
     )
-    judged = first.select(*same, "first").join(earlier, list(same), "left")
-    named = judged.select(*[F.col(c).alias(f"_{c}") for c in same], "first", "places", F.hash(*same).alias("_hash"))
-    met = rows.select("doc_id", "key", "start", *same, F.size("windows").cast("long").alias("n")).join(
-        named.drop("_hash"), [F.col(c) == F.col(f"_{c}") for c in same]
-    )
-    whole = F.array(F.struct(F.col("start"), F.col("n").alias("count")))
-    parts = F.transform("places", lambda p: F.struct((F.col("start") + p).alias("start"), F.lit(1).cast("long").alias("count")))
+    # Written and read back, this side has no order of its own, so the join may split a row that very many documents have.
+    judged = work.stage(first.select(*same, "first").join(earlier, list(same), "left"))
+    met = rows.select("doc_id", "key", "starts", *same, F.size("windows").cast("long").alias("n")).join(judged, list(same))
+    whole = F.transform("starts", lambda s: F.struct(s.alias("start"), F.col("n").alias("count")))
+    parts = F.flatten(F.transform("starts", lambda s: F.transform("places", lambda p: F.struct((s + p).alias("start"), F.lit(1).cast("long").alias("count")))))
     cuts = F.when(F.col("doc_id") > F.col("first"), whole).otherwise(parts)
-    found = met.select("doc_id", "key", F.explode(cuts).alias("cut")).groupBy("doc_id", "key").agg(F.collect_list("cut").alias("cuts"))
-    return found
+    return met.select("doc_id", "key", F.explode(cuts).alias("cut")).groupBy("doc_id", "key").agg(F.collect_list("cut").alias("cuts"))
 
 
 def _work_through(docs: DataFrame, id_col: str, text_col: str, window: int, shortest: int) -> tuple[DataFrame, DataFrame]:
