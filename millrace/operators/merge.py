@@ -60,3 +60,34 @@ def upsert_newer(
 
     newest_first = [F.col(c).desc() for c in (ts, *tie_breakers)]
     return latest_per_key(target.unionByName(source.select(*target.columns)), key_list(keys), newest_first)
+
+
+def upsert_batch(
+    target: DataFrame, batch: DataFrame, keys: str | Sequence[str], ts: str, batch_column: str
+) -> DataFrame:
+    """``target`` with a load's rows put in, newest row of a key first, as often as the load is run.
+
+    A target row stays unless the batch has its key with the same or a later ``ts``, or an earlier run of the same
+    batch (``batch_column``) wrote it. Of several batch rows of a key and time one is taken. Null keys match
+    nothing. Columns that only one side has are null on the other. ``batch`` is read several times, and holds one
+    load; a small one is broadcast by Spark's own size check, and the target is then not shuffled.
+    """
+    from millrace.operators.versions import latest_per_key
+
+    on = key_list(keys)
+    no_key = any_of([F.col(k).isNull() for k in on])
+    rest = sorted(c for c in batch.columns if c not in on)
+    newest = latest_per_key(batch.where(~no_key), on, [F.desc(ts), F.desc(F.xxhash64(*rest)), *[F.desc(c) for c in on]])
+    loaded = batch.select(F.col(batch_column).alias("_loading")).limit(1).select("_loading").scalar()
+    others = target.where(~F.coalesce(F.col(batch_column).eqNullSafe(loaded), F.lit(False)))
+    arriving = newest.select(*[F.col(k).alias(f"_{k}") for k in on], F.col(ts).alias("_arriving"))
+    same = [F.col(k) == F.col(f"_{k}") for k in on]
+    later = F.col(ts) > F.col("_arriving")
+    kept = others.where(~no_key).join(arriving, same, "left").where(F.col(f"_{on[0]}").isNull() | later).select(*target.columns)
+    ahead = others.join(arriving, same).where(later).select(*[F.col(k).alias(f"_{k}") for k in on])
+    put_in = newest.join(ahead, same, "left_anti")
+    return (
+        kept.unionByName(others.where(no_key))
+        .unionByName(put_in, allowMissingColumns=True)
+        .unionByName(batch.where(no_key), allowMissingColumns=True)
+    )

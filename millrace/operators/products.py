@@ -43,19 +43,24 @@ def impute_products(
     df: DataFrame,
     median: Literal["exact", "approx"] = "exact",
     flag_mode: Literal["missing", "value_match"] = "missing",
+    rescue: str | None = None,
 ) -> DataFrame:
     """Fill null categories and prices, and flag the rows.
 
     ``flag_mode="missing"`` flags rows in which a value was in fact filled.
     ``"value_match"`` flags every row whose category or price equals the fill value,
     genuine rows included. Needs the columns ``category`` and ``price``; with no price
-    at all there is no median and prices stay null.
+    at all there is no median and prices stay null. A price that is null because its text was
+    malformed, which the column ``rescue`` tells, is not filled: the row goes to quarantine.
     """
-    fill_price = median_price(df, median).scalar()
+    fill_price, no_price = median_price(df, median).scalar(), F.col("price").isNull()
+    if rescue:
+        no_price &= F.get_json_object(rescue, "$.price").isNull()
+        fill_price = F.when(no_price, fill_price)
     category = F.coalesce("category", F.lit(rules.UNCATEGORIZED))
     price = F.coalesce(F.col("price"), fill_price)
     if flag_mode == "missing":
-        flag = F.col("category").isNull() | F.col("price").isNull()
+        flag = F.col("category").isNull() | no_price
     else:
         flag = (category == rules.UNCATEGORIZED) | (price == fill_price)
     return df.withColumns(
@@ -134,7 +139,11 @@ def valid_rows(flagged: DataFrame, counts: Observation | None = None) -> DataFra
     return flagged.where("_is_valid")
 
 
-def quarantine_rows(flagged: DataFrame) -> DataFrame:
-    """The invalid rows, each with the rules it breaks in ``_reject_reason``."""
-    broken = [F.when(~F.coalesce(ok, F.lit(False)), F.lit(name)) for name, ok in _rules().items()]
+def quarantine_rows(flagged: DataFrame, rescue: str | None = None) -> DataFrame:
+    """The invalid rows, each with the rules it breaks in ``_reject_reason``.
+
+    With ``rescue``, the column of lost texts, malformed values are named as well.
+    """
+    broken = [F.when(F.get_json_object(rescue, "$.price").isNotNull(), F.lit("price_malformed"))] if rescue else []
+    broken += [F.when(~F.coalesce(ok, F.lit(False)), F.lit(name)) for name, ok in _rules().items()]
     return flagged.where(~F.col("_is_valid")).withColumn("_reject_reason", F.concat_ws(",", *broken))

@@ -19,10 +19,10 @@ from millrace.operators.merge import upsert, upsert_newer
 from millrace.operators.standardize import cast_columns, enforce_schema, snake_case_columns
 from millrace.functions.product import age_days, price_tier, season
 from millrace.functions.zorder import with_z_value
-from millrace.plans.product import transform_products
+from millrace.plans.product import RESCUED, load_products, transform_products
 from millrace.sinks import changes, history, layers, maintain
 from millrace.sinks.storage import fresh_name, scratch_dir, table_path
-from millrace.sources.files import newer_than, next_watermark, read_entity
+from millrace.sources.files import newer_than, next_watermark, read_entity, read_increment, store_watermark
 from millrace.sources.nested import explode_records, flatten_json, infer_json_type
 from millrace.sources.paged import read_pages
 from millrace.streaming.sinks import read_upserted, stream_to_bronze, stream_upsert
@@ -107,6 +107,13 @@ def schema_enforce(spark, sf_dir):
     return enforce_schema(text_products(spark, sf_dir), contract)
 
 
+@query("schema_rescue")
+def schema_rescue(spark, sf_dir):
+    """The contract again, with the texts of lost values and of columns outside it."""
+    contract = T.StructType.fromDDL("product_id string, product_name string, price decimal(10,2), created_date date")
+    return enforce_schema(text_products(spark, sf_dir), contract, rescue="_rescued")
+
+
 # --- products ----------------------------------------------------------------------------
 
 
@@ -199,6 +206,39 @@ def product_transform(spark, sf_dir):
     return out.withColumn("created_date", F.col("created_date").cast("timestamp_ntz"))
 
 
+def _second_batch(raw: DataFrame) -> DataFrame:
+    """Every third and every fifth product, a unit dearer."""
+    return raw.where("right(`Product ID`, 6) % 3 = 0 or right(`Product ID`, 6) % 5 = 0").withColumn("Price", (F.col("Price") + 1).cast("decimal(10,2)"))
+
+
+@query("product_load_two_batches")
+def product_load_two_batches(spark, sf_dir):
+    """Silver after two loads, the first of which is run again after the second; later prices stay."""
+    root, raw = scratch_dir(spark, "products"), raw_products(spark, sf_dir)
+    first = raw.where("right(`Product ID`, 6) % 3 <> 0")
+    for batch, rows, day in (("load0", first, 0), ("load1", _second_batch(raw), 1), ("load0", first, 0)):
+        load_products(
+            rows, root, source="erp", batch_id=batch, as_of=AS_OF, ingested_at=INGESTED_AT + dt.timedelta(days=day),
+            categories=[*PART_TYPES, "STANDARD", "UNCATEGORIZED"], gold_table=fresh_name("summary"),
+        )
+    silver = layers.read_validated(spark, table_path(root, "silver", "products"))
+    stored = silver.drop("_ingestion_timestamp", "_source_system", RESCUED)
+    return stored.withColumn("created_date", F.col("created_date").cast("timestamp_ntz"))
+
+
+@query("quarantine_malformed")
+def quarantine_malformed(spark, sf_dir):
+    """What a load of text prices rejects: malformed ones among them, with the text that was there."""
+    root, raw = scratch_dir(spark, "products"), raw_products(spark, sf_dir)
+    text = F.when(F.right("Product ID", F.lit(6)) % 13 == 0, F.lit("n/a")).otherwise(F.col("Price").cast("string"))
+    load_products(
+        raw.withColumn("Price", text), root, source="erp", batch_id=BATCH_ID, as_of=AS_OF, ingested_at=INGESTED_AT,
+        categories=[*PART_TYPES, "STANDARD", "UNCATEGORIZED"], gold_table=fresh_name("summary"),
+    )
+    rejected = spark.read.parquet(f"{root}/quarantine/products")
+    return rejected.select("product_id", "product_name", "price", "_reject_reason", RESCUED)
+
+
 # --- quality -----------------------------------------------------------------------------
 
 
@@ -408,6 +448,31 @@ def json_flatten(spark, sf_dir):
     return flat.withColumnRenamed("props.k", "props_k")
 
 
+@query("json_flatten_rescue")
+def json_flatten_rescue(spark, sf_dir):
+    """Events with a type known beforehand, some malformed or of another type; one pass."""
+    props = F.expr("case when event_id % 11 = 0 then '{\"k\": ' when event_id % 13 = 0 then '{\"k\": \"x\"}' else props end")
+    events = table(spark, sf_dir, "events").select("event_id", props.alias("props"))
+    flat = flatten_json(events, "props", "k bigint", keep=["event_id"], rescue="_rescued")
+    return flat.withColumnRenamed("props.k", "props_k")
+
+
+BORDER = "timestamp_ntz'1998-06-30 00:00:00'"
+
+
+@query("incremental_two_runs")
+def incremental_two_runs(spark, sf_dir):
+    """Two runs over a growing source; half of the orders of the border's day come after the first run."""
+    root, orders = scratch_dir(spark, "increments"), table(spark, sf_dir, "orders")
+    state, by = f"{root}/watermark", ("o_orderdate", ["o_orderkey"])
+    arrived = f"o_orderdate < {BORDER} or (o_orderdate = {BORDER} and o_orderkey % 2 = 0)"
+    for run, source in (("0", orders.where(arrived)), ("1", orders)):
+        found = read_increment(source, state, *by)
+        layers.write_bronze(found, root, "orders", source="erp", batch_id=run, ingested_at=INGESTED_AT, mode="batch")
+        store_watermark(layers.read_batch(spark, root, "orders", run, orders.schema), state, *by)
+    return layers.read_batches(spark, root, "orders").drop("_ingestion_timestamp", "_source_system")
+
+
 ORDERS_PER_PAGE = 5000
 
 
@@ -453,6 +518,15 @@ def bronze_metadata(spark, sf_dir):
     return stored.withColumn("_ingestion_timestamp", F.date_format(in_utc, "yyyy-MM-dd HH:mm:ss"))
 
 
+@query("bronze_rerun")
+def bronze_rerun(spark, sf_dir):
+    """Two batches landed, the second one twice: it is there once."""
+    root, orders = scratch_dir(spark, "bronze"), table(spark, sf_dir, "orders")
+    for batch, rows in (("0", orders), ("01", _order_batch(orders)), ("01", _order_batch(orders))):
+        layers.write_bronze(rows, root, "orders", source="erp", batch_id=batch, ingested_at=INGESTED_AT, mode="batch")
+    return layers.read_batches(spark, root, "orders").drop("_ingestion_timestamp", "_source_system")
+
+
 @query("schema_evolve_union")
 def schema_evolve_union(spark, sf_dir):
     """Two loads with different columns, read back as one table."""
@@ -636,6 +710,19 @@ def gold_incremental_revenue(spark, sf_dir):
     return spark.table(name)
 
 
+@query("gold_distinct_customers")
+def gold_distinct_customers(spark, sf_dir):
+    """Distinct customers per month, stored as bitmaps and brought up to date by two more loads, the last one twice."""
+    root = scratch_dir(spark, "gold")
+    orders = table(spark, sf_dir, "orders").select(F.date_format("o_orderdate", "yyyy-MM").alias("month"), "o_custkey", "o_orderkey")
+    name, by = fresh_name("customers"), (["month"], "o_custkey")
+    layers.write_gold(gold.distinct_bitmaps(orders.where("o_orderkey % 3 = 0"), *by), root, "customers", name=name)
+    for part in (1, 2, 2):
+        more = gold.add_distinct(spark.table(name), orders.where(f"o_orderkey % 3 = {part}"), *by)
+        layers.write_gold(more, root, "customers", name=name)
+    return gold.distinct_counts(spark.table(name), ["month"], "customers")
+
+
 @query("gold_hash_distribution")
 def gold_hash_distribution(spark, sf_dir):
     """Two tables hashed on the customer, joined bucket by bucket."""

@@ -67,14 +67,22 @@ def write_bronze(
     ingested_at: dt.datetime | None = None, partition_cols: Sequence[str] = (),
     mode: str = "overwrite", fmt: str = "parquet",
 ) -> int:
-    """Land raw rows with batch metadata; returns the number written, counted by the write itself."""
+    """Land raw rows with batch metadata; returns the number written, counted by the write itself.
+
+    Modes are ``overwrite``, ``append``, which adds a batch again if it is run again, and ``batch``: batches add up,
+    each in a directory of its own, and one that is run again replaces what it wrote before (:func:`read_batch`).
+    """
     written = Observation()
     rows = with_batch_metadata(balanced(df, partition_cols), source, batch_id, ingested_at)
     rows = rows.observe(written, F.count(F.lit(1)).alias("rows"))
     if fmt != "delta" and mode == "overwrite":
         replace_table(rows, table_path(root, "bronze", table), fmt, list(partition_cols))
         return written.get["rows"]
-    writer = rows.write.format(fmt).mode(mode)
+    if mode == "batch":
+        partition_cols = ["_batch_id", *partition_cols]
+        writer = rows.write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    else:
+        writer = rows.write.format(fmt).mode(mode)
     if fmt == "delta":
         writer = writer.option("mergeSchema", "true")
     if partition_cols:
@@ -91,6 +99,18 @@ def read_table(
     return read_stored(spark, table_path(root, layer, table), fmt, **options)
 
 
+def read_batch(spark: SparkSession, root: str, table: str, batch_id: str, schema: T.StructType, fmt: str = "parquet") -> DataFrame:
+    """One batch of a bronze table written with mode ``batch``, in the columns of ``schema``; opens its directory only."""
+    stamped = with_batch_metadata(spark.createDataFrame([], schema), "", batch_id).schema
+    return spark.read.format(fmt).schema(stamped).load(table_path(root, "bronze", table)).where(F.col("_batch_id") == batch_id)
+
+
+def read_batches(spark: SparkSession, root: str, table: str, fmt: str = "parquet") -> DataFrame:
+    """All batches of such a table, with the columns of all of them; batch ids are texts."""
+    stored = read_stored(spark, table_path(root, "bronze", table), fmt, mergeSchema="true")
+    return stored.withColumn("_batch_id", F.col("_batch_id").cast("string"))
+
+
 def touched_partitions(target: DataFrame, batch: DataFrame, partition_cols: Sequence[str]) -> DataFrame:
     """The target's rows in partitions the batch has rows for, and in those named by a null.
 

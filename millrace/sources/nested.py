@@ -42,11 +42,22 @@ def infer_json_type(df: DataFrame, column: str) -> str:
 
 
 def flatten_json(
-    df: DataFrame, column: str, schema: T.StructType | str, keep: Sequence[str] = ()
+    df: DataFrame, column: str, schema: T.StructType | str, keep: Sequence[str] = (), rescue: str | None = None
 ) -> DataFrame:
-    """Parse a JSON text column and flatten it to columns ``column.path``, next to ``keep``."""
-    parsed = F.from_json(column, schema).alias(column)
-    return flatten_structs(df.select(*[quoted(k) for k in keep], parsed))
+    """Parse a JSON text column and flatten it to columns ``column.path``, next to ``keep``.
+
+    With ``rescue`` a column of that name keeps the whole text of values that do not fit the schema, malformed ones
+    and those of which a field had to become null; it is null where everything was read.
+    """
+    kept = [quoted(k) for k in keep]
+    if rescue is None:
+        return flatten_structs(df.select(*kept, F.from_json(column, schema).alias(column)))
+    kind = schema if isinstance(schema, T.StructType) else df.select(F.from_json(column, schema).alias("c")).schema["c"].dataType
+    fields = T.StructType([*kind.fields, T.StructField(rescue, T.StringType())])
+    parsed = F.from_json(column, fields, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": rescue})
+    read = df.select(*kept, parsed.alias("_parsed"))
+    values = F.struct(*[F.col("_parsed").getField(f.name).alias(f.name) for f in kind.fields]).alias(column)
+    return flatten_structs(read.select(*kept, values, F.col("_parsed").getField(rescue).alias(rescue)))
 
 
 def explode_records(pages: DataFrame, payload: str, record: T.StructType, results: str = "results") -> DataFrame:

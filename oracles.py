@@ -19,13 +19,16 @@ def _tidy(column: str) -> str:
     return f"array_to_string(list_transform({words}, lambda w: upper(w[1]) || lower(w[2:])), ' ')"
 
 
-CLEAN = f"""{PRODUCT},
+def _clean(product: str) -> str:
+    return f"""{product},
 clean as (
   select product_id, {_tidy('product_name')} as product_name,
     upper({_tidy('category')}) as category, price, created_date
   from product)"""
 
-IMPUTED = f"""{CLEAN},
+
+def _imputed(product: str) -> str:
+    return f"""{_clean(product)},
 median as (select quantile_disc(price, 0.5) as m from clean),
 imputed as (
   select product_id, product_name, coalesce(category, 'UNCATEGORIZED') as category,
@@ -33,6 +36,9 @@ imputed as (
     category is null or price is null as _has_imputed_values
   from clean, median)"""
 
+
+CLEAN, IMPUTED = _clean(PRODUCT), _imputed(PRODUCT)
+
 TIER = """case when price < 50 then 'Budget' when price < 100 then 'Standard'
   when price < 500 then 'Premium' else 'Luxury' end"""
 SEASON = """case when month(created_date) in (12, 1, 2) then 'Winter'
@@ -42,7 +48,8 @@ SCORE = """case when std = 0 or std is null then 50.0 when price is not null the
   least(greatest(round(50 + (cast(price as double) - mean) / std * 10, 2), 0), 100) end"""
 VALID = "coalesce(price > 0 and product_name is not null and length(product_name) > 2, false)"
 
-FLAGGED = f"""{IMPUTED},
+def _flagged(product: str) -> str:
+    return f"""{_imputed(product)},
 stats as (select avg(cast(price as double)) as mean, stddev_pop(cast(price as double)) as std from imputed),
 flagged as (
   select product_id, product_name, category, price, cast(created_date as timestamp) as created_date,
@@ -51,6 +58,22 @@ flagged as (
     cast(null as float[]) as product_embedding, {VALID} as _is_valid
   from imputed, stats)"""
 
+
+FLAGGED = _flagged(PRODUCT)
+
+
+def _loaded(batch: str, condition: str, price: str) -> str:
+    """The flagged rows of one batch of the products; median and score are the batch's own."""
+    product = PRODUCT.replace("product as", "every_product as") + f""",
+product as (select * replace (cast({price} as decimal(10,2)) as price) from every_product where {condition})"""
+    return f"select *, '{batch}' as _batch_id from (with {_flagged(product)} select * from flagged)"
+
+
+NUMBER = "cast(right(product_id, 6) as integer)"
+TWO_LOADS = f"""
+first_load as ({_loaded("load0", f"{NUMBER} % 3 <> 0", "price")}),
+second_load as ({_loaded("load1", f"{NUMBER} % 3 = 0 or {NUMBER} % 5 = 0", "price + 1")})"""
+
 TEXT_PRODUCT = """
 text_product as (
   select p_partkey as product_id, p_name as product_name,
@@ -190,6 +213,15 @@ ORACLES: dict[str, str] = {
           nullif(concat_ws(',', case when try_cast(price as decimal(10,2)) is null then 'price' end,
             case when try_cast(created_date as date) is null then 'created_date' end), '') as _cast_failures
         from text_product""",
+    "schema_rescue": f"""with {TEXT_PRODUCT}
+        select cast(product_id as varchar) as product_id, product_name, try_cast(price as decimal(10,2)) as price,
+          try_cast(created_date as date) as created_date,
+          nullif(concat_ws(',', case when try_cast(price as decimal(10,2)) is null then 'price' end,
+            case when try_cast(created_date as date) is null then 'created_date' end), '') as _cast_failures,
+          '{{' || concat_ws(',', case when try_cast(price as decimal(10,2)) is null then '"price":"' || price || '"' end,
+            case when try_cast(created_date as date) is null then '"created_date":"' || created_date || '"' end,
+            '"brand":"' || brand || '"') || '}}' as _rescued
+        from text_product""",
     "clean_text": f"with {CLEAN} select product_id, product_name, category from clean",
     "median_price": f"with {PRODUCT} select quantile_disc(price, 0.5) as median_price from product",
     "impute_products": f"with {IMPUTED} select product_id, category, price, _has_imputed_values from imputed",
@@ -220,6 +252,21 @@ ORACLES: dict[str, str] = {
             case when not coalesce(length(product_name) > 2, false) then 'name_too_short' end) as _reject_reason
         from clean where not {VALID}""",
     "product_transform": f"with {FLAGGED} select * from flagged where _is_valid",
+    "product_load_two_batches": f"""with {TWO_LOADS}
+        select * from second_load
+        union all select * from first_load where product_id not in (select product_id from second_load)""",
+    "quarantine_malformed": f"""with {PRODUCT.replace("product as", "every_product as")},
+        product as (select * replace (case when {NUMBER} % 13 = 0 then null else price end as price) from every_product),
+        {_imputed("")[2:]},
+        judged as (select product_id, product_name, category, {NUMBER} % 13 = 0 as malformed,
+          case when {NUMBER} % 13 <> 0 then price end as price from imputed)
+        select product_id, product_name, price,
+          concat_ws(',', case when malformed then 'price_malformed' end,
+            case when not coalesce(price > 0, false) then 'price_not_positive' end,
+            case when product_name is null then 'name_missing' end,
+            case when not coalesce(length(product_name) > 2, false) then 'name_too_short' end) as _reject_reason,
+          case when malformed then '{{"price":"n/a"}}' end as _rescued_data
+        from judged where not {VALID}""",
     "dq_not_null": f"with {CLEAN} {NOT_NULL_ID} union all {NOT_NULL_NAME}",
     "dq_between": f"with {CLEAN} {_column_check('between', 'price', 'price between 0 and 600')}",
     "dq_in_set": f"with {CLEAN} {_column_check('in_set', 'category', f'category in ({TYPES})')}",
@@ -273,10 +320,17 @@ ORACLES: dict[str, str] = {
         where o_orderdate > timestamp '1998-06-30 00:00:00'""",
     "next_watermark": "select max(ts) as next_watermark from events",
     "json_flatten": """select event_id, cast(json_extract_string(props, '$.k') as bigint) as props_k from events""",
+    "json_flatten_rescue": """select event_id,
+          case when event_id % 11 <> 0 and event_id % 13 <> 0 then cast(json_extract_string(props, '$.k') as bigint) end as props_k,
+          case when event_id % 11 = 0 then '{"k": ' when event_id % 13 = 0 then '{"k": "x"}' end as _rescued from events""",
+    "incremental_two_runs": """select *, case when o_orderdate < timestamp '1998-06-30'
+          or (o_orderdate = timestamp '1998-06-30' and o_orderkey % 2 = 0) then '0' else '1' end as _batch_id from orders""",
     "paged_orders": """select o_orderkey, o_totalprice as detail_o_totalprice,
           o_orderpriority as detail_o_orderpriority from orders""",
     "bronze_metadata": """select *, '2024-12-31 12:00:00' as _ingestion_timestamp, 'erp' as _source_system,
           '20241231120000' as _batch_id from orders""",
+    "bronze_rerun": f"""with {ORDER_BATCH}
+        select *, '0' as _batch_id from orders union all select *, '01' from order_batch""",
     "schema_evolve_union": """select p_partkey, p_name, null as p_brand, null as p_size, 'load0' as _batch_id from part
         union all select p_partkey, null, p_brand, p_size, 'load1' from part""",
     "table_as_of": f"""with {ORDER_BATCH}
@@ -305,6 +359,8 @@ ORACLES: dict[str, str] = {
         select category, count(*) as product_count, sum(price) as total_price, min(price) as min_price,
           max(price) as max_price, count(*) filter (where _has_imputed_values) as imputed_count
         from flagged where _is_valid group by 1""",
+    "gold_distinct_customers": """select strftime(o_orderdate, '%Y-%m') as month, count(distinct o_custkey) as customers
+        from orders group by 1""",
     "gold_hash_distribution": f"""with {CUSTOMER_REVENUE}
         select c_mktsegment, cast(sum(order_count) as bigint) as order_count, sum(order_value) as order_value
         from revenue join customer on c_custkey = o_custkey group by 1""",

@@ -49,3 +49,13 @@ def test_members_without_a_match_stay(spark, sf_dir):
     members = star.with_unknown_member(customers, "customer_sk")
     assert fact.where(F.col("customer_sk") == star.UNKNOWN_KEY).count() > 0
     assert fact.join(members, "customer_sk", "left_anti").count() == 0
+
+
+def test_distinct_counts_over_loads(spark):
+    rows = spark.range(5000).selectExpr("id % 7 as g", "if(id % 11 = 0, null, (id * id) % 90000 - 50) as k", "id")
+    bitmaps = gold.distinct_bitmaps(rows.where("id < 1000"), ["g"], "k")
+    for part in ("id >= 1000 and id < 3000", "id >= 2500"):  # they overlap
+        bitmaps = gold.add_distinct(bitmaps, rows.where(part), ["g"], "k")
+    want = {r["g"]: r["n"] for r in rows.groupBy("g").agg(F.countDistinct("k").alias("n")).collect()}
+    assert {r["g"]: r["n"] for r in gold.distinct_counts(bitmaps, ["g"], "n").collect()} == want
+    assert gold.distinct_counts(bitmaps, [], "n").first()["n"] == rows.select("k").where("k is not null").distinct().count()
