@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from millrace.functions.columns import as_long
 
 MAX_BITS = 16  # bits per column, fewer when more than three columns share the 63
+DEPTH_BITS = 8  # of equal-depth buckets: 256 per column
+BORDER_ACCURACY = 10_000  # borders lie within this fraction of all rows of their rank
 
 
 def _bucketed(value: Column, low: Column, high: Column, bits: int) -> Column:
@@ -45,3 +47,31 @@ def with_z_value(df: DataFrame, columns: Sequence[str], name: str = "_z") -> Dat
         _bucketed(v, F.col(f"_bounds.lo{i}"), F.col(f"_bounds.hi{i}"), bits) for i, v in enumerate(longs)
     ]
     return staged.withColumn(name, interleave(scaled, bits)).drop("_bounds")
+
+
+def _borders(value: Column, bits: int) -> Column:
+    """The values that part a column into 2**bits buckets of about equal numbers of rows, from a mergeable sketch."""
+    ranks = [i / 2**bits for i in range(1, 2**bits)]
+    return F.percentile_approx(value, ranks, F.lit(BORDER_ACCURACY))
+
+
+def _depth_bucket(value: Column, borders: Column, bits: int) -> Column:
+    """How many borders a value reaches, by halving the sorted list; null counts as lowest."""
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range(bits))])
+    reached = F.aggregate(
+        steps, F.lit(0), lambda n, step: F.when(F.element_at(borders, n + step) <= value, n + step).otherwise(n)
+    )
+    return F.coalesce(F.when(value.isNotNull() & borders.isNotNull(), reached), F.lit(0)).cast("long")
+
+
+def with_z_rank(df: DataFrame, columns: Sequence[str], name: str = "_z", bits: int = DEPTH_BITS) -> DataFrame:
+    """Add a Z-order number over buckets of equal depth: outliers and skewed values cost no resolution.
+
+    The borders of all columns come from one pass; every row is placed by ``bits`` comparisons a column.
+    """
+    bits = min(bits, 63 // len(columns))
+    longs = [as_long(df, c) for c in columns]
+    borders = df.agg(F.struct(*[_borders(v, bits).alias(f"b{i}") for i, v in enumerate(longs)])).scalar()
+    ranked = df.withColumn("_borders", borders)
+    buckets = [_depth_bucket(v, F.col(f"_borders.b{i}"), bits) for i, v in enumerate(longs)]
+    return ranked.withColumn(name, interleave(buckets, bits)).drop("_borders")

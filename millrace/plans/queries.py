@@ -17,14 +17,14 @@ from millrace.operators import gold, products, quality, scd, star, versions
 from millrace.operators.joins import replicated_join
 from millrace.operators.merge import upsert, upsert_newer
 from millrace.operators.standardize import cast_columns, enforce_schema, snake_case_columns
+from millrace.functions.quantile import merged_sketches, quantile_sketch, sketch_quantiles
 from millrace.functions.product import age_days, price_tier, season
 from millrace.functions.zorder import with_z_value
 from millrace.plans.product import RESCUED, load_products, transform_products
-from millrace.sinks import changes, history, layers, maintain
+from millrace.sinks import bucketed, changes, history, layers, maintain
 from millrace.sinks.storage import fresh_name, scratch_dir, table_path
 from millrace.sources.files import newer_than, next_watermark, read_entity, read_increment, store_watermark
 from millrace.sources.nested import explode_records, flatten_json, infer_json_type
-from millrace.sources.paged import read_pages
 from millrace.streaming.sinks import read_upserted, stream_to_bronze, stream_upsert
 from millrace.streaming.sources import stream_files
 
@@ -127,6 +127,20 @@ def median_price(spark, sf_dir):
     return products.median_price(product_rows(spark, sf_dir)).withColumnRenamed("price", "median_price")
 
 
+@query("median_sketch")
+def median_sketch(spark, sf_dir):
+    """The median of three loads from one stored sketch per load: is its rank within one per cent?"""
+    path, parts = scratch_dir(spark, "sketches"), table(spark, sf_dir, "part")
+    for n in range(3):
+        load = parts.where(F.col("p_partkey") % 3 == n)
+        quantile_sketch(load, "p_retailprice").write.mode("append").parquet(path)
+    merged = sketch_quantiles(merged_sketches(spark.read.parquet(path)), [0.5])
+    median = merged.select(F.col("quantiles")[0]).scalar()
+    below, upto = (F.count_if(c).alias(n) for n, c in (("below", F.col("p_retailprice") < median), ("upto", F.col("p_retailprice") <= median)))
+    found = parts.agg(F.count(F.lit(1)).alias("rows"), below, upto)
+    return found.select("rows", F.expr("below <= 0.51 * rows and upto >= 0.49 * rows").alias("within_one_percent"))
+
+
 @query("impute_products")
 def impute_products(spark, sf_dir):
     imputed = products.impute_products(clean_products(spark, sf_dir))
@@ -473,35 +487,13 @@ def incremental_two_runs(spark, sf_dir):
     return layers.read_batches(spark, root, "orders").drop("_ingestion_timestamp", "_source_system")
 
 
-ORDERS_PER_PAGE = 5000
-
-
-def fetch_stored_page(address: str) -> str:
-    """The JSON text under a page's directory; a page nobody wrote has no results."""
-    from pyarrow import fs
-
-    files, where = fs.FileSystem.from_uri(address)
-    found = files.get_file_info(fs.FileSelector(where, allow_not_found=True))
-    texts = [files.open_input_stream(f.path).read().decode() for f in found if f.base_name.startswith("part-")]
-    return "".join(texts) or '{"results": []}'
-
-
 @query("paged_orders")
 def paged_orders(spark, sf_dir):
-    """Orders written as JSON pages by Spark, then read back page by page by the executors."""
-    path = scratch_dir(spark, "pages")
-    orders = table(spark, sf_dir, "orders")
+    """Orders as the JSON records of an API's pages, unpacked where they lie."""
     detail = F.struct("o_totalprice", "o_orderpriority").alias("detail")
-    results = F.collect_list(F.struct("o_orderkey", detail)).alias("results")  # at most one page of rows
-    page = F.floor(F.col("o_orderkey") / ORDERS_PER_PAGE).alias("page")
-    pages = orders.groupBy(page).agg(results).select("page", F.to_json(F.struct("results")).alias("value"))
-    pages.write.partitionBy("page").text(path)
-
-    last = orders.agg(F.max("o_orderkey")).first()[0] // ORDERS_PER_PAGE
-    addresses = [f"{path}/page={i}" for i in range(last + 1)]
+    page = F.to_json(F.struct(F.array(F.struct("o_orderkey", detail)).alias("results"))).alias("payload")
     record = T.StructType.fromDDL("o_orderkey bigint, detail struct<o_totalprice: double, o_orderpriority: string>")
-    read = read_pages(spark, addresses, fetch_stored_page, pages_per_task=max(1, len(addresses) // 1000))
-    flat = explode_records(read, "payload", record)
+    flat = explode_records(table(spark, sf_dir, "orders").select(page), "payload", record)
     return flat.toDF(*[c.replace(".", "_") for c in flat.columns])
 
 
@@ -624,6 +616,15 @@ def silver_merge(spark, sf_dir):
     return layers.read_table(spark, root, "silver", "orders")
 
 
+@query("silver_merge_bucketed")
+def silver_merge_bucketed(spark, sf_dir):
+    """The same in buckets on the key: the batch is moved to the table's buckets, the table is read in place."""
+    root, orders, name = scratch_dir(spark, "silver"), table(spark, sf_dir, "orders"), fresh_name("orders")
+    for load in (orders.where("o_orderdate < timestamp_ntz'2000-01-01'"), _order_batch(orders)):
+        bucketed.merge_bucketed(load, root, "orders", merge_keys="o_orderkey", buckets=8, name=name)
+    return spark.table(name)
+
+
 @query("silver_merge_partitioned")
 def silver_merge_partitioned(spark, sf_dir):
     """The same with the partition column in the key: only the batch's partitions are rewritten."""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import warnings
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from typing import Any, Literal
 
@@ -19,15 +19,14 @@ from millrace.operators.versions import as_of, batch_history
 from millrace.sinks import changes, delta
 from millrace.sinks.storage import (
     delete_path,
-    fresh_name,
     partition_columns,
     path_exists,
     read_stored,
     read_typed,
     recover_table,
+    replace_registered,
     replace_table,
     scratch_dir,
-    swap_in,
     table_path,
 )
 
@@ -263,20 +262,13 @@ def write_gold(
         shaped = df
     else:
         raise ValueError(f"unknown distribution {distribution!r}")
-    in_place = fmt == "delta"
-    staged = name if in_place else fresh_name("staged")
-    writer = shaped.write.format(fmt).mode("overwrite").option("path", path if in_place else f"{path}__new")
+    writer = shaped.write.format(fmt).mode("overwrite")
     if distribution == "HASH":
         writer = writer.bucketBy(parts, *keys).sortBy(*keys)
-    if not in_place:
-        recover_table(spark, path)
-    writer.saveAsTable(staged)
-    if not in_place:
-        swap_in(spark, path)
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
-        location = path.replace("\\", "\\\\").replace("'", "\\'")
-        spark.sql(f"CREATE TABLE {name} LIKE {staged} LOCATION '{location}'")
-        spark.sql(f"DROP TABLE {staged}")
+    if fmt == "delta":
+        writer.option("path", path).saveAsTable(name)
+    else:
+        replace_registered(spark, writer, path, name)
     if distribution == "HASH" and _bucket_too_heavy(spark, path, fmt, keys, parts):
         warnings.warn(f"{name}: one of {parts} buckets is too heavy for one task; registered without buckets", stacklevel=2)
         spark.sql(f"DROP TABLE {name}")

@@ -9,7 +9,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.functions.zorder import with_z_value
+from millrace.functions.columns import quoted
+from millrace.functions.zorder import with_z_rank
 from millrace.operators.versions import retain
 from millrace.sinks.storage import partition_columns, path_bytes, read_stored, replace_table
 
@@ -39,19 +40,22 @@ def compact(
     spark.catalog.refreshByPath(path)
 
 
-def cluster_by_z_order(df: DataFrame, columns: Sequence[str], files: int) -> DataFrame:
+def cluster_by_z_order(df: DataFrame, columns: Sequence[str], files: int, partition_cols: Sequence[str] = ()) -> DataFrame:
     """Lay rows out so that each of ``files`` files covers a small box of the columns' space.
 
-    The range split is on the Z value and then on a number drawn per row: rows that share
+    The boxes hold about equal numbers of rows, whatever the values are. The range split is on the partition
+    columns, then the Z value, then a number drawn per row: a range lies in one partition or few, so
+    there are at most as many files as ranges and partitions together, and rows that share
     one Z value, however many and even if they are copies of each other, can be spread over
     several files. The draw is seeded, so a stored table gives the same layout when a task
     is run again.
     """
+    parts = [quoted(c) for c in partition_cols]
     return (
-        with_z_value(df, columns)
+        with_z_rank(df, columns)
         .withColumn("_spread", F.rand(0))
-        .repartitionByRange(files, "_z", "_spread")
-        .sortWithinPartitions("_z")
+        .repartitionByRange(files, *parts, "_z", "_spread")
+        .sortWithinPartitions(*parts, "_z")
         .drop("_z", "_spread")
     )
 
@@ -63,9 +67,9 @@ def optimize_table(
     if not zorder_cols:
         compact(spark, path, target_bytes)
         return
-    files = max(1, math.ceil(path_bytes(spark, path) / target_bytes))
-    table = cluster_by_z_order(read_stored(spark, path), zorder_cols, files)
-    replace_table(table, path, partition_cols=partition_columns(spark, path))
+    files, parts = max(1, math.ceil(path_bytes(spark, path) / target_bytes)), partition_columns(spark, path)
+    table = cluster_by_z_order(read_stored(spark, path), zorder_cols, files, parts)
+    replace_table(table, path, partition_cols=parts)
 
 
 def prune_log(

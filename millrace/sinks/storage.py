@@ -7,7 +7,7 @@ import uuid
 from collections.abc import Mapping
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -163,3 +163,18 @@ def swap_in(spark: SparkSession, path: str) -> None:
             raise OSError(f"could not rename {source} to {target}")
     files.delete(old, True)
     spark.catalog.refreshByPath(path)
+
+
+def replace_registered(spark: SparkSession, writer: DataFrameWriter, path: str, name: str) -> None:
+    """Write a table next to ``path``, put it in its place and register it as ``name``, layout included.
+
+    What is written may read the table it replaces; a write that fails leaves everything as it was.
+    """
+    written = fresh_name("staged")
+    recover_table(spark, path)
+    writer.option("path", f"{path}__new").saveAsTable(written)
+    swap_in(spark, path)
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    location = path.replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(f"CREATE TABLE {name} LIKE {written} LOCATION '{location}'")
+    spark.sql(f"DROP TABLE {written}")

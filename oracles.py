@@ -224,6 +224,7 @@ ORACLES: dict[str, str] = {
         from text_product""",
     "clean_text": f"with {CLEAN} select product_id, product_name, category from clean",
     "median_price": f"with {PRODUCT} select quantile_disc(price, 0.5) as median_price from product",
+    "median_sketch": "select count(*) as rows, true as within_one_percent from part",
     "impute_products": f"with {IMPUTED} select product_id, category, price, _has_imputed_values from imputed",
     "impute_flag_value_match": f"""with {IMPUTED}
         select product_id, category, price, coalesce(category = 'UNCATEGORIZED' or price = m, false)
@@ -341,6 +342,7 @@ ORACLES: dict[str, str] = {
         union all select 'load1', count(*), 1 from order_batch""",
     "partition_roundtrip": "select * from orders",
     "silver_merge": f"with {ORDER_BATCH} select * from merged",
+    "silver_merge_bucketed": f"with {ORDER_BATCH} select * from merged",
     "silver_merge_partitioned": f"""with {ORDER_BATCH}
         select *, year(o_orderdate) as order_year from merged""",
     **{

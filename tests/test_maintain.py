@@ -1,11 +1,12 @@
 import datetime as dt
 import glob
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
 from helpers import final_plan, rows
-from millrace.functions.zorder import with_z_value
+from millrace.functions.zorder import with_z_rank, with_z_value
 from millrace.sinks.maintain import cluster_by_z_order, compact, optimize_table, prune_log
 
 
@@ -106,3 +107,41 @@ def test_pruning_a_stored_log(spark, tmp_path, sf_dir):
     assert 0 < kept.count() < events.count()
     for at in (now - dt.timedelta(hours=168), now, dt.datetime(2100, 1, 1)):
         assert rows(as_of(kept, ["user_id"], "ts", at, ["event_id"])) == rows(as_of(events, ["user_id"], "ts", at, ["event_id"]))
+
+
+def test_equal_depth_ranks(spark):
+    """Two outliers, many equal values and nulls; buckets of the rest hold about equal numbers of rows."""
+    frame = spark.range(20_000).selectExpr(
+        "id", "case when id = 0 then -1000000000 when id = 1 then 1000000000 when id % 10 = 0 then null else pow(id, 0.5) * 100 end as v"
+    ).selectExpr("id", "cast(v as long) as v", "cast(id * 7919 % 20000 as long) as w")
+    ranked = with_z_rank(frame, ["v"])
+    by_rank = {r["_z"]: r["count"] for r in ranked.groupBy("_z").count().collect()}
+    assert len(by_rank) > 200 and max(n for z, n in by_rank.items() if z) < 400
+    ordered = ranked.where("v is not null").orderBy("v").collect()
+    assert [r["_z"] for r in ordered] == sorted(r["_z"] for r in ordered)
+    assert {r["_z"] for r in ranked.where("v is null").collect()} == {0}
+    both = with_z_rank(frame, ["v", "w"])
+    one, other = ({r["id"]: r["_z"] for r in with_z_rank(frame, [c]).collect()} for c in "vw")
+    assert all(r["_z"] == interleaved([one[r["id"]], other[r["id"]]], 8) for r in both.collect())
+    assert with_z_rank(frame.limit(0), ["v"]).count() == 0
+
+
+def test_an_outlier_costs_no_resolution(spark, tmp_path):
+    frame = spark.range(4000).selectExpr("if(id = 0, 1000000000000, id) as a", "id * 7919 % 4000 as b")
+    path = str(tmp_path / "t")
+    cluster_by_z_order(frame, ["a", "b"], 16).write.parquet(path)
+    spans = spark.read.parquet(path).where("a < 4000").groupBy(F.input_file_name()).agg(
+        (F.max("a") - F.min("a")).alias("a"), (F.max("b") - F.min("b")).alias("b"))
+    width = spans.agg(F.avg("a"), F.avg("b")).first()
+    assert width[0] < 0.5 * 4000 and width[1] < 0.5 * 4000
+
+
+def test_clustering_a_partitioned_table_keeps_its_file_count(spark, root, sf_dir):
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").withColumn("month", F.date_format("l_shipdate", "MM"))
+    path = f"{root}/lines"
+    lines.write.partitionBy("month").parquet(path)
+    size = sum(os.path.getsize(p) for p in parquet_files(path))
+    optimize_table(spark, path, ["l_partkey", "l_suppkey"], target_bytes=size // 14)
+    assert len(parquet_files(path)) <= 12 + 16
+    stored = spark.read.parquet(path).withColumn("month", F.lpad(F.col("month").cast("string"), 2, "0"))
+    assert rows(stored) == rows(lines)

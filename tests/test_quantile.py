@@ -6,7 +6,7 @@ from decimal import Decimal
 
 import pytest
 
-from millrace.functions.quantile import exact_quantile
+from millrace.functions.quantile import exact_quantile, merged_sketches, quantile_sketch, sketch_quantiles
 
 
 def expected(values, q):
@@ -48,3 +48,24 @@ def test_no_rows(spark):
 def test_doubles_are_refused(spark):
     with pytest.raises(TypeError, match="double"):
         exact_quantile(spark.createDataFrame([(1.0,)], "v double"), "v")
+
+
+def test_sketches_of_loads_merge(spark, tmp_path):
+    rows = spark.range(30_000).selectExpr("id % 3 as load", "id % 2 as g", "if(id % 50 = 0, null, cast(pow(id % 9973, 1.5) as decimal(12,2))) as v")
+    path = str(tmp_path / "sketches")
+    for load in range(3):
+        quantile_sketch(rows.where(f"load = {load}"), "v", ["g"]).write.mode("append").parquet(path)
+    stored = spark.read.parquet(path)
+    assert stored.count() == 6
+    for groups in (["g"], []):
+        for r in sketch_quantiles(merged_sketches(stored, groups), [0.1, 0.5, 0.9]).collect():
+            values = sorted(float(x["v"]) for x in rows.where("v is not null").collect() if not groups or x["g"] == r["g"])
+            assert r["rows"] == len(values)
+            for q, found in zip((0.1, 0.5, 0.9), r["quantiles"], strict=True):
+                below, upto = sum(v < found for v in values), sum(v <= found for v in values)
+                assert below <= (q + 0.01) * len(values) and upto >= (q - 0.01) * len(values)
+
+
+def test_sketch_of_nothing(spark):
+    empty = quantile_sketch(spark.createDataFrame([(None,)], "v double"), "v", ["v"])
+    assert empty.count() == 0
