@@ -23,9 +23,9 @@ def upsert(target: DataFrame, source: DataFrame, keys: str | Sequence[str]) -> D
     two source rows for one target row are an error, raised when the plan runs. The
     source must have all target columns; columns only it has are left out.
 
-    The target is joined once, against the source's distinct keys; a batch small enough
+    The target is read and joined once, against the source's distinct keys; a batch small enough
     by Spark's own size check is broadcast, and then the target is not shuffled at all.
-    Rows with a null key bypass the join. The source is read twice.
+    Rows with a null key are dealt out by their hash. The source is read twice.
     """
     on = key_list(keys)
     absent = [c for c in target.columns if c not in source.columns]
@@ -35,18 +35,16 @@ def upsert(target: DataFrame, source: DataFrame, keys: str | Sequence[str]) -> D
     # Grouping by the hash as well keeps the aggregate's own partitioning from serving the
     # join. The join then has a fresh shuffle on both sides, and only such joins does
     # adaptive execution split at a hot key.
-    per_key = source.groupBy(*on, F.hash(*on).alias("_hash")).agg(F.count(F.lit(1)).alias("_source_rows"))
+    per_key = source.groupBy(*on, F.hash(*on).alias("_hash")).agg(F.count(F.lit(1)).alias("_source_rows")).drop("_hash")
     ambiguous = F.raise_error(F.lit(f"upsert: several source rows match one target row on ({', '.join(on)})"))
     untouched = F.when(F.col("_source_rows") > 1, ambiguous.cast("boolean")).otherwise(
         F.col("_source_rows").isNull()
     )
     no_key = any_of([F.col(k).isNull() for k in on])
-    kept = target.where(~no_key).join(per_key.drop("_hash"), on, "left").where(untouched)
-    return (
-        kept.select(*target.columns)
-        .unionByName(target.where(no_key))
-        .unionByName(source.select(*target.columns))
-    )
+    dealt = target.withColumn("_spread", F.when(no_key, F.xxhash64(*target.columns)).otherwise(F.lit(0).cast("long")))
+    named = per_key.withColumn("_spread", F.lit(0).cast("long"))
+    kept = dealt.join(named, [*on, "_spread"], "left").where(untouched)
+    return kept.select(*target.columns).unionByName(source.select(*target.columns))
 
 
 def upsert_newer(

@@ -15,10 +15,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions import product as rules
-from millrace.functions.columns import all_of
+from millrace.functions.columns import all_of, quoted
 from millrace.functions.quantile import approx_quantile, exact_quantile
 
 TEXT_COLUMNS = ("product_name", "category", "description")
+# What the steps work out; other columns pass through them.
+MADE_COLUMNS = (
+    *TEXT_COLUMNS, "price", "_has_imputed_values", "price_tier", "product_age_days", "season",
+    "price_competitiveness_score", "product_embedding", "_is_valid",
+)
 
 
 def clean_text_fields(df: DataFrame) -> DataFrame:
@@ -128,15 +133,27 @@ def valid_rows(flagged: DataFrame, counts: Observation | None = None) -> DataFra
 
     With ``counts`` the same run also counts ``valid_rows`` and ``invalid_rows``. Counting
     sits between the flag and the filter, so Spark does not push the filter below the
-    clean-up, where it would tidy every text a second and a third time.
+    clean-up, where it would tidy every text a second and a third time; no other filter gets past it either.
     """
-    if counts is not None:
-        flagged = flagged.observe(
-            counts,
-            F.count_if("_is_valid").alias("valid_rows"),
-            F.count_if(~F.col("_is_valid")).alias("invalid_rows"),
-        )
-    return flagged.where("_is_valid")
+    if counts is None:
+        return flagged.where("_is_valid")
+    return flagged.observe(
+        counts,
+        F.count_if("_is_valid").alias("valid_rows"),
+        F.count_if(~F.col("_is_valid")).alias("invalid_rows"),
+    ).where("_is_valid")
+
+
+def valid_rows_once(flagged: DataFrame) -> DataFrame:
+    """The valid rows, with what the steps made worked out once per row.
+
+    Those columns come out of a generator that gives one row if the row is valid and none if not: the check is not
+    pushed below the clean-up, while filters on columns that the steps leave alone still reach the scan.
+    """
+    made = [c for c in flagged.columns if c in MADE_COLUMNS]
+    passed = [quoted(c) for c in flagged.columns if c not in MADE_COLUMNS]
+    rows = F.when(F.col("_is_valid"), F.array(F.struct(*[quoted(c) for c in made])))
+    return flagged.select(*passed, F.inline(rows)).select(*[quoted(c) for c in flagged.columns])
 
 
 def quarantine_rows(flagged: DataFrame, rescue: str | None = None) -> DataFrame:

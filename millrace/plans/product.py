@@ -18,6 +18,7 @@ from millrace.operators.products import (
     price_score,
     quarantine_rows,
     valid_rows,
+    valid_rows_once,
 )
 from millrace.operators.standardize import standardize_schema
 from millrace.sinks.layers import (
@@ -57,9 +58,12 @@ def transform_products(
 ) -> DataFrame:
     """The valid products; :func:`flag_products` keeps the others as well.
 
-    After an action on the result, ``counts`` holds the numbers of valid and invalid rows.
+    After an action on the result, ``counts`` holds the numbers of valid and invalid rows. Without ``counts``,
+    filters on columns that the steps pass through (ids, dates, extra ones) reach the scan of the result's rows;
+    median and score still are those of the whole table.
     """
-    return valid_rows(flag_products(raw, as_of), counts or Observation())
+    flagged = flag_products(raw, as_of)
+    return valid_rows_once(flagged) if counts is None else valid_rows(flagged, counts)
 
 
 def load_products(

@@ -127,3 +127,11 @@ def test_newest_row_wins_from_either_side(spark):
     got = upsert_newer(target, source, "k", "ts", ["v"])
     assert {r["k"]: r["v"] for r in got.collect()} == {1: "kept", 2: "new", 3: "added"}
     assert rows(upsert_newer(got, source, "k", "ts", ["v"])) == rows(got)
+
+
+def test_the_target_is_read_once(spark, sf_dir, tmp_path):
+    spark.read.parquet(f"{sf_dir}/orders.parquet").write.parquet(f"{tmp_path}/target")
+    target = spark.read.parquet(f"{tmp_path}/target")
+    batch = spark.createDataFrame(target.limit(3).collect(), target.schema)
+    shown = final_plan(upsert(target, batch, "o_orderkey"))
+    assert sum("FileScan" in line for line in shown.splitlines()) == 1

@@ -10,6 +10,7 @@ from millrace.operators import products as P
 from millrace.operators.standardize import cast_columns, enforce_schema, snake_case_columns, standardize_schema
 from millrace.plans.product import flag_products, transform_products
 from pyspark.sql import Observation
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 PRODUCTS = "product_id string, product_name string, category string, price double, created_date string, last_updated string"
@@ -237,3 +238,17 @@ def test_whole_table_values_read_the_price_alone(spark, sf_dir):
         "ReadSchema: struct<p_name:string,p_type:string,p_retailprice:double>",
         "ReadSchema: struct<p_retailprice:double>",
     }
+
+
+def test_filters_reach_the_scan_unless_rows_are_counted(spark, tmp_path):
+    path = str(tmp_path / "raw")
+    spark.createDataFrame(FOUR, PRODUCTS).withColumn("shop", F.lit(7)).write.parquet(path)
+    raw = spark.read.parquet(path)
+    valid = transform_products(raw).where("product_id > 'PROD-000001' and shop = 7")
+    shown = plan(valid)
+    assert "GreaterThan(product_id,PROD-000001)" in shown and "EqualTo(shop,7)" in shown
+    assert sorted(by_id(valid)) == ["PROD-000002", "PROD-000003"]
+    counted = transform_products(raw, counts=Observation()).where("shop = 7")
+    assert "EqualTo(shop,7)" not in plan(counted)
+    whole = {r["product_id"]: tuple(r) for r in transform_products(raw, counts=Observation()).collect()}
+    assert {r["product_id"]: tuple(r) for r in valid.collect()} == {k: v for k, v in whole.items() if k > "PROD-000001"}
