@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window
 
+from millrace.functions.columns import quoted
 from millrace.llm.common import Workspace, columns, fresh_column
 from millrace.operators.joins import fits_in_every_task
 
@@ -17,6 +18,8 @@ BLANKS = " \t\r\f\x0b"
 _TASK_BITS = 33
 # Places that each document id has for the lines of its rows.
 _ROOM = 2**62
+# Rows that lose lines are told from others by so many bits, in bitmaps of 2^15 bits.
+_FILTER_BITS, _BITMAP = 27, 2**15
 
 
 def _words(line: Column) -> Column:
@@ -27,13 +30,17 @@ def _words(line: Column) -> Column:
 def _heads(numbered: DataFrame, row: str, doc_id: Column, text: Column) -> Column:
     """The place of a row's first line: a number that orders rows by document id, null first, then by row.
 
-    The places of two rows do not meet: the row numbers (task and place in the task) are packed and
-    spread by the most lines a row has.
+    The places of two rows do not meet: ids that are all different are spread by the most lines a row has, and fit a
+    long if their span does. Otherwise the row numbers (task and place in the task) come behind the id, in a decimal.
     """
     task, at = F.shiftright(row, _TASK_BITS), F.col(row).bitwiseAND(2**_TASK_BITS - 1)
     line_count = F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))) + 1
-    tasks, size, most = numbered.select(F.max(task) + 1, F.max(at) + 1, F.max(line_count)).first()
-    size, most = size or 1, most or 1
+    tasks, size, most, rows, ids, different, low, high = numbered.select(
+        F.max(task) + 1, F.max(at) + 1, F.max(line_count), F.count(F.lit(1)), F.count(doc_id), F.count_distinct(doc_id), F.min(doc_id), F.max(doc_id)
+    ).first()
+    size, most, low, high = size or 1, most or 1, low or 0, high or 0
+    if ids == different and rows - ids <= 1 and (high - low + 2) * most <= _ROOM:
+        return F.coalesce((doc_id - low + 1) * most, F.lit(0)).cast("long")
     if (tasks or 1) * size * most > _ROOM:
         raise ValueError(f"{tasks} tasks of {size} rows of {most} lines have more places than {_ROOM}")
     whole = F.coalesce(doc_id, F.lit(-(2**63))).cast("decimal(20,0)") * F.lit(_ROOM).cast("decimal(19,0)")
@@ -43,10 +50,11 @@ def _heads(numbered: DataFrame, row: str, doc_id: Column, text: Column) -> Colum
 
 def _lines(docs: DataFrame) -> DataFrame:
     """row, place, line_no, words of every line that has words, in (row, head, text)."""
+    place = F.col("head") + F.col("line_no")
     return (
         docs.select("row", "head", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
         .where(F.length(F.btrim("line", F.lit(BLANKS))) > 0)
-        .select("row", (F.col("head") + F.col("line_no")).cast("decimal(38,0)").alias("place"), "line_no", _words(F.col("line")).alias("words"))
+        .select("row", place.cast(docs.schema["head"].dataType).alias("place"), "line_no", _words(F.col("line")).alias("words"))
     )
 
 
@@ -74,7 +82,8 @@ def _variants(candidates: DataFrame) -> DataFrame:
     places and joined by xor, so that running values give every variant in one pass.
     """
     n = F.size("words")
-    rows = candidates.select("place", n.alias("n"), F.posexplode("words").alias("i", "word"))
+    # dealt by line before they are taken apart, the words of a line need no further shuffle for the windows
+    rows = candidates.repartition("place").select("place", n.alias("n"), F.posexplode("words").alias("i", "word"))
     rows = rows.select("place", "n", "i", F.xxhash64("word", "i").alias("here"), F.xxhash64("word", F.col("i") - 1).alias("moved"))
     line = Window.partitionBy("place")
     so_far = line.orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
@@ -115,9 +124,9 @@ def _near_lines(lines: DataFrame, first: DataFrame, docs: DataFrame, work: Works
 
     variants = work.stage(_variants(candidates))
     groups = variants.groupBy("variant").agg(
-        F.min(F.expr("if(full is null, place, null)")).alias("masked_first"),
+        F.count(F.lit(1)).alias("lines"), F.min(F.expr("if(full is null, place, null)")).alias("masked_first"),
         F.min(F.expr("if(full, place, null)")).alias("text"), F.min(F.expr("if(not full, place, null)")).alias("longer_first"),
-    )
+    ).where("lines > 1").drop("lines")
     # An equally long line one word off, an earlier line without the word, an earlier line with one more.
     meets = variants.join(groups, "variant").select(
         "place", F.expr("case when full is null then masked_first when full then longer_first else text end").alias("earlier")
@@ -132,6 +141,23 @@ def _near_lines(lines: DataFrame, first: DataFrame, docs: DataFrame, work: Works
     return near
 
 
+def _listed(numbered: DataFrame, row: str, named: DataFrame, named_row: str, listed: str) -> DataFrame:
+    """``numbered`` with ``listed``: false for rows that are certainly not in ``named``.
+
+    The rows of ``named`` set bits by hash, in bitmaps that together have 16 MB at most and go to every task. The more
+    rows there are the more others share their bits; they are then looked up for nothing, and lose nothing.
+    """
+    slot = lambda c: F.pmod(F.xxhash64(c), F.lit(2**_FILTER_BITS))
+    block, bit = (fresh_column(numbered, c) for c in ("block", "bits"))
+    place = lambda c: slot(c).bitwiseAND(_BITMAP - 1)
+    bitmaps = named.groupBy(F.floor(slot(F.col(named_row)) / _BITMAP).alias(block)).agg(F.bitmap_construct_agg(place(F.col(named_row))).alias(bit))
+    with_bits = numbered.join(F.broadcast(bitmaps.withColumnRenamed(block, f"{block}_of")), F.floor(slot(F.col(row)) / _BITMAP) == F.col(f"{block}_of"), "left")
+    at = place(F.col(row))
+    byte = F.conv(F.hex(F.substring(F.col(bit), F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    is_set = F.call_function("shiftright", byte, (at % 8).cast("int")).bitwiseAND(F.lit(1)) == 1
+    return with_bits.select(*[quoted(c) for c in numbered.columns], F.coalesce(is_set, F.lit(False)).alias(listed))
+
+
 def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents without their repeated lines, with all their columns, and n_lines and n_dropped.
 
@@ -168,13 +194,17 @@ def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     by_row = work.stage(dropped.groupBy(F.col("row").alias(drop_row)).agg(F.collect_set("line_no").alias(drops)))
     work.drop(lines, first, near)
 
-    joined = numbered.join(by_row, numbered[row] == by_row[drop_row], "left")
+    # Only texts that lose lines, and the few that a bitmap of bounded size takes for them, are moved for the join.
+    listed = fresh_column(numbered, "listed")
+    marked_rows = _listed(numbered, row, by_row, drop_row, listed)
+    moved = marked_rows.where(listed).join(by_row, F.col(row) == F.col(drop_row), "left").drop(listed)
+    joined = marked_rows.where(~F.col(listed)).drop(listed).unionByName(moved, allowMissingColumns=True)
     all_lines = F.split(F.col(text_col), "\n")
     left = F.array_except(F.sequence(F.lit(0), F.size(all_lines) - 1), F.col(drops))
     text = F.when(F.col(drops).isNull(), F.col(text_col)).otherwise(F.array_join(F.transform(left, lambda i: F.get(all_lines, i)), "\n"))
     n_lines, n_dropped = (fresh_column(docs, c) for c in ("n_lines", "n_dropped"))
     return joined.select(
-        *[text.alias(c) if c == text_col else joined[c] for c in docs.columns],
+        *[text.alias(c) if c == text_col else quoted(c) for c in docs.columns],
         F.when(F.col(text_col).isNull(), 0).otherwise(F.size(all_lines)).alias(n_lines),
         F.when(F.col(text_col).isNull() | F.col(drops).isNull(), 0).otherwise(F.size(drops)).alias(n_dropped),
     )
