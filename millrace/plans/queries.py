@@ -88,8 +88,8 @@ def text_products(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("standardize_names")
 def standardize_names(spark, sf_dir):
-    part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_retailprice")
-    return snake_case_columns(part.toDF("Product ID", "Product-Name", "BrandName", "Retail Price-USD"))
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_retailprice", "p_type", "p_size")
+    return snake_case_columns(part.toDF("Product ID", "Product-Name", "BrandName", "Retail Price-USD", "TYPE", "Size-"))
 
 
 @query("standardize_types")
@@ -347,7 +347,7 @@ def merge_upsert_composite(spark, sf_dir):
 
 @query("merge_newest_wins")
 def merge_newest_wins(spark, sf_dir):
-    events = table(spark, sf_dir, "events").select("user_id", "ts", "event_id", "event_type", "value")
+    events = table(spark, sf_dir, "events")
     early = events.where("ts < timestamp_ntz'2024-01-20'")
     late = events.where("ts >= timestamp_ntz'2024-01-10'")
     return upsert_newer(late, early, "user_id", "ts", ["event_id"])
@@ -355,7 +355,7 @@ def merge_newest_wins(spark, sf_dir):
 
 @query("as_of_state")
 def as_of_state(spark, sf_dir):
-    events = table(spark, sf_dir, "events").drop("props")
+    events = table(spark, sf_dir, "events")
     return versions.as_of(events, ["user_id"], "ts", "2024-01-15 00:00:00", ["event_id"])
 
 
@@ -369,7 +369,7 @@ def batch_history(spark, sf_dir):
 
 @query("retention_prune")
 def retention_prune(spark, sf_dir):
-    events = table(spark, sf_dir, "events").drop("props")
+    events = table(spark, sf_dir, "events")
     return versions.retain(events, ["user_id"], "ts", "2024-01-23 00:00:00", ["event_id"])
 
 
@@ -441,7 +441,7 @@ def scd2_stored_merge(spark, sf_dir):
 @query("entity_scan")
 def entity_scan(spark, sf_dir):
     schema = table(spark, sf_dir, "customer").schema
-    return read_entity(spark, sf_dir, "customer.parquet", schema).select("c_custkey", "c_name", "c_mktsegment")
+    return read_entity(spark, sf_dir, "customer.parquet", schema)
 
 
 @query("incremental_orders")
@@ -802,8 +802,7 @@ def fact_sales(spark, sf_dir):
 
 @query("zorder_key")
 def zorder_key(spark, sf_dir):
-    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate")
-    return with_z_value(lines, ["l_partkey", "l_suppkey", "l_shipdate"], "z_value")
+    return with_z_value(table(spark, sf_dir, "lineitem"), ["l_partkey", "l_suppkey", "l_shipdate"], "z_value")
 
 
 @query("zorder_table")

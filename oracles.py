@@ -134,7 +134,7 @@ merged as (
   union all select * from order_batch)"""
 
 AS_OF = """
-  select event_id, ts, user_id, event_type, value from (
+  select event_id, ts, user_id, event_type, value, props from (
     select *, row_number() over (partition by user_id order by ts desc, event_id desc) as rn
     from events where ts <= timestamp '{at}') where rn = 1"""
 
@@ -194,16 +194,15 @@ def _bucket(column: str) -> str:
 
 
 ZORDER = f"""
-with longs as (select l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate,
-    epoch_us(l_shipdate) as ship_micro from lineitem),
+with longs as (select *, epoch_us(l_shipdate) as ship_micro from lineitem),
 scaled as (select *, {_bucket('l_partkey')} as a, {_bucket('l_suppkey')} as b, {_bucket('ship_micro')} as c from longs)
-select l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate,
+select * exclude (ship_micro, a, b, c),
   {_spread('a', 0)} | {_spread('b', 1)} | {_spread('c', 2)} as z_value
 from scaled"""
 
 ORACLES: dict[str, str] = {
     "standardize_names": """select p_partkey as product_id, p_name as product_name, p_brand as brandname,
-        p_retailprice as retail_price_usd from part""",
+        p_retailprice as retail_price_usd, p_type as type, p_size as size_ from part""",
     "standardize_types": f"""with {TEXT_PRODUCT}
         select cast(product_id as varchar) as product_id, product_name, try_cast(price as decimal(10,2)) as price,
           try_cast(created_date as timestamp) as created_date, brand from text_product""",
@@ -292,7 +291,7 @@ ORACLES: dict[str, str] = {
         select * from latest_lines t where l_shipdate < timestamp '2000-01-01' and not exists (
           select 1 from batch s where s.l_orderkey = t.l_orderkey and s.l_linenumber = t.l_linenumber)
         union all select * from batch""",
-    "merge_newest_wins": """select user_id, ts, event_id, event_type, value from (
+    "merge_newest_wins": """select user_id, ts, event_id, event_type, value, props from (
           select *, row_number() over (partition by user_id order by ts desc, event_id desc) as rn
           from events) where rn = 1""",
     "as_of_state": AS_OF.format(at="2024-01-15 00:00:00"),
@@ -300,7 +299,7 @@ ORACLES: dict[str, str] = {
           min(o_orderdate) as first_ts, max(o_orderdate) as last_ts,
           row_number() over (order by min(o_orderdate), strftime(o_orderdate, '%Y%m')) - 1 as version
         from orders group by 1""",
-    "retention_prune": f"""select event_id, ts, user_id, event_type, value from events
+    "retention_prune": f"""select event_id, ts, user_id, event_type, value, props from events
           where ts > timestamp '2024-01-23 00:00:00'
         union all {AS_OF.format(at="2024-01-23 00:00:00")}""",
     "scd2_history": SCD2,
@@ -316,7 +315,7 @@ ORACLES: dict[str, str] = {
           case when _change_batch = 'load0' then 'load' else 'merge' end as operation,
           count(*) filter (where _change_type <> 'update') as rows_inserted, count(*) filter (where _change_type = 'update') as rows_updated
         from changes group by 1, 2, 3, 4""",
-    "entity_scan": "select c_custkey, c_name, c_mktsegment from customer",
+    "entity_scan": "select * from customer",
     "incremental_orders": """select o_orderkey, o_orderdate, o_totalprice from orders
         where o_orderdate > timestamp '1998-06-30 00:00:00'""",
     "next_watermark": "select max(ts) as next_watermark from events",
