@@ -27,25 +27,35 @@ def _words(line: Column) -> Column:
     return F.array_remove(F.split(F.translate(F.lower(line), BLANKS, " " * len(BLANKS)), " "), "")
 
 
-def _heads(numbered: DataFrame, row: str, doc_id: Column, text: Column) -> Column:
-    """The place of a row's first line: a number that orders rows by document id, null first, then by row.
+def _numbered(docs: DataFrame, row: str, id_col: str, text_col: str, work: Workspace) -> tuple[DataFrame, DataFrame]:
+    """``docs`` with a number per row, and (row, head, text) of it; the head is the place of the row's first line.
 
-    The places of two rows do not meet: ids that are all different are spread by the most lines a row has, and fit a
-    long if their span does. Otherwise the row numbers (task and place in the task) come behind the id, in a decimal.
+    Places order rows by document id, null first, then by row; those of two rows do not meet. Where ids are all different
+    they number the rows themselves, spread by the most lines a row has, if their span fits a long. Otherwise the rows are
+    staged with a number each (task and place in the task), which comes behind the id, in a decimal.
     """
-    task, at = F.shiftright(row, _TASK_BITS), F.col(row).bitwiseAND(2**_TASK_BITS - 1)
-    line_count = F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))) + 1
-    tasks, size, most, rows, ids, different, low, high = numbered.select(
-        F.max(task) + 1, F.max(at) + 1, F.max(line_count), F.count(F.lit(1)), F.count(doc_id), F.count_distinct(doc_id), F.min(doc_id), F.max(doc_id)
+    named = lambda df: columns(df, doc_id=id_col, text=text_col).select(F.col("doc_id").cast("long"), F.col("text").cast(T.StringType()))
+    line_count = F.length("text") - F.length(F.replace(F.col("text"), F.lit("\n"), F.lit(""))) + 1
+    most, rows, ids, different, low, high = named(docs).select(
+        F.max(line_count), F.count(F.lit(1)), F.count("doc_id"), F.count_distinct("doc_id"), F.min("doc_id"), F.max("doc_id")
     ).first()
-    size, most, low, high = size or 1, most or 1, low or 0, high or 0
-    if ids == different and rows - ids <= 1 and (high - low + 2) * most <= _ROOM:
-        return F.coalesce((doc_id - low + 1) * most, F.lit(0)).cast("long")
+    most, low, high = most or 1, low or 0, high or 0
+    if ids == different and rows - ids <= 1 and (high - low + 2) * most <= _ROOM and low > -(2**62):
+        number = F.coalesce(F.col("doc_id"), F.lit(low - 1))
+        numbered = docs.withColumn(row, F.coalesce(quoted(id_col).cast("long"), F.lit(low - 1)))
+        return numbered, named(docs).select(number.alias("row"), ((number - low + 1) * most).cast("long").alias("head"), "text")
+    numbered = work.stage(docs.withColumn(row, F.monotonically_increasing_id()))
+    task, at = F.shiftright(row, _TASK_BITS), F.col(row).bitwiseAND(2**_TASK_BITS - 1)
+    tasks, size = numbered.select(F.max(task) + 1, F.max(at) + 1).first()
+    size = size or 1
     if (tasks or 1) * size * most > _ROOM:
         raise ValueError(f"{tasks} tasks of {size} rows of {most} lines have more places than {_ROOM}")
-    whole = F.coalesce(doc_id, F.lit(-(2**63))).cast("decimal(20,0)") * F.lit(_ROOM).cast("decimal(19,0)")
+    source = columns(numbered, row=row, doc_id=id_col, text=text_col)
+    task, at = F.shiftright("row", _TASK_BITS), F.col("row").bitwiseAND(2**_TASK_BITS - 1)
+    whole = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))).cast("decimal(20,0)") * F.lit(_ROOM).cast("decimal(19,0)")
     # A whole product has 38 digits at most, -2^125.
-    return (whole + ((task * size + at) * most).cast("decimal(19,0)")).cast("decimal(38,0)")
+    head = (whole + ((task * size + at) * most).cast("decimal(19,0)")).cast("decimal(38,0)")
+    return numbered, source.select("row", head.alias("head"), F.col("text").cast(T.StringType()).alias("text"))
 
 
 def _lines(docs: DataFrame) -> DataFrame:
@@ -58,20 +68,21 @@ def _lines(docs: DataFrame) -> DataFrame:
     )
 
 
-def _half_keys(words: Column, n: Column) -> dict[str, Column]:
+def _half_keys(words: Column, n: Column) -> Column:
     """Hashes that two lines one word apart must share at least one of.
 
     The difference lies in the first or the second half of the shorter line, so the other half is
     equal, counted from the start or from the end. A line is the shorter (or equal) one in a pair
-    of n, the longer one in a pair of n - 1.
+    of n, the longer one in a pair of n - 1; one of the two halves is the same in both, so three of the four
+    hashes differ.
     """
-    keys = {}
-    for role, size in (("own", n), ("less", n - 1)):
+    keys = []
+    for size in (n, n - 1):
         half = F.floor(size / 2).cast("int")
         rest = (size - half).cast("int")
-        keys[f"start_{role}"] = F.xxhash64(F.lit("start"), size, F.slice(words, F.lit(1), half))
-        keys[f"end_{role}"] = F.xxhash64(F.lit("end"), size, F.slice(words, n - rest + 1, rest))
-    return keys
+        keys.append(F.xxhash64(F.lit("start"), half, F.slice(words, F.lit(1), half)))
+        keys.append(F.xxhash64(F.lit("end"), rest, F.slice(words, n - rest + 1, rest)))
+    return F.array_distinct(F.array(*keys))
 
 
 def _variants(candidates: DataFrame) -> DataFrame:
@@ -114,10 +125,9 @@ def _one_word_apart(a: Column, b: Column) -> Column:
 
 def _near_lines(lines: DataFrame, first: DataFrame, docs: DataFrame, work: Workspace) -> DataFrame:
     """place of every distinct line that an earlier line is one word apart from."""
-    long_ones = first.where(F.col("n") >= MIN_NEAR_WORDS)
-    halves = ("start_own", "end_own", "start_less", "end_less")
-    keyed = long_ones.select(F.explode(F.array(*halves)).alias("half"), F.xxhash64("k1", "k2").alias("line"), "place")
-    shared = keyed.groupBy("half").agg(F.min("line").alias("lo"), F.max("line").alias("hi")).where("lo != hi").select("half")
+    # Every distinct line has a place of its own.
+    keyed = first.select(F.explode("halves").alias("half"), "place")
+    shared = keyed.groupBy("half").agg(F.min("place").alias("lo"), F.max("place").alias("hi")).where("lo != hi").select("half")
     places = work.stage(keyed.join(shared, "half").select("place").distinct())
     wanted = F.broadcast(places) if fits_in_every_task(places) else places
     candidates = work.stage(_lines(docs).select("place", "words").join(wanted, "place"))
@@ -169,22 +179,18 @@ def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     whole numbers. Clashing names of the two counts get a longer name.
 
     Halves of lines are matched first, which loses no pair: only lines that share a half with a different
-    line have their deletion neighbourhood built.
+    line have their deletion neighbourhood built. ``docs`` is read four times; stage it if its plan is dear.
     """
     work = Workspace(docs.sparkSession, "lines")
     row = fresh_column(docs, "row")
-    numbered = work.stage(docs.withColumn(row, F.monotonically_increasing_id()))
-    source = columns(numbered, row=row, doc_id=id_col, text=text_col)
-    doc_id, text = F.col("doc_id").cast("long"), F.col("text").cast(T.StringType())
-    source = source.select("row", _heads(source, "row", doc_id, text).alias("head"), text.alias("text"))
+    numbered, source = _numbered(docs, row, id_col, text_col, work)
     n = F.size("words")
+    # Lines of few words have no halves; equal lines have equal ones.
     lines = work.stage(_lines(source).select(
-        "place", "row", "line_no", F.xxhash64("words").alias("k1"),
-        F.xxhash64(F.lit(1), "words").alias("k2"), n.alias("n"),
-        *[key.alias(name) for name, key in _half_keys(F.col("words"), n).items()],
+        "place", "row", "line_no", F.xxhash64("words").alias("k1"), F.xxhash64(F.lit(1), "words").alias("k2"),
+        F.when(n >= MIN_NEAR_WORDS, _half_keys(F.col("words"), n)).alias("halves"),
     ))
-    contents = [c for c in lines.columns if c not in ("place", "row", "line_no", "k1", "k2")]
-    first = work.stage(lines.groupBy("k1", "k2").agg(F.min("place").alias("place"), *[F.min(c).alias(c) for c in contents]))
+    first = work.stage(lines.groupBy("k1", "k2").agg(F.min("place").alias("place"), F.any_value("halves").alias("halves")))
     near = _near_lines(lines, first, source, work)
     marked = near.select(F.col("place").alias("first"), F.lit(True).alias("near"))
     kept = first.select("k1", "k2", F.col("place").alias("first")).join(marked, "first", "left")
