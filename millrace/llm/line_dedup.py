@@ -190,10 +190,13 @@ def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
         "place", "row", "line_no", F.xxhash64("words").alias("k1"), F.xxhash64(F.lit(1), "words").alias("k2"),
         F.when(n >= MIN_NEAR_WORDS, _half_keys(F.col("words"), n)).alias("halves"),
     ))
-    first = work.stage(lines.groupBy("k1", "k2").agg(F.min("place").alias("place"), F.any_value("halves").alias("halves")))
+    first = work.stage(lines.groupBy("k1", "k2").agg(
+        F.min("place").alias("place"), F.any_value("halves").alias("halves"), F.count(F.lit(1)).cast("int").alias("times"),
+    ))
     near = _near_lines(lines, first, source, work)
     marked = near.select(F.col("place").alias("first"), F.lit(True).alias("near"))
-    kept = first.select("k1", "k2", F.col("place").alias("first")).join(marked, "first", "left")
+    # Lines that stand there once and are like no earlier one have nothing to be joined for.
+    kept = first.select("k1", "k2", F.col("place").alias("first"), "times").join(marked, "first", "left").where("near or times > 1").drop("times")
     dropped = lines.select("k1", "k2", "place", "row", "line_no").join(kept, ["k1", "k2"]).where("near or place != first")
     drop_row, drops = (fresh_column(numbered, c) for c in ("drop_row", "drops"))
     # As many numbers as the row has lines.
