@@ -68,7 +68,7 @@ def _lines(docs: DataFrame) -> DataFrame:
     )
 
 
-def _half_keys(words: Column, n: Column) -> Column:
+def _half_keys(words: Column, n: Column) -> dict[str, Column]:
     """Hashes that two lines one word apart must share at least one of.
 
     The difference lies in the first or the second half of the shorter line, so the other half is
@@ -76,13 +76,13 @@ def _half_keys(words: Column, n: Column) -> Column:
     of n, the longer one in a pair of n - 1; one of the two halves is the same in both, so three of the four
     hashes differ.
     """
-    keys = []
-    for size in (n, n - 1):
+    keys = {}
+    for role, size in (("own", n), ("less", n - 1)):
         half = F.floor(size / 2).cast("int")
         rest = (size - half).cast("int")
-        keys.append(F.xxhash64(F.lit("start"), half, F.slice(words, F.lit(1), half)))
-        keys.append(F.xxhash64(F.lit("end"), rest, F.slice(words, n - rest + 1, rest)))
-    return F.array_distinct(F.array(*keys))
+        keys[f"start_{role}"] = F.xxhash64(F.lit("start"), half, F.slice(words, F.lit(1), half))
+        keys[f"end_{role}"] = F.xxhash64(F.lit("end"), rest, F.slice(words, n - rest + 1, rest))
+    return keys
 
 
 def _variants(candidates: DataFrame) -> DataFrame:
@@ -126,7 +126,8 @@ def _one_word_apart(a: Column, b: Column) -> Column:
 def _near_lines(lines: DataFrame, first: DataFrame, docs: DataFrame, work: Workspace) -> DataFrame:
     """place of every distinct line that an earlier line is one word apart from."""
     # Every distinct line has a place of its own.
-    keyed = first.select(F.explode("halves").alias("half"), "place")
+    halves = F.array_distinct(F.array("start_own", "end_own", "start_less", "end_less"))
+    keyed = first.where(F.col("n") >= MIN_NEAR_WORDS).select(F.explode(halves).alias("half"), "place")
     shared = keyed.groupBy("half").agg(F.min("place").alias("lo"), F.max("place").alias("hi")).where("lo != hi").select("half")
     places = work.stage(keyed.join(shared, "half").select("place").distinct())
     wanted = F.broadcast(places) if fits_in_every_task(places) else places
@@ -185,13 +186,13 @@ def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     row = fresh_column(docs, "row")
     numbered, source = _numbered(docs, row, id_col, text_col, work)
     n = F.size("words")
-    # Lines of few words have no halves; equal lines have equal ones.
     lines = work.stage(_lines(source).select(
         "place", "row", "line_no", F.xxhash64("words").alias("k1"), F.xxhash64(F.lit(1), "words").alias("k2"),
-        F.when(n >= MIN_NEAR_WORDS, _half_keys(F.col("words"), n)).alias("halves"),
+        n.alias("n"), *[key.alias(name) for name, key in _half_keys(F.col("words"), n).items()],
     ))
+    contents = [c for c in lines.columns if c not in ("place", "row", "line_no", "k1", "k2")]
     first = work.stage(lines.groupBy("k1", "k2").agg(
-        F.min("place").alias("place"), F.any_value("halves").alias("halves"), F.count(F.lit(1)).cast("int").alias("times"),
+        F.min("place").alias("place"), *[F.min(c).alias(c) for c in contents], F.count(F.lit(1)).cast("int").alias("times"),
     ))
     near = _near_lines(lines, first, source, work)
     marked = near.select(F.col("place").alias("first"), F.lit(True).alias("near"))
