@@ -1,7 +1,8 @@
-"""Benchmark decontamination: n-gram seeds find passages, Smith-Waterman alignment scores them."""
+"""Benchmark decontamination: rare word pairs seed passages, Smith-Waterman alignment scores them."""
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,7 +12,6 @@ from pyspark.sql import functions as F
 
 from millrace.llm.common import Workspace, columns, fresh_column, gram_hashes, word_hashes, words_of
 
-SEED_WORDS = 3
 MATCH, MISMATCH, GAP = 2, -1, -1
 # Part of the score of a verbatim copy of the whole item from which a passage counts as a copy.
 MIN_SCORE = 0.5
@@ -19,57 +19,94 @@ MIN_SCORE = 0.5
 BLOCK_WORDS = 1_000_000
 
 
+def pair_hashes(hashes: np.ndarray, apart: int) -> np.ndarray:
+    """A hash of every word with the one ``apart`` words later, whatever stands between them."""
+    ends = np.stack([hashes[: len(hashes) - apart], hashes[apart:]], axis=1).ravel()
+    return gram_hashes(ends, 2)[::2]
+
+
+def pairs_needed(words: int) -> int:
+    """How many words of an item must lead a seed pair in every passage that reaches ``MIN_SCORE``.
+
+    Between two neighbouring matched words an alignment pays at least 1 for each word left out on the
+    side that leaves out more. A seed pair is one with at most one word left out on either side. With
+    M matched words of which c lead a seed pair, the score is at most 2 M - 2 (M - 1 - c) = 2 + 2 c.
+    """
+    return max(1, math.ceil((MIN_SCORE * MATCH * words - 2) / 2))
+
+
 class SeedIndex:
-    """Sorted n-gram hashes of a block of benchmark items."""
+    """The two-word seeds of a block of benchmark items: words next to each other, and one word apart.
+
+    ``pairs_needed`` of an item's words lead a seed pair in every copy, so of the words ranked by the
+    frequency of their pairs, all but the ``pairs_needed - 1`` most frequent must be looked up to
+    find every copy; the others only count.
+    """
 
     def __init__(self, items: list[tuple]):
         # Inside, an item is its number in the block; ids may be null or repeat.
         self.ids = [i for i, _ in items]
         self.items = [word_hashes(words_of(text)) for _, text in items]
-        grams = [np.unique(gram_hashes(h, min(SEED_WORDS, max(len(h), 1)))) for h in self.items]
-        self.sizes = sorted({min(SEED_WORDS, len(h)) for h in self.items if len(h)})
-        self.hashes = np.unique(np.concatenate([*grams, np.empty(0, dtype=np.uint64)]).astype(np.uint64))
-        self.grams = [np.searchsorted(self.hashes, g) for g in grams]
-        # The items that hold each n-gram, and the words of each item, as flat arrays and where each part begins.
-        owner = np.repeat(np.arange(len(items)), [len(g) for g in grams])
-        held = np.concatenate([*self.grams, np.empty(0, dtype=np.int64)]).astype(np.int64)
-        self.holders = owner[np.argsort(held, kind="stable")]
-        self.edges = np.concatenate([[0], np.cumsum(np.bincount(held, minlength=len(self.hashes)))])
-        self.item_words = np.concatenate([*self.items, np.empty(0, dtype=np.uint64)]).astype(np.uint64)
-        self.word_edges = np.concatenate([[0], np.cumsum([len(h) for h in self.items])]).astype(np.int64)
-
-    def positions(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Positions in the text at which an n-gram of an item begins, and which n-gram it is."""
-        where, which = [], []
-        for size in self.sizes:
-            grams = gram_hashes(hashes, size)
-            if not len(grams) or not len(self.hashes):
-                continue
-            at = np.minimum(np.searchsorted(self.hashes, grams), len(self.hashes) - 1)
-            hit = np.flatnonzero(self.hashes[at] == grams)
-            where.append(hit)
-            which.append(at[hit])
-        if not where:
+        # Items of one or two words have one seed, the whole item.
+        near = [gram_hashes(h, min(2, len(h))) for h in self.items]
+        far = [np.concatenate([pair_hashes(h, 2), n[-1:]]) if len(h) > 2 else n for h, n in zip(self.items, near, strict=True)]
+        none = np.empty(0, dtype=np.uint64)
+        self.hashes = np.unique(np.concatenate([*near, *far, none]))
+        # The two pairs that each word leads, of all items in a row, and where each item begins.
+        self.near = np.searchsorted(self.hashes, np.concatenate([*near, none]))
+        self.far = np.searchsorted(self.hashes, np.concatenate([*far, none]))
+        self.edges = np.concatenate([[0], np.cumsum([len(n) for n in near])]).astype(np.int64)
+        self.needed = np.array([pairs_needed(len(h)) for h in self.items], dtype=np.int64)
+        self.single = any(len(h) == 1 for h in self.items)
+        self.rank(np.zeros(len(self.hashes), dtype=np.int64))
+
+    def rank(self, frequency: np.ndarray) -> SeedIndex:
+        """Seed every item with the words whose pairs are rarest, by the documents that hold each pair."""
+        owner = np.repeat(np.arange(len(self.items)), np.diff(self.edges))
+        order = np.lexsort((frequency[self.near] + frequency[self.far], owner))
+        place = np.arange(len(order)) - self.edges[owner]
+        seeds = order[place <= (np.diff(self.edges) - self.needed)[owner]]
+        held, items = np.concatenate([self.near[seeds], self.far[seeds]]), np.tile(owner[seeds], 2)
+        by_seed, by_item = np.lexsort((items, held)), np.lexsort((held, items))
+        self.seeds, self.holders = held[by_seed], items[by_seed]
+        self.seeds_of = np.split(held[by_item], np.searchsorted(items[by_item], np.arange(1, len(self.items))))
+        self.seed_hashes = self.hashes[np.unique(held)]
+        return self
+
+    def grams(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All pairs of a text that could be seeds, and the words at which they begin."""
+        parts = [gram_hashes(hashes, 2), pair_hashes(hashes, 2)]
+        if self.single:
+            parts.append(gram_hashes(hashes, 1))
+        return np.concatenate(parts), np.concatenate([np.arange(len(p)) for p in parts])
+
+    def held(self, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which of the grams are pairs of items, and the pairs' numbers."""
+        if not len(self.hashes):
             return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
-        order = np.argsort(np.concatenate(where), kind="stable")
-        return np.concatenate(where)[order], np.concatenate(which)[order]
-
-    def candidates(self, hashes: np.ndarray, which: np.ndarray) -> np.ndarray:
-        """Items that share an n-gram with the text and can reach ``MIN_SCORE`` with its words: sorted.
-
-        A score of ``MATCH`` a matched word is the most an alignment can have, so an item of whose
-        words the text holds a smaller share than ``MIN_SCORE`` cannot be copied by it.
-        """
-        grams = np.unique(which)
-        starts, stops = self.edges[grams], self.edges[grams + 1]
+        at = np.minimum(np.searchsorted(self.hashes, grams), len(self.hashes) - 1)
+        hit = np.flatnonzero(self.hashes[at] == grams)
+        return hit, at[hit]
+
+    def seeded(self, grams: np.ndarray) -> bool:
+        """Whether one of the grams is a seed."""
+        if not len(self.seed_hashes) or not len(grams):
+            return False
+        at = np.minimum(np.searchsorted(self.seed_hashes, grams), len(self.seed_hashes) - 1)
+        return bool((self.seed_hashes[at] == grams).any())
+
+    def leading(self, items: np.ndarray, pairs: np.ndarray) -> np.ndarray:
+        """How many words of each item lead one of the pairs."""
+        spans = _spans(self.edges[items], self.edges[items + 1])
+        led = np.isin(self.near[spans], pairs) | np.isin(self.far[spans], pairs)
+        sizes = self.edges[items + 1] - self.edges[items]
+        return np.add.reduceat(led.astype(np.int64), np.cumsum(sizes) - sizes)
+
+    def candidates(self, pairs: np.ndarray) -> np.ndarray:
+        """Items that one of the pairs seeds and that have enough words leading one of them: sorted."""
+        starts, stops = np.searchsorted(self.seeds, pairs, "left"), np.searchsorted(self.seeds, pairs, "right")
         items = np.unique(self.holders[_spans(starts, stops)])
-        if not len(items):
-            return items
-        spans = _spans(self.word_edges[items], self.word_edges[items + 1])
-        held = np.isin(self.item_words[spans], hashes)
-        sizes = self.word_edges[items + 1] - self.word_edges[items]
-        shared = np.add.reduceat(held.astype(np.int64), np.cumsum(sizes) - sizes)
-        return items[shared >= MIN_SCORE * sizes]
+        return items[self.leading(items, pairs) >= self.needed[items]] if len(items) else items
 
 
 def _spans(starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
@@ -89,50 +126,63 @@ def can_score(window: np.ndarray, item: np.ndarray) -> bool:
 def align(text: np.ndarray, item: np.ndarray) -> tuple[int, int, int, int]:
     """Best local alignment of two word sequences: score, first and last word in the text, matched words.
 
-    Smith-Waterman, one row of the matrix at a time; a gap along the row is a running
-    maximum, since gaps cost the same per word.
+    Smith-Waterman, one row of the matrix at a time; a gap along the row is a running maximum,
+    since gaps cost the same per word. Every cell carries where its alignment begins and how many
+    words it matches, so two rows are all that is held.
     """
-    n, m = len(text), len(item)
-    score = np.zeros((n + 1, m + 1), dtype=np.int32)
-    steps = np.arange(m + 1) * GAP
-    for i in range(1, n + 1):
-        diagonal = score[i - 1, :-1] + np.where(item == text[i - 1], MATCH, MISMATCH)
-        row = np.maximum(0, np.maximum(diagonal, score[i - 1, 1:] + GAP))
-        row = np.concatenate([[0], row])
-        score[i] = np.maximum.accumulate(row - steps) + steps
-    i, j = np.unravel_index(int(score.argmax()), score.shape)
-    best, last, matched, first = int(score[i, j]), int(i) - 1, 0, int(i)
-    while i > 0 and j > 0 and score[i, j] > 0:
-        same = text[i - 1] == item[j - 1]
-        if score[i, j] == score[i - 1, j - 1] + (MATCH if same else MISMATCH):
-            first, matched, i, j = i - 1, matched + bool(same), i - 1, j - 1
-        elif score[i, j] == score[i - 1, j] + GAP:
-            first, i = i - 1, i - 1
-        else:
-            j -= 1
-    return best, int(first), last, matched
-
-
-def passages_of(hashes: np.ndarray, where: np.ndarray, item: np.ndarray) -> Iterator[tuple[int, int]]:
-    """Windows of the text around runs of seeds that lie no further apart than the item is long."""
-    reach = len(item) + len(item) // 2 + 2
+    m = len(item)
+    cells, steps = np.arange(m + 1), np.arange(m + 1) * GAP
+    score, first, matched = np.zeros(m + 1, dtype=np.int64), np.zeros(m + 1, dtype=np.int64), np.zeros(m + 1, dtype=np.int64)
+    best = (0, 0, -1, 0)
+    for i, word in enumerate(text):
+        same = item == word
+        diagonal = score[:-1] + np.where(same, MATCH, MISMATCH)
+        skipped = score[1:] + GAP
+        own = np.zeros(m + 1, dtype=np.int64)
+        own[1:] = np.maximum(0, np.maximum(diagonal, skipped))
+        direct = diagonal >= skipped
+        begins, counts = np.empty_like(first), np.zeros_like(matched)
+        begins[0] = i + 1
+        begins[1:] = np.where(direct, first[:-1], first[1:])
+        counts[1:] = np.where(direct, matched[:-1] + same, matched[1:])
+        reached = np.maximum.accumulate(own - steps)
+        origin = np.maximum.accumulate(np.where(own - steps == reached, cells, 0))
+        score, first, matched = reached + steps, begins[origin], counts[origin]
+        blank = score == 0
+        first[blank], matched[blank] = i + 1, 0
+        j = int(score.argmax())
+        if score[j] > best[0]:
+            best = (int(score[j]), int(first[j]), i, int(matched[j]))
+    return best
+
+
+def passages_of(n_words: int, where: np.ndarray, item_words: int) -> Iterator[tuple[int, int]]:
+    """Windows of the text around runs of seeds; a passage that reaches ``MIN_SCORE`` is at most two items long."""
+    reach = 2 * item_words
     start = last = int(where[0])
     for at in [*map(int, where[1:]), None]:
         if at is not None and at - last <= reach and at - start <= 8 * reach:
             last = at
             continue
-        yield max(0, start - reach), min(len(hashes), last + reach)
+        yield max(0, start - reach), min(n_words, last + reach)
         if at is not None:
             start = last = at
 
 
-def leaks_in(hashes: np.ndarray, where: np.ndarray, which: np.ndarray, index: SeedIndex) -> list[tuple]:
+def leaks_in(hashes: np.ndarray, index: SeedIndex) -> list[tuple]:
     """The best passage of every item that this text copies: (item number, score, start, length, matched words)."""
+    grams, begins = index.grams(hashes)
+    if not index.seeded(grams):
+        return []
+    hit, which = index.held(grams)
+    order = np.argsort(begins[hit], kind="stable")
+    where, which = begins[hit][order], which[order]
     found = []
-    for item in index.candidates(hashes, which).tolist():
+    for item in index.candidates(np.unique(which)).tolist():
         words, best = index.items[item], None
-        for lo, hi in passages_of(hashes, np.unique(where[np.isin(which, index.grams[item])]), words):
-            if not can_score(hashes[lo:hi], words):
+        for lo, hi in passages_of(len(hashes), np.unique(where[np.isin(which, index.seeds_of[item])]), len(words)):
+            inside = which[np.searchsorted(where, lo) : np.searchsorted(where, hi)]
+            if index.leading(np.array([item]), inside)[0] < index.needed[item] or not can_score(hashes[lo:hi], words):
                 continue
             score, first, last, matched = align(hashes[lo:hi], words)
             share = score / (MATCH * len(words))
@@ -169,12 +219,12 @@ def find_leaks(
     """One row per document and benchmark item it copies: doc_id, item_id, score, start, length, matched_words.
 
     ``score`` is the best local word alignment as a share of a verbatim copy's; ``start`` and
-    ``length`` are words of the document. Every run of ``SEED_WORDS`` words of an item seeds it,
-    however common; only what cannot reach ``MIN_SCORE`` by its words is not aligned. Documents are
-    read once and never shuffled. Items without an id cannot be reported. Null and empty texts
-    copy nothing, rows with a null id are reported under null, repeated rows repeat their rows.
-    Without items the result is empty. A benchmark over ``BLOCK_WORDS`` words is searched block by
-    block.
+    ``length`` are words of the document. Every passage that reaches ``MIN_SCORE`` is found
+    (``pairs_needed`` says why); items of one or two words count only when they stand whole.
+    Documents are read twice, once to count the seeds' documents, and never shuffled. Items without
+    an id cannot be reported. Null and empty texts copy nothing, rows with a null id are reported
+    under null, repeated rows repeat their rows. Without items the result is empty. A benchmark
+    over ``BLOCK_WORDS`` words is searched block by block.
     """
     spark = docs.sparkSession
     source = columns(docs, doc_id=id_col, text=text_col)
@@ -183,21 +233,40 @@ def find_leaks(
     schema = f"doc_id {kind}, item_id {item_kind}, score double, start long, length long, matched_words long"
     result = None
     for block in _blocks(items):
-        found = _leaks_of_block(source, spark.sparkContext.broadcast(SeedIndex(block)), schema)
+        index = SeedIndex(block)
+        index.rank(_pair_frequencies(source, index))
+        found = _leaks_of_block(source, spark.sparkContext.broadcast(index), schema)
         result = found if result is None else result.union(found)
     return spark.createDataFrame([], schema) if result is None else result
 
 
+def _pair_frequencies(source: DataFrame, index: SeedIndex) -> np.ndarray:
+    """How many documents hold each pair of the block; a task returns one row per pair that it saw."""
+    shared = source.sparkSession.sparkContext.broadcast(index)
+
+    def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        own = shared.value
+        seen = np.zeros(len(own.hashes), dtype=np.int64)
+        for batch in batches:
+            for text in batch["text"]:
+                seen[np.unique(own.held(own.grams(word_hashes(words_of(text)))[0])[1])] += 1
+        pairs = np.flatnonzero(seen)
+        yield pd.DataFrame({"pair": pairs, "n": seen[pairs]})
+
+    frequency = np.zeros(len(index.hashes), dtype=np.int64)
+    for row in source.select("text").mapInPandas(counted, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).toLocalIterator():
+        frequency[row["pair"]] = row["n"]
+    shared.unpersist()
+    return frequency
+
+
 def _leaks_of_block(source: DataFrame, index, schema: str) -> DataFrame:
     def aligned(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         own = index.value
         for batch in batches:
             rows = []
             for doc, text in zip(batch["doc_id"], batch["text"], strict=True):
-                hashes = word_hashes(words_of(text))
-                where, which = own.positions(hashes)
-                if len(where):
-                    rows += [(doc, own.ids[item], *leak) for item, *leak in leaks_in(hashes, where, which, own)]
+                rows += [(doc, own.ids[item], *leak) for item, *leak in leaks_in(word_hashes(words_of(text)), own)]
             yield pd.DataFrame(rows, columns=["doc_id", "item_id", "score", "start", "length", "matched_words"])
 
     return source.mapInPandas(aligned, schema)

@@ -210,14 +210,13 @@ def test_leaks_match_brute_force(spark):
         text = words_of(text)
         for j, item in enumerate(items):
             item = [w.encode() for w in item]
-            runs = {tuple(item[k : k + 3]) for k in range(len(item) - 2)}
             score, above = 0, [0] * (len(item) + 1)
             for a in text:
                 row = [0]
                 for k, b in enumerate(item):
                     row.append(max(0, above[k] + (2 if a == b else -1), above[k + 1] - 1, row[k] - 1))
                 score, above = max(score, *row), row
-            if score >= len(item) and any(tuple(text[k : k + 3]) in runs for k in range(len(text))):
+            if score >= len(item):
                 wanted.add((i, j, score / (2 * len(item))))
     found = decontaminate.find_leaks(
         spark.createDataFrame(rows, "doc_id long, text string"),
@@ -225,6 +224,65 @@ def test_leaks_match_brute_force(spark):
     assert len(wanted) > 40 and {(r["doc_id"], r["item_id"], r["score"]) for r in found} == wanted
 
 
+def test_copies_without_three_words_in_a_row_are_found(spark):
+    items = {j: [f"i{j}_{k}" for k in range(n)] for j, n in enumerate((16, 20, 30, 43, 59))}
+    edits = {
+        "third word replaced": lambda k, w: ["other"] if k % 3 == 2 else [w],
+        "third word dropped": lambda k, w: [] if k % 3 == 2 else [w],
+        "word put in after each": lambda k, w: [w, f"in{k}"],
+    }
+    rows = [
+        (100 * e + j, " ".join(["before"] * 30 + [x for k, w in enumerate(item) for x in edit(k, w)] + ["after"] * 30))
+        for e, edit in enumerate(edits.values()) for j, item in items.items()
+    ]
+    rows += [(1000 + j, " ".join(item[::-1])) for j, item in items.items()]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    benchmark = spark.createDataFrame([(j, " ".join(item)) for j, item in items.items()], "item_id long, text string")
+    found = {(r["doc_id"], r["item_id"]) for r in decontaminate.find_leaks(docs, benchmark).collect()}
+    assert found == {(i, i % 100) for i, _ in rows if i < 1000}
+
+
+def test_alignment_carries_what_a_whole_matrix_tells():
+    rng = np.random.default_rng(3)
+    for _ in range(300):
+        text, item = rng.integers(0, 6, rng.integers(1, 30)), rng.integers(0, 6, rng.integers(1, 14))
+        score, first, last, matched = decontaminate.align(text.astype(np.uint64), item.astype(np.uint64))
+        whole = np.zeros((len(text) + 1, len(item) + 1), dtype=int)
+        for i, a in enumerate(text, 1):
+            for j, b in enumerate(item, 1):
+                whole[i, j] = max(0, whole[i - 1, j - 1] + (2 if a == b else -1), whole[i - 1, j] - 1, whole[i, j - 1] - 1)
+        assert score == whole.max()
+        if score:
+            # The reported passage alone aligns as well, from its first word to its last.
+            part = text[first : last + 1].astype(np.uint64)
+            assert decontaminate.align(part, item.astype(np.uint64)) == (score, 0, len(part) - 1, matched)
+            assert text[first] in item and text[last] in item and 2 * matched >= score
+
+
+def test_long_items_need_no_matrix():
+    import tracemalloc
+
+    item = [f"w{k}" for k in range(6000)]
+    index = decontaminate.SeedIndex([(1, " ".join(item))])
+    text = [f"w{k}" if k % 5 else "x" for k in range(6000)] * 2
+    hashes = decontaminate.word_hashes([w.encode() for w in text])
+    tracemalloc.start()
+    [(number, score, start, length, matched)] = decontaminate.leaks_in(hashes, index)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert (number, start, length, matched) == (0, 1, 5999, 4800) and round(score, 3) == 0.7
+    assert peak < 50_000_000
+
+
+def test_seeds_are_the_rare_pairs():
+    index = decontaminate.SeedIndex([(1, " ".join(f"w{k}" for k in range(30)))])
+    frequency = np.zeros(len(index.hashes), dtype=np.int64)
+    frequency[index.near[:13]] = 1000
+    index.rank(frequency)
+    assert len(set(index.near[:13]) & set(index.seeds.tolist())) == 0
+    assert set(index.near[13:].tolist()) <= set(index.seeds.tolist())
+
+
 def test_benchmark_items_without_an_id_clean_documents_too(spark):
     docs = spark.createDataFrame([(1, f"{LONG} {ITEM}"), (2, LONG)], "doc_id long, text string")
     items = spark.createDataFrame([(None, ITEM), (None, "some other item")], "item_id long, text string")
