@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -13,16 +13,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.calibration import Calibrator
-from millrace.llm.common import Workspace, columns, crc_fold
+from millrace.llm.common import Workspace, columns, crc_fold, mixed
 from millrace.llm.quality import targets_of
 
 EXAMPLES_PER_CLASS = 2048
-MAX_TERMS = 512
-MIN_EXAMPLES = 4
-MIN_Z = 4.0
-MIN_LIFT = 2.0
+# Of the sampled examples, texts over this many bytes teach nothing: bounds what the driver and a model hold.
+EXAMPLE_BYTES = 32_768
+# Weight of a term that the labels do not tell apart: ten thousand such in a long text count as much as one telling term.
+PLAIN_WEIGHT = 0.01
 NEIGHBOURS = 15
-BLOCK = 64
+COPY_TRIES = 16
+BLOCK = 256
+# Terms in at least this share of the examples have their lists as rows of a matrix.
+DENSE_SHARE = 0.05
+CACHED = 20_000
 THRESHOLD = 0.5
 HELD_OUT_REMAINDER = 0
 
@@ -35,119 +39,168 @@ def terms_of(text: str | None) -> list[bytes]:
     return [t for t in (w.strip(_EDGES) for w in raw) if t]
 
 
-def telling_terms(texts: list[Counter], toxic: np.ndarray) -> list[bytes]:
-    """Terms whose share among toxic and other examples differs by at least ``MIN_Z`` deviations and ``MIN_LIFT``-fold."""
-    own, rest = Counter(), Counter()
-    for terms, y in zip(texts, toxic, strict=True):
-        (own if y else rest).update(terms.keys())
-    a, b = max(1, int(toxic.sum())), max(1, int((~toxic).sum()))
-    found = []
-    for term in own.keys() | rest.keys():
-        k, m = own[term], rest[term]
-        if k + m < MIN_EXAMPLES:
-            continue
-        p = (k + m) / (a + b)
-        z = abs(k / a - m / b) / np.sqrt(max(p * (1 - p), 1e-9) * (1 / a + 1 / b))
-        lift = (k / a + 1e-4) / (m / b + 1e-4)
-        if z >= MIN_Z and max(lift, 1 / lift) >= MIN_LIFT:
-            found.append((-z, term))
-    return [term for _, term in sorted(found)[:MAX_TERMS]]
+def label_weights(in_toxic: np.ndarray, in_others: np.ndarray, n_toxic: int, n_others: int) -> np.ndarray:
+    """A weight per term: ``PLAIN_WEIGHT``, and more for terms whose likelihood ratio against the labels is no chance find.
+
+    The largest of V ratios comes to about 2 ln V by chance, so a term's weight rises with what its own has beyond that.
+    """
+    base = n_toxic / max(1, n_toxic + n_others)
+    seen = in_toxic + in_others
+    unseen_toxic, unseen_others = n_toxic - in_toxic, n_others - in_others
+
+    def part(count: np.ndarray, share: float, total: np.ndarray) -> np.ndarray:
+        return count * np.log(np.maximum(count, 1e-9) / np.maximum(share * total, 1e-9))
+
+    ratio = 2 * (
+        part(in_toxic, base, seen) + part(in_others, 1 - base, seen)
+        + part(unseen_toxic, base, unseen_toxic + unseen_others) + part(unseen_others, 1 - base, unseen_toxic + unseen_others)
+    )
+    chance = 2 * np.log(max(len(seen), 2))
+    return PLAIN_WEIGHT + np.sqrt(np.maximum(0.0, ratio / chance - 1))
 
 
 def one_per_copy_group(texts: list[Counter], toxic: np.ndarray) -> list[int]:
     """Indices of examples, one of each group of copies, so that a text copied often teaches once.
 
-    Examples of a class that share the two smallest hashes of their uncommon terms, under any of
-    three pairs of hash functions, count as copies.
+    Examples of a class count as copies if they share the smallest hashes of their terms under any of
+    ``COPY_TRIES`` groups of hash functions: first six functions over all terms, which unites large
+    groups, then three over the terms that at most a twentieth of the remaining examples have. Nearly
+    all pairs that share 0.6 of these terms meet, and hardly one that shares 0.05.
     """
-    spread = Counter(t for c in texts for t in c)
-    kept = list(range(len(texts)))
-    for seed in range(3):
+    hashes = [np.array([xxhash.xxh64_intdigest(t) for t in own] or [0], dtype=np.uint64) for own in texts]
+    kept = _first_of_each(list(range(len(texts))), hashes, toxic, 6)
+    spread = Counter(h for i in kept for h in hashes[i].tolist())
+    common = np.array(sorted(h for h, n in spread.items() if n > max(2, len(kept) // 20)), dtype=np.uint64)
+    rare = [h if (known := np.isin(h, common)).all() else h[~known] for h in hashes]
+    return _first_of_each(kept, rare, toxic, 3)
+
+
+def _first_of_each(kept: list[int], hashes: list[np.ndarray], toxic: np.ndarray, functions: int) -> list[int]:
+    for number in range(COPY_TRIES):
+        seeds = mixed(np.arange(functions * number + 1, functions * (number + 1) + 1, dtype=np.uint64))
         first: dict[tuple, int] = {}
         for i in kept:
-            terms = [t for t in texts[i] if spread[t] <= max(2, len(texts) // 20)] or sorted(texts[i])
-            lowest = tuple(min((xxhash.xxh64_intdigest(t, s) for t in terms), default=0) for s in (2 * seed, 2 * seed + 1))
-            first.setdefault((bool(toxic[i]), lowest), i)
+            lowest = mixed(hashes[i][:, None] ^ seeds[None, :]).min(axis=0)
+            first.setdefault((bool(toxic[i]), *lowest.tolist()), i)
         kept = sorted(first.values())
     return kept
 
 
 class BlockMaxIndex:
-    """Inverted lists of unit TF-IDF vectors, with the largest weight of each term in each block of examples."""
+    """Inverted lists of unit TF-IDF vectors, with the largest weight of each term in each block of examples.
+
+    Lists and peaks are flat arrays, term by term; terms that many examples have are rows of a matrix per block instead.
+    """
 
     def __init__(self, vectors: list[dict[int, float]], n_terms: int):
         self.size = len(vectors)
         self.blocks = -(-self.size // BLOCK)
-        lists: list[list[tuple[int, float]]] = [[] for _ in range(n_terms)]
-        for example, vector in enumerate(vectors):
-            for term, weight in vector.items():
-                lists[term].append((example, weight))
-        self.ids = [np.array([e for e, _ in entries], dtype=np.int64) for entries in lists]
-        self.weights = [np.array([w for _, w in entries]) for entries in lists]
-        self.peaks = np.zeros((n_terms, self.blocks))
-        for t in range(n_terms):
-            np.maximum.at(self.peaks[t], self.ids[t] // BLOCK, self.weights[t])
-        edges = np.arange(self.blocks + 1) * BLOCK
-        self.edges = [np.searchsorted(ids, edges) for ids in self.ids]
+        sizes = [len(v) for v in vectors]
+        example = np.repeat(np.arange(self.size), sizes)
+        term = np.fromiter((t for v in vectors for t in v), dtype=np.int64, count=sum(sizes))
+        weight = np.fromiter((w for v in vectors for w in v.values()), dtype=float, count=sum(sizes))
+        order = np.lexsort((example, term))
+        example, term, weight = example[order], term[order], weight[order]
+        # A stretch is the part of a term's list that lies in one block.
+        fresh = np.flatnonzero((np.diff(term, prepend=-1) != 0) | (np.diff(example // BLOCK, prepend=-1) != 0))
+        self.stretch_block, self.stretch_start = example[fresh] // BLOCK, fresh
+        self.stretch_stop = np.append(fresh[1:], len(term))
+        self.peak = np.maximum.reduceat(weight, fresh) if len(fresh) else np.empty(0)
+        self.stretches = np.searchsorted(term[fresh], np.arange(n_terms + 1))
+        self.cell, self.weight = example % BLOCK, weight
+        common = np.flatnonzero(np.bincount(term, minlength=n_terms) >= max(8, DENSE_SHARE * self.size))
+        self.row = np.full(n_terms, -1)
+        self.row[common] = np.arange(len(common))
+        self.dense = np.zeros((self.blocks, len(common), BLOCK))
+        in_rows = self.row[term] >= 0
+        self.dense[example[in_rows] // BLOCK, self.row[term[in_rows]], example[in_rows] % BLOCK] = weight[in_rows]
 
     def nearest(self, query: dict[int, float], k: int, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """Examples and cosines of the k nearest with a positive cosine: exact, ties to the lower example.
 
         Blocks are opened by falling upper bound, until no unopened block can reach the k-th cosine.
         """
-        if not query:
-            return np.empty(0, dtype=np.int64), np.empty(0)
-        terms = np.fromiter(query.keys(), dtype=np.int64)
-        weights = np.fromiter(query.values(), dtype=float)
-        bounds = weights @ self.peaks[terms]
-        order = np.argsort(-bounds, kind="stable")
         ids, cosines = np.empty(0, dtype=np.int64), np.empty(0)
-        step, at = 4, 0
+        if not query or not self.size:
+            return ids, cosines
+        terms = np.fromiter(query.keys(), dtype=np.int64, count=len(query))
+        weights = np.fromiter(query.values(), dtype=float, count=len(query))
+        starts, stops = self.stretches[terms], self.stretches[terms + 1]
+        own, times = _spans(starts, stops), stops - starts
+        block, weight = self.stretch_block[own], np.repeat(weights, times)
+        bounds = np.bincount(block, weight * self.peak[own], minlength=self.blocks).astype(float)
+        rows = self.row[terms]
+        by_row = np.zeros(self.dense.shape[1])
+        by_row[rows[rows >= 0]] = weights[rows >= 0]
+        listed = np.repeat(rows < 0, times)
+        own, block, weight = own[listed], block[listed], weight[listed]
+        order = np.argsort(-bounds, kind="stable")
+        step, at = 1, 0
         while at < len(order) and bounds[order[at]] > 0:
             if len(ids) >= k and bounds[order[at]] < cosines[k - 1] - 1e-12:
                 break
             opened = order[at : at + step]
             at, step = at + step, step * 2
-            sums = np.zeros((len(opened), BLOCK))
-            for t, w in zip(terms, weights, strict=True):
-                starts, stops = self.edges[t][opened], self.edges[t][opened + 1]
-                for row in np.flatnonzero(starts < stops):
-                    span = slice(starts[row], stops[row])
-                    sums[row, self.ids[t][span] - opened[row] * BLOCK] += w * self.weights[t][span]
-            rows, cells = np.nonzero(sums > 0)
-            found = opened[rows] * BLOCK + cells
-            fresh = found != without
-            ids = np.concatenate([ids, found[fresh]])
-            cosines = np.concatenate([cosines, sums[rows, cells][fresh]])
+            place = np.full(self.blocks, -1)
+            place[opened] = np.arange(len(opened))
+            here = np.flatnonzero(place[block] >= 0)
+            lo, hi = self.stretch_start[own[here]], self.stretch_stop[own[here]]
+            entries, times = _spans(lo, hi), hi - lo
+            cells = self.cell[entries] + np.repeat(place[block[here]] * BLOCK, times)
+            sums = np.bincount(cells, self.weight[entries] * np.repeat(weight[here], times), minlength=len(opened) * BLOCK).astype(float)
+            for number, one in enumerate(opened):
+                sums[number * BLOCK : (number + 1) * BLOCK] += by_row @ self.dense[one]
+            positive = np.flatnonzero(sums > 0)
+            found = opened[positive // BLOCK] * BLOCK + positive % BLOCK
+            positive, found = positive[found != without], found[found != without]
+            ids, cosines = np.concatenate([ids, found]), np.concatenate([cosines, sums[positive]])
             best = np.lexsort((ids, -np.round(cosines, 12)))[: max(k, 1)]
             ids, cosines = ids[best], cosines[best]
         return ids[:k], cosines[:k]
 
 
+def _spans(starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
+    """The numbers of all ranges from ``starts`` to below ``stops``, one range after the other."""
+    sizes = stops - starts
+    return np.arange(int(sizes.sum())) + np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)
+
+
+def pooled(votes: np.ndarray, targets: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Weighted means over groups of neighbouring votes, as many groups as each has rows: no single example sets a step."""
+    order = np.argsort(votes, kind="stable")
+    groups = np.array_split(order, max(1, math.isqrt(len(order)))) if len(order) else []
+    mass = np.array([weights[g].sum() for g in groups])
+    means = [np.array([(a[g] * weights[g]).sum() for g in groups]) / mass for a in (votes, targets)]
+    return means[0], means[1], mass
+
+
 class ToxicityModel:
-    """Selected terms, their inverse document frequencies, the example index and the calibration.
+    """All terms of the examples with their weights, the example index and the calibration.
 
-    Bounded by ``2 * EXAMPLES_PER_CLASS`` examples and ``MAX_TERMS`` terms at any corpus size.
+    Bounded by ``2 * EXAMPLES_PER_CLASS`` examples of ``EXAMPLE_BYTES`` bytes at any corpus size.
     """
 
-    def __init__(self, terms: list[bytes], idf: np.ndarray, examples: list[Counter], toxic: np.ndarray, ids: list, mass: np.ndarray):
+    def __init__(self, terms: list[bytes], weights: np.ndarray, examples: list[Counter], toxic: np.ndarray, ids: list, mass: np.ndarray):
         self.terms = {t: i for i, t in enumerate(terms)}
-        self.idf, self.toxic, self.example_ids = idf, toxic.astype(float), ids
+        self.weights, self.toxic, self.example_ids = weights, toxic.astype(float), ids
         vectors = [self.vector(c) for c in examples]
         self.index = BlockMaxIndex(vectors, len(terms))
         empty = np.array([not v for v in vectors], dtype=bool)
-        blank = float((mass * self.toxic)[empty].sum() / max(mass[empty].sum(), 1e-9)) if empty.any() else 0.0
-        self.blank = min(blank, 1.0)
+        among = empty if empty.any() else np.ones(len(vectors), dtype=bool)
+        self.blank = min(float((mass * self.toxic)[among].sum() / max(mass[among].sum(), 1e-9)), 1.0)
         raw = np.array([self._vote(v, without=i)[0] for i, v in enumerate(vectors)])
         told = ~empty & ~np.isnan(raw)
-        self.calibrator = Calibrator(raw[told], self.toxic[told], mass[told], self.blank)
-        self._seen = lru_cache(maxsize=100_000)(self._score)
+        self.calibrator = Calibrator(*pooled(raw[told], self.toxic[told], mass[told]), self.blank)
+        self._seen = {}
 
     def vector(self, counts: Counter) -> dict[int, float]:
-        """Unit TF-IDF vector over the selected terms; empty if the text has none of them."""
-        own = {self.terms[t]: (1 + np.log(n)) * self.idf[self.terms[t]] for t, n in counts.items() if t in self.terms}
-        norm = np.sqrt(sum(w * w for w in own.values()))
-        return {t: w / norm for t, w in sorted(own.items())} if norm > 0 else {}
+        """Unit TF-IDF vector over the examples' terms; empty if the text has none of them."""
+        known = [(self.terms[t], n) for t, n in counts.items() if t in self.terms]
+        if not known:
+            return {}
+        terms, times = (np.array(part) for part in zip(*sorted(known), strict=True))
+        own = (1 + np.log(times)) * self.weights[terms]
+        return dict(zip(terms.tolist(), (own / np.sqrt((own * own).sum())).tolist(), strict=True))
 
     def _vote(self, vector: dict[int, float], without: int = -1) -> tuple[float, np.ndarray]:
         ids, cosines = self.index.nearest(vector, NEIGHBOURS, without)
@@ -156,23 +209,22 @@ class ToxicityModel:
         votes = 1 / (1.05 - np.minimum(cosines, 1.0))
         return float(votes @ self.toxic[ids] / votes.sum()), ids
 
-    def _score(self, key: tuple) -> tuple[float, list]:
-        raw, ids = self._vote(self.vector(Counter(dict(key))))
+    def _score(self, text: str | None) -> tuple[float, list]:
+        raw, ids = self._vote(self.vector(Counter(terms_of(text))))
         if np.isnan(raw):
             return self.blank, []
         return float(self.calibrator(np.array([raw]))[0]), [self.example_ids[i] for i in ids]
 
     def score(self, text: str | None) -> tuple[float, list]:
-        """Score in [0, 1] and the ids of the neighbours that voted, nearest first."""
-        counts = Counter(t for t in terms_of(text) if t in self.terms)
-        return self._seen(tuple(sorted(counts.items())))
-
-    def __getstate__(self):
-        return {k: v for k, v in self.__dict__.items() if k != "_seen"}
-
-    def __setstate__(self, state):
-        self.__dict__.update(state)
-        self._seen = lru_cache(maxsize=100_000)(self._score)
+        """Score in [0, 1] and the ids of the neighbours that voted, nearest first; recent texts are remembered by digest."""
+        if not isinstance(text, str):
+            return self._score(text)
+        digest = xxhash.xxh128_digest(text.encode("utf-8", "replace"))
+        if digest not in self._seen:
+            if len(self._seen) >= CACHED:
+                self._seen.clear()
+            self._seen[digest] = self._score(text)
+        return self._seen[digest]
 
 
 def _example_sample(targets: DataFrame) -> DataFrame:
@@ -192,31 +244,42 @@ def fit_toxicity(docs: DataFrame, targets: DataFrame) -> ToxicityModel:
     """
     docs = docs.where("doc_id is not null")
     sample = _example_sample(targets)
-    chosen = docs.join(F.broadcast(sample), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
+    short = docs.where(F.coalesce(F.octet_length("text"), F.lit(0)) <= EXAMPLE_BYTES)
+    chosen = short.join(F.broadcast(sample), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
     rows = sorted(chosen.collect(), key=lambda r: str(r["doc_id"]))
     sizes = dict(targets.groupBy((F.col("target") >= 0.5).alias("toxic")).count().collect())
     toxic = np.array([r["toxic"] for r in rows], dtype=bool)
     counts = [Counter(terms_of(r["text"])) for r in rows]
     kept = one_per_copy_group(counts, toxic)
-    rows, counts, toxic = [rows[i] for i in kept], [counts[i] for i in kept], toxic[kept]
+    ids, counts, toxic = [rows[i]["doc_id"] for i in kept], [counts[i] for i in kept], toxic[kept]
     mass = np.array([sizes[bool(t)] / max(1, int((toxic == t).sum())) for t in toxic], dtype=float)
-    terms = telling_terms(counts, toxic) if len(rows) else []
-    wanted = docs.sparkSession.sparkContext.broadcast({t: i for i, t in enumerate(terms)})
+    terms = sorted({t for c in counts for t in c})
+    place = {t: i for i, t in enumerate(terms)}
+    spread = np.zeros((2, len(terms)))
+    for own, y in zip(counts, toxic, strict=True):
+        spread[int(y), [place[t] for t in own]] += 1
+    telling = label_weights(spread[1], spread[0], int(toxic.sum()), int((~toxic).sum()))
+    return ToxicityModel(terms, telling * _inverse_frequencies(docs, place), counts, toxic, ids, mass)
+
+
+def _inverse_frequencies(docs: DataFrame, place: dict[bytes, int]) -> np.ndarray:
+    """Smoothed inverse document frequency of every term over all documents; a task returns one row per term it saw."""
+    wanted = docs.sparkSession.sparkContext.broadcast(place)
 
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen, n = np.zeros(len(wanted.value), dtype=np.int64), 0
+        own = wanted.value
+        seen, n = np.zeros(len(own), dtype=np.int64), 0
         for batch in batches:
             n += len(batch)
             for text in batch["text"]:
-                for t in wanted.value.keys() & set(terms_of(text)):
-                    seen[wanted.value[t]] += 1
-        yield pd.DataFrame({"term": np.arange(-1, len(seen)), "n": np.concatenate([[n], seen])})
+                seen[[own[t] for t in set(terms_of(text)) if t in own]] += 1
+        terms = np.flatnonzero(seen)
+        yield pd.DataFrame({"term": np.append(terms, -1), "n": np.append(seen[terms], n)})
 
-    found = dict(
-        docs.select("text").mapInPandas(counted, "term int, n long").groupBy("term").agg(F.sum("n")).collect()
-    )
-    idf = np.log((1 + found.get(-1, 0)) / (1 + np.array([found.get(i, 0) for i in range(len(terms))], dtype=float))) + 1
-    return ToxicityModel(terms, idf, counts, toxic, [r["doc_id"] for r in rows], mass)
+    found = dict(docs.select("text").mapInPandas(counted, "term long, n long").groupBy("term").agg(F.sum("n")).collect())
+    wanted.unpersist()
+    frequency = np.array([found.get(i, 0) for i in range(len(place))], dtype=float)
+    return np.log((1 + found.get(-1, 0)) / (1 + frequency)) + 1
 
 
 def toxicity_scores(
@@ -224,8 +287,8 @@ def toxicity_scores(
 ) -> DataFrame:
     """One row per document: doc_id, held_out, score, predicted, evidence (ids of the neighbours that voted).
 
-    Learns from rows whose crc32(id) mod 5 is not 0. Texts without a telling term, null and empty
-    ones among them, get the share of toxic rows among such examples. A null id is scored, never
+    Learns from rows whose crc32(id) mod 5 is not 0. Texts that share no term with an example, null and
+    empty ones among them, get the share of toxic rows among examples without terms, or among all. A null id is scored, never
     learnt from, and has held_out null; repeated rows are scored each.
     """
     source = columns(docs, doc_id=id_col, text=text_col)
