@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import Workspace, columns, fresh_column, gram_hashes, word_hashes, words_of
+from millrace.llm.common import Workspace, columns, fresh_column, words_of
 
 MATCH, MISMATCH, GAP = 2, -1, -1
 # Part of the score of a verbatim copy of the whole item from which a passage counts as a copy.
@@ -19,12 +20,6 @@ MIN_SCORE = 0.5
 BLOCK_WORDS = 1_000_000
 
 
-def pair_hashes(hashes: np.ndarray, apart: int) -> np.ndarray:
-    """A hash of every word with the one ``apart`` words later, whatever stands between them."""
-    ends = np.stack([hashes[: len(hashes) - apart], hashes[apart:]], axis=1).ravel()
-    return gram_hashes(ends, 2)[::2]
-
-
 def pairs_needed(words: int) -> int:
     """How many words of an item must lead a seed pair in every passage that reaches ``MIN_SCORE``.
 
@@ -46,19 +41,35 @@ class SeedIndex:
     def __init__(self, items: list[tuple]):
         # Inside, an item is its number in the block; ids may be null or repeat.
         self.ids = [i for i, _ in items]
-        self.items = [word_hashes(words_of(text)) for _, text in items]
-        # Items of one or two words have one seed, the whole item.
-        near = [gram_hashes(h, min(2, len(h))) for h in self.items]
-        far = [np.concatenate([pair_hashes(h, 2), n[-1:]]) if len(h) > 2 else n for h, n in zip(self.items, near, strict=True)]
-        none = np.empty(0, dtype=np.uint64)
-        self.hashes = np.unique(np.concatenate([*near, *far, none]))
+        texts = [words_of(text) for _, text in items]
+        self.vocabulary = {w: n for n, w in enumerate(sorted({w for words in texts for w in words}))}
+        self.items = [self.encode(words) for words in texts]
+        near, far = zip(*map(self._item_pairs, self.items), strict=True) if items else ((), ())
+        none = np.empty(0, dtype=np.int64)
+        self.pairs = np.unique(np.concatenate([*near, *far, none]))
         # The two pairs that each word leads, of all items in a row, and where each item begins.
-        self.near = np.searchsorted(self.hashes, np.concatenate([*near, none]))
-        self.far = np.searchsorted(self.hashes, np.concatenate([*far, none]))
+        self.near = np.searchsorted(self.pairs, np.concatenate([*near, none]))
+        self.far = np.searchsorted(self.pairs, np.concatenate([*far, none]))
         self.edges = np.concatenate([[0], np.cumsum([len(n) for n in near])]).astype(np.int64)
         self.needed = np.array([pairs_needed(len(h)) for h in self.items], dtype=np.int64)
         self.single = any(len(h) == 1 for h in self.items)
-        self.rank(np.zeros(len(self.hashes), dtype=np.int64))
+        self.rank(np.zeros(len(self.pairs), dtype=np.int64))
+
+    def encode(self, words: list[bytes]) -> np.ndarray:
+        """The numbers of the words; -1 for words of no item."""
+        return np.fromiter(map(self.vocabulary.get, words, repeat(-1)), dtype=np.int64, count=len(words))
+
+    def _pair(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+        return first * len(self.vocabulary) + second
+
+    def _item_pairs(self, item: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The pairs of an item's words with the next and the next but one; the last one has the next only."""
+        if len(item) == 1:
+            # A single word is no pair: numbers below 0 are free for it.
+            return (-1 - item,) * 2
+        near = self._pair(item[:-1], item[1:])
+        # Items of one or two words have one seed, the whole item.
+        return near, np.concatenate([self._pair(item[:-2], item[2:]), near[-1:]]) if len(item) > 2 else near
 
     def rank(self, frequency: np.ndarray) -> SeedIndex:
         """Seed every item with the words whose pairs are rarest, by the documents that hold each pair."""
@@ -70,30 +81,30 @@ class SeedIndex:
         by_seed, by_item = np.lexsort((items, held)), np.lexsort((held, items))
         self.seeds, self.holders = held[by_seed], items[by_seed]
         self.seeds_of = np.split(held[by_item], np.searchsorted(items[by_item], np.arange(1, len(self.items))))
-        self.seed_hashes = self.hashes[np.unique(held)]
+        self.seed_pairs = self.pairs[np.unique(held)]
         return self
 
-    def grams(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def pairs_in(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All pairs of a text that could be seeds, and the words at which they begin."""
-        parts = [gram_hashes(hashes, 2), pair_hashes(hashes, 2)]
+        parts, places = [], []
+        known = np.flatnonzero(words >= 0)
+        for apart in (1, 2):
+            first = known[known < len(words) - apart]
+            first = first[words[first + apart] >= 0]
+            parts.append(self._pair(words[first], words[first + apart]))
+            places.append(first)
         if self.single:
-            parts.append(gram_hashes(hashes, 1))
-        return np.concatenate(parts), np.concatenate([np.arange(len(p)) for p in parts])
-
-    def held(self, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Which of the grams are pairs of items, and the pairs' numbers."""
-        if not len(self.hashes):
-            return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
-        at = np.minimum(np.searchsorted(self.hashes, grams), len(self.hashes) - 1)
-        hit = np.flatnonzero(self.hashes[at] == grams)
-        return hit, at[hit]
-
-    def seeded(self, grams: np.ndarray) -> bool:
-        """Whether one of the grams is a seed."""
-        if not len(self.seed_hashes) or not len(grams):
-            return False
-        at = np.minimum(np.searchsorted(self.seed_hashes, grams), len(self.seed_hashes) - 1)
-        return bool((self.seed_hashes[at] == grams).any())
+            parts.append(-1 - words[known])
+            places.append(known)
+        return np.concatenate(parts), np.concatenate(places)
+
+    def held(self, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which of the pairs are pairs of items, and their numbers."""
+        return _found(pairs, self.pairs)
+
+    def seeded(self, pairs: np.ndarray) -> bool:
+        """Whether one of the pairs is a seed."""
+        return len(_found(pairs, self.seed_pairs)[0]) > 0
 
     def leading(self, items: np.ndarray, pairs: np.ndarray) -> np.ndarray:
         """How many words of each item lead one of the pairs."""
@@ -109,6 +120,15 @@ class SeedIndex:
         return items[self.leading(items, pairs) >= self.needed[items]] if len(items) else items
 
 
+def _found(values: np.ndarray, among: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which values are in a sorted array, and where."""
+    if not len(among):
+        return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
+    at = np.minimum(np.searchsorted(among, values), len(among) - 1)
+    hit = np.flatnonzero(among[at] == values)
+    return hit, at[hit]
+
+
 def _spans(starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
     """The numbers of all ranges from ``starts`` to below ``stops``, one range after the other."""
     sizes = stops - starts
@@ -169,22 +189,22 @@ def passages_of(n_words: int, where: np.ndarray, item_words: int) -> Iterator[tu
             start = last = at
 
 
-def leaks_in(hashes: np.ndarray, index: SeedIndex) -> list[tuple]:
+def leaks_in(text: np.ndarray, index: SeedIndex) -> list[tuple]:
     """The best passage of every item that this text copies: (item number, score, start, length, matched words)."""
-    grams, begins = index.grams(hashes)
-    if not index.seeded(grams):
+    pairs, begins = index.pairs_in(text)
+    if not index.seeded(pairs):
         return []
-    hit, which = index.held(grams)
+    hit, which = index.held(pairs)
     order = np.argsort(begins[hit], kind="stable")
     where, which = begins[hit][order], which[order]
     found = []
     for item in index.candidates(np.unique(which)).tolist():
         words, best = index.items[item], None
-        for lo, hi in passages_of(len(hashes), np.unique(where[np.isin(which, index.seeds_of[item])]), len(words)):
+        for lo, hi in passages_of(len(text), np.unique(where[np.isin(which, index.seeds_of[item])]), len(words)):
             inside = which[np.searchsorted(where, lo) : np.searchsorted(where, hi)]
-            if index.leading(np.array([item]), inside)[0] < index.needed[item] or not can_score(hashes[lo:hi], words):
+            if index.leading(np.array([item]), inside)[0] < index.needed[item] or not can_score(text[lo:hi], words):
                 continue
-            score, first, last, matched = align(hashes[lo:hi], words)
+            score, first, last, matched = align(text[lo:hi], words)
             share = score / (MATCH * len(words))
             if share >= MIN_SCORE and (best is None or share > best[1]):
                 best = (item, share, lo + first, last - first + 1, matched)
@@ -246,14 +266,14 @@ def _pair_frequencies(source: DataFrame, index: SeedIndex) -> np.ndarray:
 
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         own = shared.value
-        seen = np.zeros(len(own.hashes), dtype=np.int64)
+        seen = np.zeros(len(own.pairs), dtype=np.int64)
         for batch in batches:
             for text in batch["text"]:
-                seen[np.unique(own.held(own.grams(word_hashes(words_of(text)))[0])[1])] += 1
+                seen[np.unique(own.held(own.pairs_in(own.encode(words_of(text)))[0])[1])] += 1
         pairs = np.flatnonzero(seen)
         yield pd.DataFrame({"pair": pairs, "n": seen[pairs]})
 
-    frequency = np.zeros(len(index.hashes), dtype=np.int64)
+    frequency = np.zeros(len(index.pairs), dtype=np.int64)
     for row in source.select("text").mapInPandas(counted, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).toLocalIterator():
         frequency[row["pair"]] = row["n"]
     shared.unpersist()
@@ -266,7 +286,7 @@ def _leaks_of_block(source: DataFrame, index, schema: str) -> DataFrame:
         for batch in batches:
             rows = []
             for doc, text in zip(batch["doc_id"], batch["text"], strict=True):
-                rows += [(doc, own.ids[item], *leak) for item, *leak in leaks_in(word_hashes(words_of(text)), own)]
+                rows += [(doc, own.ids[item], *leak) for item, *leak in leaks_in(own.encode(words_of(text)), own)]
             yield pd.DataFrame(rows, columns=["doc_id", "item_id", "score", "start", "length", "matched_words"])
 
     return source.mapInPandas(aligned, schema)

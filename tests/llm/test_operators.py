@@ -265,9 +265,9 @@ def test_long_items_need_no_matrix():
     item = [f"w{k}" for k in range(6000)]
     index = decontaminate.SeedIndex([(1, " ".join(item))])
     text = [f"w{k}" if k % 5 else "x" for k in range(6000)] * 2
-    hashes = decontaminate.word_hashes([w.encode() for w in text])
+    numbers = index.encode([w.encode() for w in text])
     tracemalloc.start()
-    [(number, score, start, length, matched)] = decontaminate.leaks_in(hashes, index)
+    [(number, score, start, length, matched)] = decontaminate.leaks_in(numbers, index)
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert (number, start, length, matched) == (0, 1, 5999, 4800) and round(score, 3) == 0.7
@@ -276,7 +276,7 @@ def test_long_items_need_no_matrix():
 
 def test_seeds_are_the_rare_pairs():
     index = decontaminate.SeedIndex([(1, " ".join(f"w{k}" for k in range(30)))])
-    frequency = np.zeros(len(index.hashes), dtype=np.int64)
+    frequency = np.zeros(len(index.pairs), dtype=np.int64)
     frequency[index.near[:13]] = 1000
     index.rank(frequency)
     assert len(set(index.near[:13]) & set(index.seeds.tolist())) == 0
