@@ -201,7 +201,14 @@ def _edge_rows(rows: pd.DataFrame, kind: str, block: int) -> pd.DataFrame:
     return rows.rename(columns={"id": "a"}).assign(kind=kind, block=block, b=0)[_FIELDS]
 
 
-def _link_counts(unit: DataFrame, classes: DataFrame, threshold: float, work: Workspace) -> DataFrame:
+def _dealt(pairs: DataFrame, rows: int) -> DataFrame:
+    """A column ``share`` for the pairs of blocks (c, q, m) of components: one for each pair of a large component, wherever
+    its rows lie now, and about ``BLOCK`` rows of small components together."""
+    small = F.pmod(F.xxhash64("c"), F.lit(max(1, math.ceil(rows / BLOCK))))
+    return pairs.withColumn("share", F.when(F.col("n") <= BLOCK, small).otherwise(F.xxhash64("c", "q", "m")))
+
+
+def _link_counts(unit: DataFrame, classes: DataFrame, threshold: float, rows: int, work: Workspace) -> DataFrame:
     """id and n_links, counted within the components (no link leaves one).
 
     Angles obey the triangle inequality: two vectors whose angles to the component's mean direction
@@ -244,20 +251,25 @@ def _link_counts(unit: DataFrame, classes: DataFrame, threshold: float, work: Wo
     loose = placed.where("not sure").select("c", "id", "n", "v")
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     block = F.pmod(F.xxhash64("id"), blocks).cast("int")
-    asking = loose.select("c", block.alias("q"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("m"), "id", "v", F.lit(True).alias("asks"))
+    asking = loose.select("c", block.alias("q"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("m"), "id", "v", "n", F.lit(True).alias("asks"))
     open_blocks = loose.select("c", block.alias("q")).distinct()
-    answering = placed.select("c", "id", "v", block.alias("m")).join(open_blocks, "c").select("c", "q", "m", "id", "v", F.lit(False).alias("asks"))
+    answering = placed.select("c", "id", "v", "n", block.alias("m")).join(open_blocks, "c").select(
+        "c", "q", "m", "id", "v", "n", F.lit(False).alias("asks")
+    )
 
     def counted(group: pd.DataFrame) -> pd.DataFrame:
-        asks = group["asks"].to_numpy()
-        mine, others = group[asks], group[~asks]
-        if not len(mine) or not len(others):
-            return pd.DataFrame({"id": mine["id"], "n": 0})
-        linked = np.vstack(mine["v"]) @ np.vstack(others["v"]).T >= threshold
-        linked &= mine["id"].to_numpy()[:, None] != others["id"].to_numpy()[None, :]
-        return pd.DataFrame({"id": mine["id"].to_numpy(), "n": linked.sum(axis=1)})
-
-    compared = asking.unionByName(answering).groupBy("c", "q", "m").applyInPandas(counted, "id long, n long")
+        counts = []
+        for _, pair in group.groupby(["c", "q", "m"]):
+            asks = pair["asks"].to_numpy()
+            mine, others = pair[asks], pair[~asks]
+            if not len(mine) or not len(others):
+                continue
+            linked = np.vstack(mine["v"]) @ np.vstack(others["v"]).T >= threshold
+            linked &= mine["id"].to_numpy()[:, None] != others["id"].to_numpy()[None, :]
+            counts.append(pd.DataFrame({"id": mine["id"].to_numpy(), "n": linked.sum(axis=1)}))
+        return pd.concat(counts) if counts else pd.DataFrame({"id": [], "n": []}, dtype="int64")
+
+    compared = _dealt(asking.unionByName(answering), rows).groupBy("share").applyInPandas(counted, "id long, n long")
     return sure.union(compared.groupBy("id").agg(F.sum("n").alias("n_links")))
 
 
@@ -290,7 +302,7 @@ def near_duplicate_vectors(
     for number in range(passes_for(rows, threshold, window)):
         links = links.union(work.stage(_pass_links(single, number, bits_for(rows, window), threshold, window, work).distinct()))
     classes = work.stage(connected_components(links, work))
-    counts = _link_counts(unit, classes, threshold, work)
+    counts = _link_counts(unit, classes, threshold, rows, work)
     return (
         ids.distinct().join(classes, "id", "left").join(counts, "id", "left")
         .select(

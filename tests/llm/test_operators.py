@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from millrace.llm import (
     decontaminate, embedding_dedup, language_model, licenses, line_dedup, minhash, packing, quality, toxicity, url_filter,
@@ -361,6 +362,18 @@ def test_dense_cluster_and_copies_of_vectors_match_brute_force(spark):
     assert len(set(smallest[:700].tolist())) > 20
 
 
+def test_block_pairs_of_one_component_get_a_shuffle_of_their_own(spark):
+    blocks = spark.range(40_000).selectExpr("7L as c", "id % 20 as q", "id % 19 as m", "20 * 1024L as n").repartition(4, "c")
+    small = spark.range(4000).selectExpr("id + 100 as c", "0L as q", "0L as m", "3L as n").repartition(4, "c")
+    dealt = embedding_dedup._dealt(blocks.union(small), 4000)
+    grouped = dealt.groupBy("share").agg(F.max("c").alias("c"), F.count("*").alias("n"))
+    assert "hashpartitioning(share" in grouped._jdf.queryExecution().toString()
+    shares = grouped.collect()
+    large = [r for r in shares if r["c"] == 7]
+    assert len(large) == 380 and max(r["n"] for r in large) < 200
+    assert len([r for r in shares if r["c"] != 7]) == 4
+
+
 def test_lines_one_word_apart_keep_the_earliest(spark):
     line = [f"w{i}" for i in range(12)]
     rows = [
