@@ -218,17 +218,19 @@ def near_duplicates(
 def _links(work: Workspace, source: DataFrame, nodes: DataFrame, shingle_words: int, threshold: float) -> DataFrame:
     """a, b: enough links to join what is linked."""
     bands = work.stage(_band_keys(nodes))
-    shared = bands.groupBy("band").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo != hi")
-    members = work.stage(bands.join(shared.select("band"), "band"))
-    work.drop(bands)
+    # Staged, so that both sides of the join have a shuffle of their own, which adaptive execution splits at a hot band.
+    shared = work.stage(
+        bands.groupBy("band").agg(F.min("node").alias("hub"), F.max("node").alias("hi")).where("hub != hi").select("band", "hub")
+    )
+    members = work.stage(bands.join(shared, "band"))
+    work.drop(bands, shared)
     wanted = members.select("node").distinct().join(nodes.select("node", "text_hash"), "node")
     wanted = F.broadcast(wanted) if fits_in_every_task(wanted) else wanted
     texts = source.withColumnRenamed("doc_id", "node").join(wanted, "node")
     texts = work.stage(
         texts.where(_text_hash(F.col("text")) == F.col("text_hash")).select("node", "text").dropDuplicates(["node"])
     )
-    hubs = members.groupBy("band").agg(F.min("node").alias("a"))
-    pairs = members.join(hubs, "band").where("node != a").select("a", F.col("node").alias("b")).distinct()
+    pairs = members.where("node != hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
     stars = work.stage(_verified(pairs, nodes, texts, shingle_words, threshold))
     joined = work.stage(connected_components(stars, work))
     rest = work.stage(_links_in_blocks(members, joined, texts, shingle_words, threshold))
