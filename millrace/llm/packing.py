@@ -101,17 +101,22 @@ class Example:
 
     __slots__ = ("doc", "ids", "total", "start", "loss", "tokens", "loss_tokens")
 
-    def __init__(self, doc, ids: bytes, total: int, start: int = 0, loss: bytes | None = None):
-        self.doc, self.ids, self.total, self.start, self.loss = doc, ids, total, start, loss
+    def __init__(self, doc, ids: bytes, total: int, start: int = 0, loss: bytes | None = None, loss_tokens: int | None = None):
+        # Views, so that cutting a long document piece by piece copies nothing.
+        self.ids, self.loss = memoryview(ids), None if loss is None else memoryview(loss)
+        self.doc, self.total, self.start = doc, total, start
         self.tokens = len(ids) // 4
-        self.loss_tokens = self.tokens if loss is None else sum(loss)
+        if loss_tokens is None:
+            loss_tokens = self.tokens if loss is None else sum(self.loss)
+        self.loss_tokens = loss_tokens
 
     def split(self, tokens: int) -> tuple[Example, Example]:
         head, tail = (None, None) if self.loss is None else (self.loss[:tokens], self.loss[tokens:])
-        return (
-            Example(self.doc, self.ids[: 4 * tokens], self.total, self.start, head),
-            Example(self.doc, self.ids[4 * tokens :], self.total, self.start + tokens, tail),
+        first = Example(self.doc, self.ids[: 4 * tokens], self.total, self.start, head)
+        rest = Example(
+            self.doc, self.ids[4 * tokens :], self.total, self.start + tokens, tail, self.loss_tokens - first.loss_tokens
         )
+        return first, rest
 
 
 @dataclass

@@ -168,6 +168,17 @@ def test_tokenizer_equals_the_library(text):
     assert np.frombuffer(own.ids(text), dtype="<u4").tolist() == Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids
 
 
+def test_cutting_a_long_document_copies_nothing():
+    ids, loss = np.arange(500_000, dtype="<u4").tobytes(), bytes([0, 1]) * 250_000
+    rest, starts = packing.Example(1, ids, 500_000, loss=loss), []
+    while rest.tokens > 2048:
+        head, rest = rest.split(2048)
+        starts.append(head.start)
+        assert head.ids.obj is ids and head.loss_tokens == 1024
+        assert zlib.crc32(head.ids) == zlib.crc32(ids[4 * head.start : 4 * (head.start + 2048)])
+    assert rest.loss_tokens == sum(loss[rest.start :]) and starts == list(range(0, 500_000 - 2048, 2048))
+
+
 def test_packing_respects_loss_and_segments(spark):
     rows = spark.createDataFrame([(i, "b " * 50, "a " * 30) for i in range(300)], "doc_id long, text string, prompt string")
     pieces = packing.pack(rows, prompt_col="prompt", max_segments=5, max_loss=200).collect()
