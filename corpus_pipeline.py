@@ -41,7 +41,7 @@ STAGES = [
     ("quality", quality), ("line_dedup", line_dedup), ("minhash", minhash), ("decontaminate", decontaminate), ("packing", packing),
 ]
 
-# Trained scores, alignments and tokenizers cannot be written in SQL; tests/llm runs the stages on the smallest tables.
+# Trained scores, alignments and tokenizers cannot be written in SQL; tests/llm compares stages and run() with plain versions.
 ORACLE_SQL = None
 
 
