@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -24,6 +25,8 @@ PLAIN_WEIGHT = 0.01
 NEIGHBOURS = 15
 COPY_TRIES = 16
 BLOCK = 256
+# Blocks that a search opens first; twice as many each time after that.
+FIRST_BLOCKS = 8
 # Terms in at least this share of the examples have their lists as rows of a matrix.
 DENSE_SHARE = 0.05
 CACHED = 20_000
@@ -116,26 +119,28 @@ class BlockMaxIndex:
         self.dense[example[in_rows] // BLOCK, self.row[term[in_rows]], example[in_rows] % BLOCK] = weight[in_rows]
 
     def nearest(self, query: dict[int, float], k: int, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
+        """``nearest_to`` of a vector given as term: weight."""
+        terms = np.fromiter(query.keys(), dtype=np.int64, count=len(query))
+        return self.nearest_to(terms, np.fromiter(query.values(), dtype=float, count=len(query)), k, without)
+
+    def nearest_to(self, terms: np.ndarray, weights: np.ndarray, k: int, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """Examples and cosines of the k nearest with a positive cosine: exact, ties to the lower example.
 
         Blocks are opened by falling upper bound, until no unopened block can reach the k-th cosine.
         """
         ids, cosines = np.empty(0, dtype=np.int64), np.empty(0)
-        if not query or not self.size:
+        if not len(terms) or not self.size:
             return ids, cosines
-        terms = np.fromiter(query.keys(), dtype=np.int64, count=len(query))
-        weights = np.fromiter(query.values(), dtype=float, count=len(query))
         starts, stops = self.stretches[terms], self.stretches[terms + 1]
         own, times = _spans(starts, stops), stops - starts
         block, weight = self.stretch_block[own], np.repeat(weights, times)
         bounds = np.bincount(block, weight * self.peak[own], minlength=self.blocks).astype(float)
         rows = self.row[terms]
-        by_row = np.zeros(self.dense.shape[1])
-        by_row[rows[rows >= 0]] = weights[rows >= 0]
+        in_rows, of_rows = rows[rows >= 0], weights[rows >= 0]
         listed = np.repeat(rows < 0, times)
         own, block, weight = own[listed], block[listed], weight[listed]
         order = np.argsort(-bounds, kind="stable")
-        step, at = 1, 0
+        step, at = FIRST_BLOCKS, 0
         while at < len(order) and bounds[order[at]] > 0:
             if len(ids) >= k and bounds[order[at]] < cosines[k - 1] - 1e-12:
                 break
@@ -143,18 +148,24 @@ class BlockMaxIndex:
             at, step = at + step, step * 2
             place = np.full(self.blocks, -1)
             place[opened] = np.arange(len(opened))
-            here = np.flatnonzero(place[block] >= 0)
-            lo, hi = self.stretch_start[own[here]], self.stretch_stop[own[here]]
-            entries, times = _spans(lo, hi), hi - lo
-            cells = self.cell[entries] + np.repeat(place[block[here]] * BLOCK, times)
+            there = place[block]
+            here = there >= 0
+            lo = self.stretch_start[own[here]]
+            times = self.stretch_stop[own[here]] - lo
+            entries = _spans(lo, lo + times)
+            cells = self.cell[entries] + np.repeat(there[here] * BLOCK, times)
             sums = np.bincount(cells, self.weight[entries] * np.repeat(weight[here], times), minlength=len(opened) * BLOCK).astype(float)
             for number, one in enumerate(opened):
-                sums[number * BLOCK : (number + 1) * BLOCK] += by_row @ self.dense[one]
+                sums[number * BLOCK : (number + 1) * BLOCK] += of_rows @ self.dense[one, in_rows]
             positive = np.flatnonzero(sums > 0)
             found = opened[positive // BLOCK] * BLOCK + positive % BLOCK
             positive, found = positive[found != without], found[found != without]
             ids, cosines = np.concatenate([ids, found]), np.concatenate([cosines, sums[positive]])
-            best = np.lexsort((ids, -np.round(cosines, 12)))[: max(k, 1)]
+            if len(ids) > k:
+                # What lies clearly under the k-th cosine need not be put in order.
+                high = cosines >= np.partition(cosines, -k)[-k] - 1e-11
+                ids, cosines = ids[high], cosines[high]
+            best = np.lexsort((ids, -np.round(cosines, 12)))[:k]
             ids, cosines = ids[best], cosines[best]
         return ids[:k], cosines[:k]
 
@@ -184,33 +195,33 @@ class ToxicityModel:
         self.terms = {t: i for i, t in enumerate(terms)}
         self.weights, self.toxic, self.example_ids = weights, toxic.astype(float), ids
         vectors = [self.vector(c) for c in examples]
-        self.index = BlockMaxIndex(vectors, len(terms))
-        empty = np.array([not v for v in vectors], dtype=bool)
+        self.index = BlockMaxIndex([dict(zip(*map(np.ndarray.tolist, v), strict=True)) for v in vectors], len(terms))
+        empty = np.array([not len(v[0]) for v in vectors], dtype=bool)
         among = empty if empty.any() else np.ones(len(vectors), dtype=bool)
         self.blank = min(float((mass * self.toxic)[among].sum() / max(mass[among].sum(), 1e-9)), 1.0)
-        raw = np.array([self._vote(v, without=i)[0] for i, v in enumerate(vectors)])
+        raw = np.array([self._vote(*v, without=i)[0] for i, v in enumerate(vectors)])
         told = ~empty & ~np.isnan(raw)
         self.calibrator = Calibrator(*pooled(raw[told], self.toxic[told], mass[told]), self.blank)
         self._seen = {}
 
-    def vector(self, counts: Counter) -> dict[int, float]:
-        """Unit TF-IDF vector over the examples' terms; empty if the text has none of them."""
-        known = [(self.terms[t], n) for t, n in counts.items() if t in self.terms]
-        if not known:
-            return {}
-        terms, times = (np.array(part) for part in zip(*sorted(known), strict=True))
-        own = (1 + np.log(times)) * self.weights[terms]
-        return dict(zip(terms.tolist(), (own / np.sqrt((own * own).sum())).tolist(), strict=True))
-
-    def _vote(self, vector: dict[int, float], without: int = -1) -> tuple[float, np.ndarray]:
-        ids, cosines = self.index.nearest(vector, NEIGHBOURS, without)
+    def vector(self, counts: Counter) -> tuple[np.ndarray, np.ndarray]:
+        """Unit TF-IDF vector over the examples' terms, as terms and weights; empty if the text has none of them."""
+        terms = np.fromiter(map(self.terms.get, counts, repeat(-1)), dtype=np.int64, count=len(counts))
+        times = np.fromiter(counts.values(), dtype=float, count=len(counts))
+        known = terms >= 0
+        terms = terms[known]
+        own = (1 + np.log(times[known])) * self.weights[terms]
+        return terms, own / np.sqrt((own * own).sum()) if len(own) else own
+
+    def _vote(self, terms: np.ndarray, weights: np.ndarray, without: int = -1) -> tuple[float, np.ndarray]:
+        ids, cosines = self.index.nearest_to(terms, weights, NEIGHBOURS, without)
         if not len(ids):
             return float("nan"), ids
         votes = 1 / (1.05 - np.minimum(cosines, 1.0))
         return float(votes @ self.toxic[ids] / votes.sum()), ids
 
     def _score(self, text: str | None) -> tuple[float, list]:
-        raw, ids = self._vote(self.vector(Counter(terms_of(text))))
+        raw, ids = self._vote(*self.vector(Counter(terms_of(text))))
         if np.isnan(raw):
             return self.blank, []
         return float(self.calibrator(np.array([raw]))[0]), [self.example_ids[i] for i in ids]
