@@ -93,6 +93,11 @@ class Workspace:
             delete_path(self.spark, df.staged_at)
 
 
+    def clear(self) -> None:
+        """Delete all staged tables."""
+        delete_path(self.spark, self.path)
+
+
 def connected_components(edges: DataFrame, work: Workspace) -> DataFrame:
     """``(id, component_id)`` for every id that an edge ``(a, b)`` names; smallest id of the component.
 

@@ -300,7 +300,9 @@ def near_duplicate_vectors(
         single = work.stage(unit.join(links.select(F.col("b").alias("id")), "id", "left_anti"))
     rows = single.count()
     for number in range(passes_for(rows, threshold, window)):
-        links = links.union(work.stage(_pass_links(single, number, bits_for(rows, window), threshold, window, work).distinct()))
+        own = Workspace(vectors.sparkSession, "vectors_pass")
+        links = links.union(work.stage(_pass_links(single, number, bits_for(rows, window), threshold, window, own).distinct()))
+        own.clear()
     classes = work.stage(connected_components(links, work))
     counts = _link_counts(unit, classes, threshold, rows, work)
     return (

@@ -373,6 +373,17 @@ def test_dense_cluster_and_copies_of_vectors_match_brute_force(spark):
     assert len(set(smallest[:700].tolist())) > 20
 
 
+def test_passes_leave_no_tables_behind(spark, monkeypatch):
+    import os
+
+    spaces = []
+    monkeypatch.setattr(embedding_dedup, "Workspace", lambda *a: spaces.append(Workspace(*a)) or spaces[-1])
+    rows = [(i, [1.0, float(i % 7), float(i % 3)]) for i in range(60)]
+    embedding_dedup.near_duplicate_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    left = [os.path.exists(space.path.removeprefix("file:")) for space in spaces]
+    assert left[0] and len(left) > 2 and not any(left[1:])
+
+
 def test_block_pairs_of_one_component_get_a_shuffle_of_their_own(spark):
     blocks = spark.range(40_000).selectExpr("7L as c", "id % 20 as q", "id % 19 as m", "20 * 1024L as n").repartition(4, "c")
     small = spark.range(4000).selectExpr("id + 100 as c", "0L as q", "0L as m", "3L as n").repartition(4, "c")
