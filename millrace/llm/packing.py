@@ -96,14 +96,20 @@ def _tokenizer(model: str) -> ByteTokenizer:
     return ByteTokenizer(model)
 
 
+def _view(part: bytes | memoryview) -> memoryview:
+    """A view of the part; once less than half of what it is a part of, a copy, so that a short rest does not hold a long document."""
+    view = memoryview(part)
+    return memoryview(bytes(view)) if 2 * len(view) < len(view.obj) else view
+
+
 class Example:
     """A run of ids of one document that is not placed yet; ``loss`` is a 0/1 byte per id or None for all."""
 
     __slots__ = ("doc", "ids", "total", "start", "loss", "tokens", "loss_tokens")
 
     def __init__(self, doc, ids: bytes, total: int, start: int = 0, loss: bytes | None = None, loss_tokens: int | None = None):
-        # Views, so that cutting a long document piece by piece copies nothing.
-        self.ids, self.loss = memoryview(ids), None if loss is None else memoryview(loss)
+        # Views, so that cutting a long document piece by piece does not copy the rest each time.
+        self.ids, self.loss = _view(ids), None if loss is None else _view(loss)
         self.doc, self.total, self.start = doc, total, start
         self.tokens = len(ids) // 4
         if loss_tokens is None:
