@@ -240,7 +240,7 @@ def find_leaks(
 
     ``score`` is the best local word alignment as a share of a verbatim copy's; ``start`` and
     ``length`` are words of the document. Every passage that reaches ``MIN_SCORE`` is found
-    (``pairs_needed`` says why); items of one or two words count only when they stand whole.
+    (``pairs_needed`` says why); an item of two words needs both, with one word between them at most.
     Documents are read twice, once to count the seeds' documents, and never shuffled. Items without
     an id cannot be reported. Null and empty texts copy nothing, rows with a null id are reported
     under null, repeated rows repeat their rows. Without items the result is empty. A benchmark
