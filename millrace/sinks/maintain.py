@@ -15,6 +15,10 @@ from millrace.operators.versions import retain
 from millrace.sinks.storage import partition_columns, path_bytes, read_stored, replace_table
 
 TARGET_FILE_BYTES = 512 * 1024 * 1024
+# What one task sorts at most: stored bytes, which take a dozen times as much memory.
+SORTED_BYTES = 128 * 1024 * 1024
+# A partition that shares no task with others is no smaller than this on average.
+LEAST_SORTED_BYTES = 4 * 1024 * 1024
 RETAIN_HOURS = 168
 
 
@@ -63,13 +67,22 @@ def cluster_by_z_order(df: DataFrame, columns: Sequence[str], files: int, partit
 def optimize_table(
     spark: SparkSession, path: str, zorder_cols: Sequence[str] = (), target_bytes: int = TARGET_FILE_BYTES
 ) -> None:
-    """Compact a table, clustering it by ``zorder_cols`` if given; its partitions and their values stay."""
+    """Compact a table, clustering it by ``zorder_cols`` if given; its partitions and their values stay.
+
+    A task sorts the rows of each clustered file in memory, so these have ``SORTED_BYTES`` at most, also
+    where ``target_bytes`` is more.
+    """
     if not zorder_cols:
         compact(spark, path, target_bytes)
         return
-    files, parts = max(1, math.ceil(path_bytes(spark, path) / target_bytes)), partition_columns(spark, path)
-    table = cluster_by_z_order(read_stored(spark, path), zorder_cols, files, parts)
-    replace_table(table, path, partition_cols=parts)
+    parts, size = partition_columns(spark, path), path_bytes(spark, path)
+    files = max(1, math.ceil(size / min(target_bytes, SORTED_BYTES)))
+    table = read_stored(spark, path)
+    apart = math.ceil(size / LEAST_SORTED_BYTES)
+    if parts and apart > files:
+        # The directories part the files anyway, so as many tasks as there are cost few more files.
+        files = max(files, min(apart, table.select(*[quoted(c) for c in parts]).distinct().count()))
+    replace_table(cluster_by_z_order(table, zorder_cols, files, parts), path, partition_cols=parts)
 
 
 def prune_log(

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from helpers import final_plan, rows
 from millrace.functions.zorder import with_z_rank, with_z_value
+from millrace.sinks import maintain
 from millrace.sinks.maintain import cluster_by_z_order, compact, optimize_table, prune_log
 
 
@@ -145,3 +146,25 @@ def test_clustering_a_partitioned_table_keeps_its_file_count(spark, root, sf_dir
     assert len(parquet_files(path)) <= 12 + 16
     stored = spark.read.parquet(path).withColumn("month", F.lpad(F.col("month").cast("string"), 2, "0"))
     assert rows(stored) == rows(lines)
+
+
+def test_clustering_below_the_target_is_shared_by_tasks(spark, tmp_path, monkeypatch):
+    """However large the target, no task sorts more than its share; a partitioned table has a task a partition."""
+    frame = spark.range(30_000).selectExpr("id as a", "id * 7919 % 30000 as b", "lpad(id % 5, 2, '0') as month")
+    monkeypatch.setattr(maintain, "SORTED_BYTES", 30_000, raising=False)
+    path = str(tmp_path / "plain")
+    frame.coalesce(1).write.parquet(path)
+    optimize_table(spark, path, ["a", "b"])
+    files = [r["count"] for r in spark.read.parquet(path).groupBy(F.input_file_name()).count().collect()]
+    assert len(files) > 4 and max(files) < 30_000 / 3
+    assert rows(spark.read.parquet(path)) == rows(frame)
+
+    monkeypatch.setattr(maintain, "SORTED_BYTES", 2**27, raising=False)
+    monkeypatch.setattr(maintain, "LEAST_SORTED_BYTES", 10_000, raising=False)
+    path, ranges = str(tmp_path / "months"), []
+    frame.repartition(1).write.partitionBy("month").parquet(path)
+    cluster = maintain.cluster_by_z_order
+    monkeypatch.setattr(maintain, "cluster_by_z_order", lambda df, cols, files, parts: ranges.append(files) or cluster(df, cols, files, parts))
+    optimize_table(spark, path, ["a", "b"])
+    assert ranges == [5] and len(parquet_files(path)) <= 5 + 5
+    assert rows(maintain.read_stored(spark, path).select("a", "b", "month")) == rows(frame)
