@@ -20,11 +20,15 @@ _TASK_BITS = 33
 _ROOM = 2**62
 # Rows that lose lines are told from others by so many bits, in bitmaps of 2^15 bits.
 _FILTER_BITS, _BITMAP = 27, 2**15
+# Keys that stand in a table are told from others by so many bits, in longs.
+_SIEVE_BITS = 26
+# The lines that rows lose go to every task up to this size, so that no text is moved.
+_REPLICATED_BYTES = 64 * 1024 * 1024
 
 
 def _words(line: Column) -> Column:
-    """Lower-cased words of a line, parted by ASCII blanks."""
-    return F.array_remove(F.split(F.translate(F.lower(line), BLANKS, " " * len(BLANKS)), " "), "")
+    """Lower-cased words of a line that has words, parted by ASCII blanks."""
+    return F.split(F.btrim(F.lower(line), F.lit(BLANKS)), f"[{BLANKS}]+")
 
 
 def _numbered(docs: DataFrame, row: str, id_col: str, text_col: str, work: Workspace) -> tuple[DataFrame, DataFrame]:
@@ -35,19 +39,23 @@ def _numbered(docs: DataFrame, row: str, id_col: str, text_col: str, work: Works
     staged with a number each (task and place in the task), which comes behind the id, in a decimal.
     """
     named = lambda df: columns(df, doc_id=id_col, text=text_col).select(F.col("doc_id").cast("long"), F.col("text").cast(T.StringType()))
-    line_count = F.length("text") - F.length(F.replace(F.col("text"), F.lit("\n"), F.lit(""))) + 1
+    line_count = F.octet_length("text") - F.octet_length(F.replace(F.col("text"), F.lit("\n"), F.lit(""))) + 1
+    # Bytes are known without counting, and are as many as lines at least.
     most, rows, ids, different, low, high = named(docs).select(
-        F.max(line_count), F.count(F.lit(1)), F.count("doc_id"), F.count_distinct("doc_id"), F.min("doc_id"), F.max("doc_id")
+        F.max(F.octet_length("text")), F.count(F.lit(1)), F.count("doc_id"), F.count_distinct("doc_id"), F.min("doc_id"), F.max("doc_id")
     ).first()
-    most, low, high = most or 1, low or 0, high or 0
-    if ids == different and rows - ids <= 1 and (high - low + 2) * most <= _ROOM and low > -(2**62):
+    most, low, high = (most or 0) + 1, low or 0, high or 0
+    single = ids == different and rows - ids <= 1 and low > -(2**62)
+    if single and high - low + 2 <= _ROOM < (high - low + 2) * most:
+        most = named(docs).select(F.max(line_count)).first()[0] or 1
+    if single and (high - low + 2) * most <= _ROOM:
         number = F.coalesce(F.col("doc_id"), F.lit(low - 1))
         numbered = docs.withColumn(row, F.coalesce(quoted(id_col).cast("long"), F.lit(low - 1)))
         return numbered, named(docs).select(number.alias("row"), ((number - low + 1) * most).cast("long").alias("head"), "text")
     numbered = work.stage(docs.withColumn(row, F.monotonically_increasing_id()))
     task, at = F.shiftright(row, _TASK_BITS), F.col(row).bitwiseAND(2**_TASK_BITS - 1)
     tasks, size = numbered.select(F.max(task) + 1, F.max(at) + 1).first()
-    size = size or 1
+    size, most = size or 1, named(numbered).select(F.max(line_count)).first()[0] or 1
     if (tasks or 1) * size * most > _ROOM:
         raise ValueError(f"{tasks} tasks of {size} rows of {most} lines have more places than {_ROOM}")
     source = columns(numbered, row=row, doc_id=id_col, text=text_col)
@@ -68,6 +76,11 @@ def _lines(docs: DataFrame) -> DataFrame:
     )
 
 
+def _line_keys(words: Column) -> tuple[Column, Column]:
+    """Two hashes that together stand for the words of a line."""
+    return F.xxhash64(words).alias("k1"), F.xxhash64(F.lit(1), words).alias("k2")
+
+
 def _half_keys(words: Column, n: Column) -> dict[str, Column]:
     """Hashes that two lines one word apart must share at least one of.
 
@@ -123,31 +136,45 @@ def _one_word_apart(a: Column, b: Column) -> Column:
     return (longest - shortest <= 1) & (shared(a, b) + shared(F.reverse(a), F.reverse(b)) >= longest - 1)
 
 
-def _near_lines(lines: DataFrame, first: DataFrame, docs: DataFrame, work: Workspace) -> DataFrame:
-    """place of every distinct line that an earlier line is one word apart from."""
+def _sieved(df: DataFrame, key: str, named: DataFrame, named_key: str | None = None) -> DataFrame:
+    """``df`` without most of the rows whose ``key`` is not in ``named``; no row that has one there goes.
+
+    Bits of the keys' hashes stand in longs, a million at most, that go to every task. The more keys there are the more
+    others share their bits; these rows are then moved for nothing in the join that follows.
+    """
+    slot = lambda c: F.xxhash64(c).bitwiseAND(2**_SIEVE_BITS - 1)
+    bit = lambda c: F.call_function("shiftleft", F.lit(1).cast("long"), slot(c).bitwiseAND(63).cast("int"))
+    block, bits, named_key = fresh_column(df, "block"), fresh_column(df, "bits"), named_key or key
+    longs = named.groupBy(F.shiftright(slot(named_key), 6).alias(block)).agg(F.bit_or(bit(named_key)).alias(bits))
+    met = df.join(F.broadcast(longs), F.shiftright(slot(key), 6) == F.col(block))
+    return met.where(F.col(bits).bitwiseAND(bit(key)) != 0).select(*df.columns)
+
+
+def _near_lines(first: DataFrame, docs: DataFrame, work: Workspace) -> DataFrame:
+    """place, k1, k2 of every distinct line that an earlier line is one word apart from."""
     # Every distinct line has a place of its own.
     halves = F.array_distinct(F.array("start_own", "end_own", "start_less", "end_less"))
     keyed = first.where(F.col("n") >= MIN_NEAR_WORDS).select(F.explode(halves).alias("half"), "place")
-    shared = keyed.groupBy("half").agg(F.min("place").alias("lo"), F.max("place").alias("hi")).where("lo != hi").select("half")
-    places = work.stage(keyed.join(shared, "half").select("place").distinct())
+    shared = work.stage(keyed.groupBy("half").agg(F.min("place").alias("lo"), F.max("place").alias("hi")).where("lo != hi").select("half"))
+    places = work.stage(_sieved(keyed, "half", shared).join(shared, "half").select("place").distinct())
     wanted = F.broadcast(places) if fits_in_every_task(places) else places
     candidates = work.stage(_lines(docs).select("place", "words").join(wanted, "place"))
 
     variants = work.stage(_variants(candidates))
-    groups = variants.groupBy("variant").agg(
+    groups = work.stage(variants.groupBy("variant").agg(
         F.count(F.lit(1)).alias("lines"), F.min(F.expr("if(full is null, place, null)")).alias("masked_first"),
         F.min(F.expr("if(full, place, null)")).alias("text"), F.min(F.expr("if(not full, place, null)")).alias("longer_first"),
-    ).where("lines > 1").drop("lines")
+    ).where("lines > 1").drop("lines"))
     # An equally long line one word off, an earlier line without the word, an earlier line with one more.
-    meets = variants.join(groups, "variant").select(
+    meets = _sieved(variants, "variant", groups).join(groups, "variant").select(
         "place", F.expr("case when full is null then masked_first when full then longer_first else text end").alias("earlier")
     )
     edges = work.stage(meets.where("earlier < place").distinct())
-    work.drop(places, variants)
-    left = candidates.withColumnRenamed("words", "own")
-    right = candidates.select(F.col("place").alias("earlier"), F.col("words").alias("other"))
+    work.drop(shared, places, variants, groups)
+    left = _sieved(candidates, "place", edges).withColumnRenamed("words", "own")
+    right = _sieved(candidates, "place", edges, "earlier").select(F.col("place").alias("earlier"), F.col("words").alias("other"))
     verified = edges.join(left, "place").join(right, "earlier").where(_one_word_apart(F.col("own"), F.col("other")))
-    near = work.stage(verified.select("place").distinct())
+    near = work.stage(verified.select("place", *_line_keys(F.col("own"))).distinct())
     work.drop(candidates, edges)
     return near
 
@@ -187,29 +214,36 @@ def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     numbered, source = _numbered(docs, row, id_col, text_col, work)
     n = F.size("words")
     lines = work.stage(_lines(source).select(
-        "place", "row", "line_no", F.xxhash64("words").alias("k1"), F.xxhash64(F.lit(1), "words").alias("k2"),
+        "place", "row", "line_no", *_line_keys(F.col("words")),
         n.alias("n"), *[key.alias(name) for name, key in _half_keys(F.col("words"), n).items()],
     ))
     contents = [c for c in lines.columns if c not in ("place", "row", "line_no", "k1", "k2")]
     first = work.stage(lines.groupBy("k1", "k2").agg(
         F.min("place").alias("place"), *[F.min(c).alias(c) for c in contents], F.count(F.lit(1)).cast("int").alias("times"),
     ))
-    near = _near_lines(lines, first, source, work)
-    marked = near.select(F.col("place").alias("first"), F.lit(True).alias("near"))
+    near = _near_lines(first, source, work)
     # Lines that stand there once and are like no earlier one have nothing to be joined for.
-    kept = first.select("k1", "k2", F.col("place").alias("first"), "times").join(marked, "first", "left").where("near or times > 1").drop("times")
-    dropped = lines.select("k1", "k2", "place", "row", "line_no").join(kept, ["k1", "k2"]).where("near or place != first")
+    repeated = first.where("times > 1").select("k1", "k2", "place", F.lit(False).alias("near"))
+    found = repeated.unionByName(near.withColumn("near", F.lit(True)))
+    kept = work.stage(found.groupBy("k1", "k2").agg(F.min("place").alias("first"), F.max("near").alias("near")))
+    sieved = _sieved(lines.select("k1", "k2", "place", "row", "line_no"), "k1", kept)
+    dropped = sieved.join(kept, ["k1", "k2"]).where("near or place != first")
     drop_row, drops = (fresh_column(numbered, c) for c in ("drop_row", "drops"))
     # As many numbers as the row has lines.
     by_row = work.stage(dropped.groupBy(F.col("row").alias(drop_row)).agg(F.collect_set("line_no").alias(drops)))
-    work.drop(lines, first, near)
-
-    # Only texts that lose lines, and the few that a bitmap of bounded size takes for them, are moved for the join.
-    listed = fresh_column(numbered, "listed")
-    marked_rows = _listed(numbered, row, by_row, drop_row, listed)
-    moved = marked_rows.where(listed).join(by_row, F.col(row) == F.col(drop_row), "left").drop(listed)
-    joined = marked_rows.where(~F.col(listed)).drop(listed).unionByName(moved, allowMissingColumns=True)
-    all_lines = F.split(F.col(text_col), "\n")
+    work.drop(lines, first, near, kept)
+
+    if fits_in_every_task(by_row, max_bytes=_REPLICATED_BYTES):
+        joined = numbered.join(F.broadcast(by_row), F.col(row) == F.col(drop_row), "left")
+    else:
+        # Only texts that lose lines, and the few that a bitmap of bounded size takes for them, are moved for the join.
+        listed = fresh_column(numbered, "listed")
+        marked_rows = _listed(numbered, row, by_row, drop_row, listed)
+        moved = marked_rows.where(listed).join(by_row, F.col(row) == F.col(drop_row), "left").drop(listed)
+        joined = marked_rows.where(~F.col(listed)).drop(listed).unionByName(moved, allowMissingColumns=True)
+    # A column of its own: inside of the function below it would be split again for every line.
+    parted = fresh_column(joined, "parted")
+    joined, all_lines = joined.withColumn(parted, F.split(F.col(text_col), "\n")), F.col(parted)
     left = F.array_except(F.sequence(F.lit(0), F.size(all_lines) - 1), F.col(drops))
     text = F.when(F.col(drops).isNull(), F.col(text_col)).otherwise(F.array_join(F.transform(left, lambda i: F.get(all_lines, i)), "\n"))
     n_lines, n_dropped = (fresh_column(docs, c) for c in ("n_lines", "n_dropped"))
